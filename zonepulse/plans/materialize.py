@@ -1,0 +1,36 @@
+"""Lineage cuts.
+
+A small derived frame that several branches read (the enriched zone-days) is
+materialised once with a reliable checkpoint in the cluster's shared
+``spark.checkpoint.dir``.  That makes size checks on it cheap, stops every
+branch from re-running the aggregate over the orders, and survives the loss
+of the executors that computed it (unlike a cache or a local checkpoint).
+"""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the session's checkpoint directory, setting one only if it is unset.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as is.  Only a session without it (a unit test) gets a fresh local folder.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    path = configured or tempfile.mkdtemp(prefix="zonepulse-ckpt-", dir="/tmp")
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Eagerly checkpoint ``df`` to reliable storage and return the cut frame."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
