@@ -43,6 +43,21 @@ def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
     return exact_sum(c, scale).cast("double") / F.count(c)
 
 
+def mean_parts(c: Column | str, name: str, scale: int = MONEY_SCALE) -> list[Column]:
+    """Aggregate columns ``_{name}_sum`` (decimal) and ``_{name}_n`` for a mean
+    that is finished by :func:`rounded_mean` in a projection after the aggregate.
+
+    Splitting the mean this way keeps each sum a single aggregate even when the
+    aggregate also holds distinct counts (whose rewrite would otherwise carry
+    every reference to the sum separately).
+    """
+    return [exact_sum(c, scale).alias(f"_{name}_sum"), F.count(_col(c)).alias(f"_{name}_n")]
+
+
+def rounded_mean(name: str, digits: int) -> Column:
+    return round_half_up(F.col(f"_{name}_sum").cast("double") / F.col(f"_{name}_n"), digits)
+
+
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """numerator / denominator as double; null (not an error) when the denominator is 0."""
     return _col(numerator).cast("double") / F.nullif(_col(denominator), F.lit(0.0))

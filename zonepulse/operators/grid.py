@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonepulse.functions.exprs import det_mode, distinct_count, exact_avg, round_half_up
-from zonepulse.operators.joins import sized_broadcast
+from zonepulse.functions.exprs import rounded_mean
+from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
+from zonepulse.operators.profile import group_profile
 from zonepulse.sources.schemas import REPORT_ZONE_ATTRS
 
 GRID_COLUMNS = REPORT_ZONE_ATTRS + [
@@ -49,26 +50,35 @@ def hourly_demand_grid(
     ``min_cell_size`` are not published.  city_rank = rank() of the cell's
     order_count within its city, descending; ties share a rank.
 
-    Plan: pruned window scan -> broadcast join to the released zones ->
-    partial/final hash aggregate -> one window shuffle by city over the
-    aggregated cells (at most zones x 168 rows).
+    Plan: pruned window scan -> broadcast left-semi join to the released
+    zones' (neighbourhood, city) -> grouping-sets aggregate on (neighbourhood,
+    city, hour, weekday) -> zone attributes joined to the cells -> one window
+    shuffle by city over the cells (at most zones x 168 rows).
     """
     window = orders.select(
         "order_id", "event_date", "order_value_usd", "customer_id", "restaurant_id",
         "cuisine_type", "order_hour", "day_of_week", "neighbourhood", "city",
     ).where(F.col("event_date").between(F.lit(start), F.lit(end)))
-    dim = sized_broadcast(released_zones(enriched), broadcast_max_rows)
+    zones = released_zones(enriched)
+    small = fits_broadcast(zones, broadcast_max_rows)
+    geo = ["neighbourhood", "city"]
     cells = (
-        window.join(dim, ["neighbourhood", "city"], "inner")
-        .groupBy(*REPORT_ZONE_ATTRS, "order_hour", "day_of_week")
-        .agg(
-            F.count("order_id").alias("order_count"),
-            round_half_up(exact_avg("order_value_usd"), 2).alias("avg_order_value_usd"),
-            distinct_count("customer_id", approx_distinct).alias("distinct_customers"),
-            distinct_count("restaurant_id", approx_distinct).alias("distinct_restaurants"),
-            det_mode("cuisine_type").alias("top_cuisine"),
+        group_profile(
+            restrict_to(window, zones, geo, small),
+            geo + ["order_hour", "day_of_week"],
+            count_col="order_id",
+            value_col="order_value_usd",
+            distinct={"distinct_customers": "customer_id", "distinct_restaurants": "restaurant_id"},
+            modes={"top_cuisine": "cuisine_type"},
+            approx_distinct=approx_distinct,
         )
-        .where(F.col("order_count") >= F.lit(min_cell_size))
+        .where(F.col("_n") >= F.lit(min_cell_size))
+        .withColumnRenamed("_n", "order_count")
+        .withColumn("avg_order_value_usd", rounded_mean("value", 2))
     )
     by_city = Window.partitionBy("city").orderBy(F.desc("order_count"))
-    return cells.withColumn("city_rank", F.rank().over(by_city)).select(*GRID_COLUMNS)
+    return (
+        attach(cells, zones, geo, small)
+        .withColumn("city_rank", F.rank().over(by_city))
+        .select(*GRID_COLUMNS)
+    )

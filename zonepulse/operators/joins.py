@@ -6,13 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows.
 
     Derived dimensions (aggregates, filtered registries) have poor size
     estimates, so the planner's own threshold cannot be trusted for them.  The
-    check is one bounded job (``limit(max_rows + 1).count()``); beyond the bound
-    the frame is returned unchanged and Spark plans a shuffle join.
+    check is one bounded job: ``limit(max_rows + 1).count()``.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` if it passes :func:`fits_broadcast`, else ``df`` unchanged
+    (Spark then plans a shuffle join)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def restrict_to(facts: DataFrame, dim: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Keep the fact rows whose ``keys`` occur in ``dim`` (a left-semi join).
+
+    With a small dimension this is a broadcast filter inside the scan stage:
+    nothing is shuffled and no column is added, so aggregation can run on the
+    facts' own keys and attributes are attached to the (small) result.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    side = dim.select(*keys)
+    return facts.join(F.broadcast(side) if small else side, keys, "left_semi")
+
+
+def attach(agg: DataFrame, dim: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Inner-join an aggregate to dimension attributes on ``keys``."""
+    return agg.join(F.broadcast(dim) if small else dim, keys, "inner")

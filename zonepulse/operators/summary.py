@@ -8,15 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULT_DENSITY_PCT, DEFAULT_RATIO_PCT
-from zonepulse.functions.exprs import (
-    MONEY_SCALE,
-    RATIO_SCALE,
-    det_mode,
-    distinct_count,
-    exact_avg,
-    round_half_up,
-)
-from zonepulse.operators.joins import sized_broadcast
+from zonepulse.functions.exprs import MONEY_SCALE, RATIO_SCALE, exact_avg, round_half_up, rounded_mean
+from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
+from zonepulse.operators.profile import group_profile
 from zonepulse.sources.schemas import REPORT_ZONE_ATTRS
 
 SUMMARY_COLUMNS = REPORT_ZONE_ATTRS + [
@@ -99,22 +93,25 @@ def zone_summary(
         round_half_up(exact_avg("orders_per_device_ratio", RATIO_SCALE), 4).alias("orders_per_device_ratio"),
     )
 
-    released_days = sized_broadcast(
-        enriched.select("zone_id", "neighbourhood", "city", "event_date").distinct(), broadcast_max_rows
-    )
+    geo = ["neighbourhood", "city"]
+    released_days = enriched.select(*geo, "event_date")
+    zone_of_place = enriched.select("zone_id", *geo).distinct()
+    small = fits_broadcast(released_days, broadcast_max_rows)
     window = orders.select(
-        "event_date", "neighbourhood", "city", "customer_id", "order_value_usd",
+        "order_id", "event_date", "neighbourhood", "city", "customer_id", "order_value_usd",
         "order_hour", "cuisine_type",
     ).where(F.col("event_date").between(F.lit(start), F.lit(end)))
-    per_zone = (
-        window.join(released_days, ["neighbourhood", "city", "event_date"], "inner")
-        .groupBy("zone_id")
-        .agg(
-            distinct_count("customer_id", approx_distinct).alias("total_customers"),
-            round_half_up(exact_avg("order_value_usd"), 2).alias("avg_order_value_usd"),
-            det_mode("order_hour").alias("peak_hour"),
-            det_mode("cuisine_type").alias("top_cuisine"),
-        )
+    per_place = group_profile(
+        restrict_to(window, released_days, geo + ["event_date"], small),
+        geo,
+        count_col="order_id",
+        value_col="order_value_usd",
+        distinct={"total_customers": "customer_id"},
+        modes={"peak_hour": "order_hour", "top_cuisine": "cuisine_type"},
+        approx_distinct=approx_distinct,
+    ).withColumn("avg_order_value_usd", rounded_mean("value", 2))
+    per_zone = attach(per_place, zone_of_place, geo, small).select(
+        "zone_id", "total_customers", "avg_order_value_usd", "peak_hour", "top_cuisine"
     )
 
     # Exactly one row, so broadcasting it is bounded by construction.

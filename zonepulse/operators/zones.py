@@ -8,16 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULT_MIN_GROUP_SIZE
-from zonepulse.functions.exprs import (
-    MONEY_SCALE,
-    det_mode,
-    distinct_count,
-    exact_avg,
-    exact_sum,
-    round_half_up,
-    safe_ratio,
-)
-from zonepulse.operators.joins import sized_broadcast
+from zonepulse.functions.exprs import MONEY_SCALE, round_half_up, rounded_mean, safe_ratio
+from zonepulse.operators.joins import attach, fits_broadcast, restrict_to, sized_broadcast
+from zonepulse.operators.profile import group_profile
 from zonepulse.sources.schemas import REGISTRY_COLUMNS, ZONE_ATTRS, ZONE_DAY_COLUMNS
 
 _ORDER_INPUTS = [
@@ -44,30 +37,37 @@ def zone_day_metrics(
     peak_hour and top_cuisine (mode, ties -> lowest), orders_per_device_ratio
     (= total_orders / (density x area), null when that is 0; 4 dp), event_date.
 
-    Plan: window filter pushed into the scan, broadcast hash join to the zone
-    dimension (size-checked), one hash aggregate whose partial step runs before
-    the shuffle; the suppression filter and the ratio run on the aggregate.
+    Plan: window filter pushed into the scan; a broadcast left-semi join
+    drops orders of unknown places inside the scan stage; one grouping-sets
+    aggregate on the orders' own keys (neighbourhood, city, event_date), see
+    :func:`group_profile`; suppression; then the zone attributes are joined to
+    the aggregate (broadcast when the size check passes).  Assumes one zone
+    row per zone, as in a dimension table.
     """
     window = orders.select(*_ORDER_INPUTS).where(
         F.col("event_date").between(F.lit(start), F.lit(end))
     )
-    dim = sized_broadcast(zones.select(*ZONE_ATTRS), broadcast_max_rows)
-    agg = (
-        window.join(dim, ["neighbourhood", "city"], "inner")
-        .groupBy(*ZONE_ATTRS, "event_date")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            distinct_count("customer_id", approx_distinct).alias("distinct_customers"),
-            distinct_count("restaurant_id", approx_distinct).alias("distinct_restaurants"),
-            round_half_up(exact_avg("order_value_usd"), 2).alias("avg_order_value_usd"),
-            F.round(exact_sum("order_value_usd"), 2).cast("double").alias("total_order_value_usd"),
-            det_mode(F.hour("order_timestamp")).alias("peak_hour"),
-            det_mode("cuisine_type").alias("top_cuisine"),
-        )
-        .where(F.col("total_orders") >= F.lit(min_group_size))
-    )
+    dim = zones.select(*ZONE_ATTRS)
+    small = fits_broadcast(dim, broadcast_max_rows)
+    geo = ["neighbourhood", "city"]
+    profile = group_profile(
+        restrict_to(window, dim, geo, small),
+        geo + ["event_date"],
+        count_col="order_id",
+        value_col="order_value_usd",
+        distinct={"distinct_customers": "customer_id", "distinct_restaurants": "restaurant_id"},
+        modes={"peak_hour": F.hour("order_timestamp"), "top_cuisine": "cuisine_type"},
+        approx_distinct=approx_distinct,
+    ).where(F.col("_n") >= F.lit(min_group_size))
+    agg = attach(profile, dim, geo, small).withColumnRenamed("_n", "total_orders")
     ratio = safe_ratio("total_orders", F.col("device_density_per_km2") * F.col("zone_area_km2"))
-    return agg.withColumn("orders_per_device_ratio", round_half_up(ratio, 4)).select(*ZONE_DAY_COLUMNS)
+    return agg.withColumns(
+        {
+            "avg_order_value_usd": rounded_mean("value", 2),
+            "total_order_value_usd": F.round(F.col("_value_sum"), 2).cast("double"),
+            "orders_per_device_ratio": round_half_up(ratio, 4),
+        }
+    ).select(*ZONE_DAY_COLUMNS)
 
 
 # The protected query as parameterised SQL.  {orders} and {zones} are DataFrames

@@ -34,13 +34,20 @@ class FixtureRun:
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg or fixture_config(sf_dir)
+        self._orders: DataFrame | None = None
         self._enriched: DataFrame | None = None
         self._summary: DataFrame | None = None
 
     # inputs ------------------------------------------------------------------
-    def orders(self) -> DataFrame:
-        """Cleaned orders: the staged interim feed of every downstream step."""
-        return clean_orders(fixtures.order_events(self.spark, self.sf_dir))
+    def orders(self, staged: bool = True) -> DataFrame:
+        """Cleaned orders.  ``staged``: written once as the run's interim table
+        (partitioned by event_date) and read back by every later step, as the
+        windowed run does; otherwise a lazy plan, for single-use queries."""
+        if not staged:
+            return clean_orders(fixtures.order_events(self.spark, self.sf_dir))
+        if self._orders is None:
+            self._orders = materialize(self.orders(staged=False), "interim", partition_by="event_date")
+        return self._orders
 
     def zones(self) -> DataFrame:
         return fixtures.geo_zone_devices(self.spark, self.sf_dir)
@@ -49,18 +56,22 @@ class FixtureRun:
         return fixtures.zone_registry(self.spark, self.sf_dir, self.cfg.min_group_size)
 
     # steps -------------------------------------------------------------------
-    def zone_day(self) -> DataFrame:
+    def zone_day(self, staged: bool = True) -> DataFrame:
         c = self.cfg
         return zone_day_metrics(
-            self.orders(), self.zones(), c.start, c.end, c.min_group_size,
+            self.orders(staged), self.zones(), c.start, c.end, c.min_group_size,
             approx_distinct=c.approx_distinct, broadcast_max_rows=c.broadcast_max_rows,
         )
 
     def enriched(self, materialized: bool = True) -> DataFrame:
+        """Enriched zone-days.  ``materialized``: built from the staged orders and
+        written once, for runs that read it several times; otherwise one lazy
+        plan straight from the source tables, for single-use queries."""
         if not materialized:
-            return enrich_zones(self.zone_day(), self.registry(), self.cfg.broadcast_max_rows)
+            return enrich_zones(self.zone_day(staged=False), self.registry(), self.cfg.broadcast_max_rows)
         if self._enriched is None:
-            self._enriched = materialize(self.enriched(materialized=False))
+            lazy = enrich_zones(self.zone_day(staged=True), self.registry(), self.cfg.broadcast_max_rows)
+            self._enriched = materialize(lazy, "enriched")
         return self._enriched
 
     def summary(self) -> DataFrame:
@@ -84,13 +95,13 @@ def q_missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_zone_day_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FixtureRun(spark, sf_dir).zone_day()
+    return FixtureRun(spark, sf_dir).zone_day(staged=False)
 
 
 def q_zone_day_metrics_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = FixtureRun(spark, sf_dir)
     c = run.cfg
-    return zone_day_metrics_sql(spark, run.orders(), run.zones(), c.start, c.end, c.min_group_size)
+    return zone_day_metrics_sql(spark, run.orders(staged=False), run.zones(), c.start, c.end, c.min_group_size)
 
 
 def q_enrich_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +120,7 @@ def q_hourly_demand_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = FixtureRun(spark, sf_dir)
     c = run.cfg
-    return thresholds(run.enriched(), c.density_pct, c.ratio_pct, c.approx_quantiles)
+    return thresholds(run.enriched(materialized=False), c.density_pct, c.ratio_pct, c.approx_quantiles)
 
 
 def q_zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

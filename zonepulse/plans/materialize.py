@@ -1,15 +1,18 @@
 """Lineage cuts.
 
 A small derived frame that several branches read (the enriched zone-days) is
-materialised once with a reliable checkpoint in the cluster's shared
+materialised once as a Parquet table in the cluster's shared
 ``spark.checkpoint.dir``.  That makes size checks on it cheap, stops every
 branch from re-running the aggregate over the orders, and survives the loss
 of the executors that computed it (unlike a cache or a local checkpoint).
+A written table costs one job; ``Dataset.checkpoint`` without a cache would
+compute the lineage twice (once for the action, once to write the files).
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +33,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eagerly checkpoint ``df`` to reliable storage and return the cut frame."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "frame", partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once under the checkpoint directory and return a frame reading it.
+
+    ``partition_by`` lays the table out in directories by that column, so a
+    later filter on it prunes files instead of reading them.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/zonepulse-{name}-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    out = spark.read.parquet(path)
+    # Keep the column order of the source (partition columns are read back last).
+    return out.select(*df.columns)
