@@ -40,6 +40,17 @@ def _quantile(column: str, pct: float, approx: bool):
     return F.expr(f"percentile_disc({float(pct)!r}) WITHIN GROUP (ORDER BY {column})")
 
 
+def underserved_flag(density_threshold, ratio_threshold):
+    """density >= density_threshold AND ratio < ratio_threshold; unknown -> false.
+
+    NaN compares as the largest value in Spark, so a NaN density counts as high.
+    """
+    flag = (F.col("device_density_per_km2") >= density_threshold) & (
+        F.col("orders_per_device_ratio") < ratio_threshold
+    )
+    return F.coalesce(flag, F.lit(False))
+
+
 def thresholds(
     enriched: DataFrame,
     density_pct: float = DEFAULT_DENSITY_PCT,
@@ -116,15 +127,12 @@ def zone_summary(
 
     # Exactly one row, so broadcasting it is bounded by construction.
     limits = F.broadcast(thresholds(enriched, density_pct, ratio_pct, approx_quantiles))
-    flag = (F.col("device_density_per_km2") >= F.col("density_threshold")) & (
-        F.col("orders_per_device_ratio") < F.col("ratio_median")
-    )
     return (
         daily.join(per_zone, "zone_id", "left")
         .crossJoin(limits)
         .withColumns(
             {
-                "is_underserved": F.coalesce(flag, F.lit(False)),
+                "is_underserved": underserved_flag(F.col("density_threshold"), F.col("ratio_median")),
                 "window_start": F.lit(start.isoformat()),
                 "window_end": F.lit(end.isoformat()),
             }
