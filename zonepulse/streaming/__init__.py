@@ -1 +1 @@
-"""Streaming entry points (see ingest.py)."""
+"""Streaming entry points: the daily ingest as a Structured Streaming job."""

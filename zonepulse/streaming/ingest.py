@@ -1,0 +1,56 @@
+"""Daily order files staged by a Structured Streaming file source.
+
+The same ingest as :func:`zonepulse.plans.run.stage_orders`, run as a stream:
+the file source's checkpoint records which ``orders_*.csv`` files were
+processed, which replaces the "is this day already staged?" check, and every
+micro-batch is cleaned and written with dynamic partition overwrite.
+``trigger(availableNow=True)`` processes everything that has landed and
+stops, so a scheduler can run it once per day; a long-running trigger works
+the same way.
+
+Contract (as for the batch ingest): one file per day holds that day's
+complete delivery.  A day re-delivered under a new file name replaces the
+staged day; two partial files of one day must arrive in the same batch.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from zonepulse.operators.ingest import clean_orders
+from zonepulse.plans.sinks import write_interim
+from zonepulse.sources.schemas import RAW_ORDERS
+
+
+def order_file_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of ``{src_dir}/orders_*.csv`` with the declared raw schema."""
+    reader = (
+        spark.readStream.schema(RAW_ORDERS)
+        .option("header", True)
+        .option("pathGlobFilter", "orders_*.csv")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.csv(src_dir)
+
+
+def stage_stream(
+    spark: SparkSession,
+    src_dir: str,
+    interim_root: str,
+    checkpoint: str,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Start the staging stream; ``checkpoint`` must be a shared, durable folder."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_interim(clean_orders(batch), interim_root)
+
+    writer = (
+        order_file_stream(spark, src_dir)
+        .writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    return writer.start()
