@@ -3,22 +3,27 @@
 Spark's own plan for ``count(DISTINCT a), count(DISTINCT b), mode(c)`` in one
 aggregate expands every row once per distinct column and carries a mode
 buffer (a hash-map object) in every expanded group, which forces
-object-hash / sort-based aggregation over the whole input.  Here the same
-numbers come from one scan and two aggregation levels:
-
-level 1  GROUP BY GROUPING SETS ((k), (k, a), (k, b), (k, c), ...) over the
-         input, with fixed-width measures only (count, decimal sum, row
-         count), so it is a hash aggregate whose partial step collapses rows
-         map-side: a hot key ships one row per distinct value per map task.
-level 2  GROUP BY k over the level-1 rows: the (k) row gives count and sums;
-         the number of non-null a-values among the (k, a) rows is
-         count(DISTINCT a); the mode of c is the c of the (k, c) row with the
-         most input rows, ties to the lowest c (``min_by`` on (-rows, c)).
-         Its input is bounded by keys x distinct values, not by input rows.
+object-hash / sort-based aggregation over the whole input.  Here:
+
+counts   GROUP BY GROUPING SETS ((k), (k, a), (k, b)) with fixed-width
+         measures only (count, decimal sum), so both levels are hash
+         aggregates whose partial step collapses rows map-side: a hot key
+         ships one row per distinct value per map task.  Level 2 (GROUP BY k)
+         takes count and sums from the (k) row and counts the non-null a-values
+         among the (k, a) rows = count(DISTINCT a).
+modes    GROUP BY GROUPING SETS ((k, c), (k, d)) -> row counts per value
+         (hash, partial), then per k the value with the most rows, ties to the
+         lowest (``min_by`` on (-rows, value)).  Only this small result --
+         keys x distinct values -- goes through a sort-based aggregate.
+         It reads the key and mode columns a second time rather than sorting
+         the (k, a) rows of the counts branch.
+The two key-grain results are joined null-safe on k.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,43 +66,59 @@ def group_profile(
         # HLL++ sketches are fixed width: they ride in the (k) set's aggregate.
         measures += [F.approx_count_distinct(f"_x_{a}", HLL_RSD).alias(f"_a_{a}") for a in distinct]
 
-    # Columns that become grouping-set members.
-    names = ([] if approx_distinct else [f"_x_{a}" for a in distinct]) + [f"_m_{a}" for a in modes]
-    if not names:
-        out = src.groupBy(*keys).agg(*measures)
-        return out.select(*keys, *[F.col(c) for c in out.columns if c not in keys and not c.startswith("_a_")],
-                          *[F.col(f"_a_{a}").alias(a) for a in distinct])
-
-    # Level 1 -----------------------------------------------------------------
-    m = len(names)
-    all_out = (1 << m) - 1                          # grouping_id of the (k) set
-
-    def gid_of(name: str) -> int:                   # grouping_id of the (k, name) set
-        return all_out - (1 << (m - 1 - names.index(name)))
-
     key_cols = [F.col(k) for k in keys]
-    sets = [key_cols] + [key_cols + [F.col(n)] for n in names]
-    level1 = src.groupingSets(sets, *key_cols, *[F.col(n) for n in names]).agg(
-        *measures, F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid")
-    )
-
-    # Level 2 -----------------------------------------------------------------
     gid = F.col("_gid")
 
-    def from_whole(c: str, alias: str) -> Column:
-        return F.sum(F.when(gid == all_out, F.col(c))).alias(alias)
-
-    aggs = [from_whole("_n", "_n")]
-    if value_col is not None:
-        aggs += [from_whole("_value_sum", "_value_sum"), from_whole("_value_n", "_value_n")]
-    for alias in distinct:
-        if approx_distinct:
-            aggs.append(from_whole(f"_a_{alias}", alias))
-        else:
-            n = f"_x_{alias}"
-            aggs.append(F.count(F.when(gid == gid_of(n), F.col(n))).alias(alias))
-    for alias in modes:
-        n = f"_m_{alias}"
-        take = (gid == gid_of(n)) & F.col(n).isNotNull()
-        aggs.append(F.min_by(F.when(take, F.col(n)), F.when(take, F.struct(-F.col("_rows"), F.col(n)))).alias(alias))
-    return level1.groupBy(*keys).agg(*aggs)
+    # Counts branch ------------------------------------------------------------
+    exact = [] if approx_distinct else [f"_x_{a}" for a in distinct]
+    if not exact:
+        base = src.groupBy(*keys).agg(*measures)
+        base = base.select(*keys, *[F.col(c) for c in base.columns if c not in keys and not c.startswith("_a_")],
+                           *[F.col(f"_a_{a}").alias(a) for a in distinct])
+    else:
+        m = len(exact)
+        whole = (1 << m) - 1                          # grouping_id of the (k) set
+
+        def gid_of(name: str) -> int:                 # grouping_id of the (k, name) set
+            return whole - (1 << (m - 1 - exact.index(name)))
+
+        level1 = src.groupingSets(
+            [key_cols] + [key_cols + [F.col(n)] for n in exact], *key_cols, *[F.col(n) for n in exact]
+        ).agg(*measures, F.grouping_id().alias("_gid"))
+
+        def from_whole(c: str) -> Column:
+            return F.sum(F.when(gid == whole, F.col(c))).alias(c)
+
+        aggs = [from_whole("_n")]
+        if value_col is not None:
+            aggs += [from_whole("_value_sum"), from_whole("_value_n")]
+        aggs += [F.count(F.when(gid == gid_of(f"_x_{a}"), F.col(f"_x_{a}"))).alias(a) for a in distinct]
+        base = level1.groupBy(*keys).agg(*aggs)
+    if not modes:
+        return base
+
+    # Modes branch -------------------------------------------------------------
+    mnames = [f"_m_{a}" for a in modes]
+    if len(mnames) == 1:
+        counted = src.where(F.col(mnames[0]).isNotNull()).groupBy(*keys, mnames[0]).agg(
+            F.count(F.lit(1)).alias("_rows"), F.lit(0).alias("_gid"))
+
+        def mgid(name: str) -> int:
+            return 0
+    else:
+        mm = len(mnames)
+
+        def mgid(name: str) -> int:
+            return (1 << mm) - 1 - (1 << (mm - 1 - mnames.index(name)))
+
+        counted = src.groupingSets(
+            [key_cols + [F.col(n)] for n in mnames], *key_cols, *[F.col(n) for n in mnames]
+        ).agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid"))
+    picks = []
+    for alias, n in zip(modes, mnames):
+        take = (gid == mgid(n)) & F.col(n).isNotNull()
+        picks.append(F.min_by(F.when(take, F.col(n)), F.when(take, F.struct(-F.col("_rows"), F.col(n)))).alias(alias))
+    picked = counted.groupBy(*keys).agg(*picks)
+    # Keys may hold nulls (e.g. an hour of an unparsable timestamp): join null-safe.
+    cond = reduce(lambda x, y: x & y, [base[k].eqNullSafe(picked[k]) for k in keys])
+    return base.join(picked, cond, "left").select(base["*"], *[picked[a] for a in modes])
