@@ -46,7 +46,7 @@ class FixtureRun:
         if not staged:
             return clean_orders(fixtures.order_events(self.spark, self.sf_dir))
         if self._orders is None:
-            self._orders = materialize(self.orders(staged=False), "interim", partition_by="event_date")
+            self._orders = materialize(self.orders(staged=False), "interim")
         return self._orders
 
     def zones(self) -> DataFrame:

@@ -4,6 +4,7 @@ re-run of the same window overwrites exactly that window and nothing else."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from zonepulse.config import RunConfig
 from zonepulse.operators.summary import summary_order
@@ -34,7 +35,16 @@ def write_zone_day(zone_day: DataFrame, root: str, cfg: RunConfig) -> str:
     and CSV with header (the hand-over format).  Returns the Parquet path."""
     base = window_path(root, cfg)
     zone_day.write.mode("overwrite").parquet(f"{base}/parquet")
-    zone_day.write.mode("overwrite").option("header", True).csv(f"{base}/csv")
+    # The CSV copy is made from the written Parquet, so the aggregate over the
+    # orders runs once.  It is ordered (most orders first, then city,
+    # neighbourhood); only the sink sorts, since every consumer re-aggregates.
+    written = zone_day.sparkSession.read.parquet(f"{base}/parquet")
+    (
+        written.orderBy(F.desc("total_orders"), F.asc("city"), F.asc("neighbourhood"), F.asc("event_date"))
+        .write.mode("overwrite")
+        .option("header", True)
+        .csv(f"{base}/csv")
+    )
     return f"{base}/parquet"
 
 
@@ -43,12 +53,15 @@ def write_grid(grid: DataFrame, root: str, cfg: RunConfig) -> tuple[str, str]:
 
     Partition columns live in directory names, not inside the files: read the
     root directory to get ``city`` back.  The CSV copy is repartitioned by city
-    so each city is one file; the grid holds at most zones x 168 rows.
+    so each city is one file; the grid holds at most zones x 168 rows.  The CSV
+    copy is made from the written Parquet, so the grid is computed once.
     """
     base = window_path(root, cfg)
     grid.write.mode("overwrite").partitionBy("city").parquet(f"{base}/parquet")
+    written = grid.sparkSession.read.parquet(f"{base}/parquet")  # the grid is computed once
     (
-        grid.repartition("city")
+        written.select(*grid.columns)
+        .repartition("city")
         .write.mode("overwrite")
         .option("header", True)
         .partitionBy("city")
