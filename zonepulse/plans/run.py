@@ -56,10 +56,14 @@ class RunResult:
     metrics: dict = field(default_factory=dict)
 
 
-def staged_days(spark: SparkSession, interim_root: str) -> DataFrame:
-    """Days already present in the interim root (partition values only)."""
+def staged_days(spark: SparkSession, interim_root: str, cfg: RunConfig) -> DataFrame:
+    """Window days already present in the interim root.
+
+    Only the partition column is read, and the window predicate prunes the
+    partitions, so the cost does not grow with the history kept in the root.
+    """
     try:
-        return readers.read_interim(spark, interim_root).select("event_date")
+        return readers.read_interim(spark, interim_root, cfg.start, cfg.end).select("event_date")
     except AnalysisException:  # nothing staged yet
         return spark.createDataFrame([], CLEAN_ORDERS).select("event_date")
 
@@ -73,7 +77,7 @@ def stage_orders(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> list:
     overwrite.  Days already staged are skipped, so a re-run is idempotent.
     """
     todo = [r.event_date for r in missing_days(day_spine(spark, cfg.start, cfg.end),
-                                               staged_days(spark, paths.interim)).collect()]
+                                               staged_days(spark, paths.interim, cfg)).collect()]
     if not todo:
         return []
     pattern = readers.order_file(paths.orders_src, "{" + ",".join(d.isoformat() for d in todo) + "}")
