@@ -14,7 +14,7 @@ from zonepulse.config import RunConfig
 from zonepulse.operators.ingest import clean_orders
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics
 from zonepulse.plans.run import RunPaths, run_window
-from zonepulse.sources import fixtures
+from zonepulse.sources import fixtures, readers
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,6 +51,10 @@ def test_run_window_end_to_end(spark, scratch):
     got = spark.read.parquet(r2.outputs["zone_day"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     enriched = enrich_zones(want, fixtures.zone_registry(spark, SF, 3))
+    # the CSV hand-over reads back with its declared schema to the same rows
+    handed = readers.read_zone_day_csv(spark, r2.outputs["zone_day"].replace("/parquet", "/csv"))
+    assert handed.schema == got.schema
+    assert sorted(map(tuple, handed.collect())) == sorted(map(tuple, got.collect()))
 
     # summary: one CSV file with header, sorted by total_orders desc
     files = glob.glob(os.path.join(r2.outputs["summary_csv"], "*.csv"))

@@ -76,18 +76,21 @@ def dirty_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = order_events(spark, sf_dir)
     oid = F.col("order_id").cast("bigint")
     v = F.col("order_value_usd")
-    base = base.withColumn(
-        "order_value_usd",
-        F.when(oid % 13 == 0, F.lit(None).cast("double")).when(oid % 11 == 0, -v).otherwise(v),
+    corrupt = F.when(oid % 13 == 0, F.lit(None).cast("double")).when(oid % 11 == 0, -v).otherwise(v)
+    # One scan: every order is emitted 1-3 times (0 = original, 1 = identical
+    # re-delivery, 2 = later correction) by a generator, not by a union of scans.
+    copies = F.array_compact(
+        F.array(F.lit(0), F.when(oid % 7 == 0, F.lit(1)), F.when(oid % 5 == 0, F.lit(2)))
     )
-    exact_copies = base.where(oid % 7 == 0)
-    corrections = base.where(oid % 5 == 0).withColumns(
+    fanned = base.withColumn("order_value_usd", corrupt).withColumn("_copy", F.explode(copies))
+    correction = F.col("_copy") == 2
+    return fanned.withColumns(
         {
-            "order_timestamp": F.col("order_timestamp") + F.expr("INTERVAL 1 SECOND"),
-            "order_value_usd": v + F.lit(1.0),
+            "order_timestamp": F.when(correction, F.col("order_timestamp") + F.expr("INTERVAL 1 SECOND"))
+            .otherwise(F.col("order_timestamp")),
+            "order_value_usd": F.when(correction, v + F.lit(1.0)).otherwise(v),
         }
-    )
-    return base.unionByName(exact_copies).unionByName(corrections)
+    ).drop("_copy")
 
 
 def geo_zone_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
