@@ -43,18 +43,9 @@ def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
     return exact_sum(c, scale).cast("double") / F.count(c)
 
 
-def mean_parts(c: Column | str, name: str, scale: int = MONEY_SCALE) -> list[Column]:
-    """Aggregate columns ``_{name}_sum`` (decimal) and ``_{name}_n`` for a mean
-    that is finished by :func:`rounded_mean` in a projection after the aggregate.
-
-    Splitting the mean this way keeps each sum a single aggregate even when the
-    aggregate also holds distinct counts (whose rewrite would otherwise carry
-    every reference to the sum separately).
-    """
-    return [exact_sum(c, scale).alias(f"_{name}_sum"), F.count(_col(c)).alias(f"_{name}_n")]
-
-
 def rounded_mean(name: str, digits: int) -> Column:
+    """Finish a mean from the ``_{name}_sum`` (decimal) and ``_{name}_n`` columns of
+    an aggregate (see ``group_profile``), rounded half-up at ``digits``."""
     return round_half_up(F.col(f"_{name}_sum").cast("double") / F.col(f"_{name}_n"), digits)
 
 
@@ -63,16 +54,6 @@ def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return _col(numerator).cast("double") / F.nullif(_col(denominator), F.lit(0.0))
 
 
-def det_mode(c: Column | str) -> Column:
-    """Most frequent non-null value; ties go to the lowest value."""
-    return F.mode(_col(c), True)
-
-
-def distinct_count(c: Column | str, approx: bool = False, rsd: float = 0.01) -> Column:
-    """Exact distinct count, or HyperLogLog++ with relative standard deviation ``rsd``."""
-    return F.approx_count_distinct(_col(c), rsd) if approx else F.count_distinct(_col(c))
-
-
 def coerce(c: str, source_type: DataType, target: str) -> Column:
     """Bring a source column to ``target`` type.
 

@@ -16,12 +16,6 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` if it passes :func:`fits_broadcast`, else ``df`` unchanged
-    (Spark then plans a shuffle join)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def restrict_to(facts: DataFrame, dim: DataFrame, keys: list[str], small: bool) -> DataFrame:
     """Keep the fact rows whose ``keys`` occur in ``dim`` (a left-semi join).
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULT_MIN_GROUP_SIZE
 from zonepulse.functions.exprs import MONEY_SCALE, round_half_up, rounded_mean, safe_ratio
-from zonepulse.operators.joins import attach, fits_broadcast, restrict_to, sized_broadcast
+from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
 from zonepulse.operators.profile import group_profile
 from zonepulse.sources.schemas import REGISTRY_COLUMNS, ZONE_ATTRS, ZONE_DAY_COLUMNS
 
@@ -144,7 +144,7 @@ def enrich_zones(zone_day: DataFrame, registry: DataFrame, broadcast_max_rows: i
     threshold is text in the registry; an unparsable one drops the zone.
     Note the threshold is compared with a *daily* total.
     """
-    reg = sized_broadcast(registry.select(*REGISTRY_COLUMNS), broadcast_max_rows)
-    return zone_day.join(reg, "zone_id", "inner").where(
+    reg = registry.select(*REGISTRY_COLUMNS)
+    return attach(zone_day, reg, ["zone_id"], fits_broadcast(reg, broadcast_max_rows)).where(
         F.col("total_orders") >= F.col("min_order_threshold").try_cast("int")
     )
