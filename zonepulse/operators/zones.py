@@ -70,36 +70,72 @@ def zone_day_metrics(
     ).select(*ZONE_DAY_COLUMNS)
 
 
-# The protected query as parameterised SQL.  {orders} and {zones} are DataFrames
-# handed to spark.sql as keyword arguments; :start_date, :end_date and
-# :min_group_size are bound parameters (values are never spliced into the text).
+# The protected query as parameterised SQL, written the way the DataFrame form
+# plans it: orders of known places only (semi-join), counts and exact distinct
+# counts from one GROUPING SETS hash aggregate, modes from a narrow value count,
+# zone attributes attached to the small result.  {orders} and {zones} are
+# DataFrames handed to spark.sql as keyword arguments; :start_date, :end_date
+# and :min_group_size are bound parameters (never spliced into the text).
+# grouping_id bits: (k) = 3, (k, customer) = 1, (k, restaurant) = 2;
+# value counts: (k, hour) = 1, (k, cuisine) = 2.
 ZONE_DAY_SQL = f"""
-WITH agg AS (
-  SELECT
-    gz.zone_id, gz.neighbourhood, gz.city, gz.state, gz.zone_type,
-    gz.device_density_per_km2, gz.avg_dwell_time_min, gz.zone_area_km2,
-    COUNT(oe.order_id)                                        AS total_orders,
-    COUNT(DISTINCT oe.customer_id)                            AS distinct_customers,
-    COUNT(DISTINCT oe.restaurant_id)                          AS distinct_restaurants,
-    SUM(CAST(oe.order_value_usd AS DECIMAL(38,{MONEY_SCALE})))  AS value_sum,
-    COUNT(oe.order_value_usd)                                 AS value_n,
-    MODE(EXTRACT(HOUR FROM oe.order_timestamp), true)         AS peak_hour,
-    MODE(oe.cuisine_type, true)                               AS top_cuisine,
-    oe.event_date
+WITH src AS (
+  SELECT oe.neighbourhood, oe.city, oe.event_date, oe.order_id, oe.customer_id,
+         oe.restaurant_id, oe.order_value_usd, oe.cuisine_type,
+         EXTRACT(HOUR FROM oe.order_timestamp) AS hr
   FROM {{orders}} oe
-  JOIN {{zones}} gz
+  LEFT SEMI JOIN {{zones}} gz
     ON oe.neighbourhood = gz.neighbourhood AND oe.city = gz.city
   WHERE oe.event_date BETWEEN :start_date AND :end_date
-  GROUP BY gz.zone_id, gz.neighbourhood, gz.city, gz.state, gz.zone_type,
-           gz.device_density_per_km2, gz.avg_dwell_time_min, gz.zone_area_km2,
-           oe.event_date
-  HAVING COUNT(oe.order_id) >= :min_group_size
+), level1 AS (
+  SELECT neighbourhood, city, event_date, customer_id, restaurant_id,
+         COUNT(order_id)                                          AS n,
+         SUM(CAST(order_value_usd AS DECIMAL(38,{MONEY_SCALE})))  AS value_sum,
+         COUNT(order_value_usd)                                   AS value_n,
+         GROUPING_ID()                                            AS gid
+  FROM src
+  GROUP BY GROUPING SETS ((neighbourhood, city, event_date),
+                          (neighbourhood, city, event_date, customer_id),
+                          (neighbourhood, city, event_date, restaurant_id))
+), counts AS (
+  SELECT neighbourhood, city, event_date,
+         SUM(CASE WHEN gid = 3 THEN n END)                   AS total_orders,
+         COUNT(CASE WHEN gid = 1 THEN customer_id END)       AS distinct_customers,
+         COUNT(CASE WHEN gid = 2 THEN restaurant_id END)     AS distinct_restaurants,
+         SUM(CASE WHEN gid = 3 THEN value_sum END)           AS value_sum,
+         SUM(CASE WHEN gid = 3 THEN value_n END)             AS value_n
+  FROM level1
+  GROUP BY neighbourhood, city, event_date
+  HAVING SUM(CASE WHEN gid = 3 THEN n END) >= :min_group_size
+), value_counts AS (
+  SELECT neighbourhood, city, event_date, hr, cuisine_type, COUNT(*) AS n, GROUPING_ID() AS gid
+  FROM src
+  GROUP BY GROUPING SETS ((neighbourhood, city, event_date, hr),
+                          (neighbourhood, city, event_date, cuisine_type))
+), modes AS (
+  SELECT neighbourhood, city, event_date,
+         MIN_BY(CASE WHEN gid = 1 AND hr IS NOT NULL THEN hr END,
+                CASE WHEN gid = 1 AND hr IS NOT NULL THEN named_struct('n', -n, 'v', hr) END)
+           AS peak_hour,
+         MIN_BY(CASE WHEN gid = 2 AND cuisine_type IS NOT NULL THEN cuisine_type END,
+                CASE WHEN gid = 2 AND cuisine_type IS NOT NULL
+                     THEN named_struct('n', -n, 'v', cuisine_type) END)
+           AS top_cuisine
+  FROM value_counts
+  GROUP BY neighbourhood, city, event_date
 ), raw AS (
-  SELECT *,
-    CAST(value_sum AS DOUBLE) / value_n AS avg_raw,
-    CAST(total_orders AS DOUBLE)
-      / NULLIF(device_density_per_km2 * zone_area_km2, 0D) AS ratio_raw
-  FROM agg
+  SELECT gz.zone_id, gz.neighbourhood, gz.city, gz.state, gz.zone_type,
+         gz.device_density_per_km2, gz.avg_dwell_time_min, gz.zone_area_km2,
+         c.total_orders, c.distinct_customers, c.distinct_restaurants, c.value_sum,
+         m.peak_hour, m.top_cuisine, c.event_date,
+         CAST(c.value_sum AS DOUBLE) / c.value_n AS avg_raw,
+         CAST(c.total_orders AS DOUBLE)
+           / NULLIF(gz.device_density_per_km2 * gz.zone_area_km2, 0D) AS ratio_raw
+  FROM counts c
+  LEFT JOIN modes m
+    ON c.neighbourhood <=> m.neighbourhood AND c.city <=> m.city AND c.event_date <=> m.event_date
+  JOIN {{zones}} gz
+    ON c.neighbourhood = gz.neighbourhood AND c.city = gz.city
 )
 SELECT
   zone_id, neighbourhood, city, state, zone_type,
