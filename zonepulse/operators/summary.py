@@ -11,6 +11,7 @@ from zonepulse.config import DEFAULT_DENSITY_PCT, DEFAULT_RATIO_PCT
 from zonepulse.functions.exprs import MONEY_SCALE, RATIO_SCALE, exact_avg, round_half_up, rounded_mean
 from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
 from zonepulse.operators.profile import group_profile
+from zonepulse.operators.quantiles import distributed_percentile
 from zonepulse.sources.schemas import REPORT_ZONE_ATTRS
 
 SUMMARY_COLUMNS = REPORT_ZONE_ATTRS + [
@@ -51,23 +52,43 @@ def underserved_flag(density_threshold, ratio_threshold):
     return F.coalesce(flag, F.lit(False))
 
 
+# Populations up to this many rows use Spark's percentile aggregate (its final
+# merge holds every distinct value in one task); larger ones the distributed path.
+SINGLE_MERGE_MAX_ROWS = 1_000_000
+
+
 def thresholds(
     enriched: DataFrame,
     density_pct: float = DEFAULT_DENSITY_PCT,
     ratio_pct: float = DEFAULT_RATIO_PCT,
     approx: bool = False,
+    single_merge_max_rows: int = SINGLE_MERGE_MAX_ROWS,
 ) -> DataFrame:
     """One row: density_threshold, ratio_median over the enriched zone-day rows.
 
     Exact discrete percentiles by default (the first value whose cumulative
-    share reaches the percentile; nulls ignored; no rows -> nulls).  Both run
-    in one aggregate, partially aggregated per task.  The population is
-    zone-days, bounded by zones x window days rather than by order volume;
-    ``approx=True`` switches to a fixed-size sketch for very large zone sets.
+    share reaches the percentile; nulls ignored; no rows -> nulls).  The
+    population is zone-days, bounded by zones x window days rather than by
+    order volume.  A bounded check (``limit(max + 1).count()``, cheap on the
+    materialised enriched table) picks the plan: up to
+    ``single_merge_max_rows`` rows, one partially aggregated percentile
+    aggregate; beyond, :func:`distributed_percentile`, which never merges the
+    population in one task.  ``approx=True`` uses a fixed-size sketch.
     """
-    return enriched.agg(
-        _quantile("device_density_per_km2", density_pct, approx).alias("density_threshold"),
-        _quantile("orders_per_device_ratio", ratio_pct, approx).alias("ratio_median"),
+    if approx:
+        return enriched.agg(
+            _quantile("device_density_per_km2", density_pct, True).alias("density_threshold"),
+            _quantile("orders_per_device_ratio", ratio_pct, True).alias("ratio_median"),
+        )
+    if enriched.limit(single_merge_max_rows + 1).count() <= single_merge_max_rows:
+        return enriched.agg(
+            _quantile("device_density_per_km2", density_pct, False).alias("density_threshold"),
+            _quantile("orders_per_device_ratio", ratio_pct, False).alias("ratio_median"),
+        )
+    density = distributed_percentile(enriched, "device_density_per_km2", density_pct)
+    ratio = distributed_percentile(enriched, "orders_per_device_ratio", ratio_pct)
+    return density.select(F.col("value").alias("density_threshold")).crossJoin(
+        ratio.select(F.col("value").alias("ratio_median"))
     )
 
 
