@@ -208,3 +208,18 @@ def test_empty_window_yields_empty_outputs(spark):
     assert hourly_demand_grid(orders, enriched, *WIN).count() == 0
     m = run_metrics(enriched, summary).first()
     assert (m.enriched_zone_days, m.summary_zones, m.underserved_zones) == (0, 0, 0)
+
+
+def test_null_density_gives_null_ratio_and_no_flag(spark):
+    zones = spark.createDataFrame(
+        [("Z9", "Harlem", "New York", "Ne", "mixed", 0.0, 0.0, None, 30.0, 1.0)],
+        "zone_id string, neighbourhood string, city string, state string, zone_type string, "
+        "centre_lat double, centre_lon double, device_density_per_km2 double, "
+        "avg_dwell_time_min double, zone_area_km2 double",
+    )
+    orders = clean_orders(raw_orders(spark, [order("h1", nb="Harlem"), order("h2", nb="Harlem")]))
+    zd = zone_day_metrics(orders, zones, *WIN, min_group_size=1)
+    assert zd.first().orders_per_device_ratio is None
+    enriched = enrich_zones(zd, registry_rows(spark, [("Z9", "1")]))
+    s = zone_summary(orders, enriched, *WIN).first()
+    assert s.orders_per_device_ratio is None and s.is_underserved is False
