@@ -17,6 +17,9 @@ import __spark_entry__ as E  # noqa: E402
 from zonepulse.plans.oracle_sql import oracle_sql  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+# DuckDB result type -> Spark simple type name
+TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "DATE": "date",
+         "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +38,8 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(oracle_sql(SF)[name])
+    assert dict(df.dtypes) == {c: TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(oracle_sql(SF)[name])
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
