@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULT_DENSITY_PCT, DEFAULT_RATIO_PCT
 from zonepulse.functions.exprs import MONEY_SCALE, RATIO_SCALE, exact_avg, round_half_up, rounded_mean
-from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
+from zonepulse.operators.joins import attach, restrict_to
 from zonepulse.operators.profile import group_profile
 from zonepulse.operators.quantiles import distributed_percentile
 from zonepulse.sources.schemas import REPORT_ZONE_ATTRS
@@ -63,6 +63,7 @@ def thresholds(
     ratio_pct: float = DEFAULT_RATIO_PCT,
     approx: bool = False,
     single_merge_max_rows: int = SINGLE_MERGE_MAX_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """One row: density_threshold, ratio_median over the enriched zone-day rows.
 
@@ -74,13 +75,16 @@ def thresholds(
     ``single_merge_max_rows`` rows, one partially aggregated percentile
     aggregate; beyond, :func:`distributed_percentile`, which never merges the
     population in one task.  ``approx=True`` uses a fixed-size sketch.
+    ``known_rows``: a row count (or any value above the bound) the caller
+    already has, which saves the check.
     """
     if approx:
         return enriched.agg(
             _quantile("device_density_per_km2", density_pct, True).alias("density_threshold"),
             _quantile("orders_per_device_ratio", ratio_pct, True).alias("ratio_median"),
         )
-    if enriched.limit(single_merge_max_rows + 1).count() <= single_merge_max_rows:
+    rows = known_rows if known_rows is not None else enriched.limit(single_merge_max_rows + 1).count()
+    if rows <= single_merge_max_rows:
         return enriched.agg(
             _quantile("device_density_per_km2", density_pct, False).alias("density_threshold"),
             _quantile("orders_per_device_ratio", ratio_pct, False).alias("ratio_median"),
@@ -128,7 +132,10 @@ def zone_summary(
     geo = ["neighbourhood", "city"]
     released_days = enriched.select(*geo, "event_date")
     zone_of_place = enriched.select("zone_id", *geo).distinct()
-    small = fits_broadcast(released_days, broadcast_max_rows)
+    # One bounded count serves both checks: the broadcast of the released days
+    # and the percentile plan (released days <= enriched rows).
+    rows = enriched.limit(max(broadcast_max_rows, SINGLE_MERGE_MAX_ROWS) + 1).count()
+    small = rows <= broadcast_max_rows
     window = orders.select(
         "order_id", "event_date", "neighbourhood", "city", "customer_id", "order_value_usd",
         "order_hour", "cuisine_type",
@@ -147,7 +154,7 @@ def zone_summary(
     )
 
     # Exactly one row, so broadcasting it is bounded by construction.
-    limits = F.broadcast(thresholds(enriched, density_pct, ratio_pct, approx_quantiles))
+    limits = F.broadcast(thresholds(enriched, density_pct, ratio_pct, approx_quantiles, known_rows=rows))
     return (
         daily.join(per_zone, "zone_id", "left")
         .crossJoin(limits)
