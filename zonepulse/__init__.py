@@ -12,6 +12,8 @@ from zonepulse.config import RunConfig
 from zonepulse.operators.ingest import clean_orders, day_spine, missing_days
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics, zone_day_metrics_sql
 from zonepulse.operators.grid import hourly_demand_grid
+from zonepulse.operators.profile import group_profile
+from zonepulse.operators.quantiles import distributed_percentile
 from zonepulse.operators.summary import (
     hotspot_report,
     run_metrics,
@@ -19,6 +21,7 @@ from zonepulse.operators.summary import (
     underserved_report,
     zone_summary,
 )
+from zonepulse.plans.run import RunPaths, run_window
 
 __all__ = [
     "RunConfig",
@@ -34,4 +37,8 @@ __all__ = [
     "underserved_report",
     "hotspot_report",
     "run_metrics",
+    "group_profile",
+    "distributed_percentile",
+    "RunPaths",
+    "run_window",
 ]
