@@ -5,7 +5,8 @@ a zone dimension and aggregated to zone x day metrics that are released only
 above a minimum group size.  From those come an hour-by-weekday demand grid
 with per-city ranks, a zone summary with quantile-based underserved flags and
 ranked zone reports.  Every step is a lazy DataFrame transformation built
-from Spark's own expressions; actions happen only at sinks.
+from Spark's own expressions; actions happen at sinks, plus bounded size
+checks (``limit(n + 1).count()``) that choose between broadcast and shuffle plans.
 """
 
 from zonepulse.config import RunConfig
