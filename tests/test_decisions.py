@@ -223,3 +223,15 @@ def test_null_density_gives_null_ratio_and_no_flag(spark):
     enriched = enrich_zones(zd, registry_rows(spark, [("Z9", "1")]))
     s = zone_summary(orders, enriched, *WIN).first()
     assert s.orders_per_device_ratio is None and s.is_underserved is False
+
+
+def test_grid_keeps_null_hour_cell_with_its_mode(spark):
+    rows = [order("t1", ts="not a time", cuisine="Thai"), order("t2", ts="also bad", cuisine="Thai"),
+            order("ok", ts="2025-01-06 12:00:00", cuisine="Pizza")]
+    orders = clean_orders(raw_orders(spark, rows))
+    enriched = enrich_zones(zone_day_metrics(orders, _zones(spark), *WIN, min_group_size=1),
+                            registry_rows(spark, [("Z1", "1")]))
+    cells = {(r.order_hour, r.day_of_week): r for r in hourly_demand_grid(orders, enriched, *WIN).collect()}
+    assert set(cells) == {(None, None), (12, 2)}
+    assert cells[(None, None)].order_count == 2 and cells[(None, None)].top_cuisine == "Thai"
+    assert cells[(12, 2)].top_cuisine == "Pizza"
