@@ -74,3 +74,11 @@ def test_run_window_end_to_end(spark, scratch):
         assert len(glob.glob(os.path.join(d, "*.csv"))) == 1
     assert os.path.isdir(r2.outputs["hotspot_csv"]) and os.path.isdir(r2.outputs["underserved_csv"])
     assert r2.outputs["summary_csv"].endswith("2024-01-08_to_2024-01-30")
+
+
+def test_staging_reports_only_days_with_files(spark, scratch):
+    paths = _write_inputs(spark, scratch)
+    cfg = RunConfig(start=D(2024, 1, 29), end=D(2024, 2, 1), min_group_size=3)
+    from zonepulse.plans.run import stage_orders
+    assert stage_orders(spark, cfg, paths) == [D(2024, 1, 29), D(2024, 1, 30)]
+    assert stage_orders(spark, cfg, paths) == []      # Feb days have no file: nothing to do, no error

@@ -76,8 +76,11 @@ def stage_orders(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> list:
     glob matches only files that exist) and written with dynamic partition
     overwrite.  Days already staged are skipped, so a re-run is idempotent.
     """
-    todo = [r.event_date for r in missing_days(day_spine(spark, cfg.start, cfg.end),
-                                               staged_days(spark, paths.interim, cfg)).collect()]
+    def still_missing() -> list:
+        spine = day_spine(spark, cfg.start, cfg.end)
+        return [r.event_date for r in missing_days(spine, staged_days(spark, paths.interim, cfg)).collect()]
+
+    todo = still_missing()
     if not todo:
         return []
     pattern = readers.order_file(paths.orders_src, "{" + ",".join(d.isoformat() for d in todo) + "}")
@@ -87,7 +90,8 @@ def stage_orders(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> list:
     except AnalysisException:  # no raw file for any missing day
         return []
     sinks.write_interim(clean_orders(raw), paths.interim)
-    return todo
+    left = set(still_missing())  # days without a raw file stay missing
+    return [d for d in todo if d not in left]
 
 
 def run_window(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> RunResult:
