@@ -38,23 +38,37 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    errors: dict[str, str] = {}
+
+    def attempt(name: str) -> float | None:
+        if name in errors:
+            return None
+        try:
+            return run_once(name)
+        except Exception as exc:  # keep measuring the others; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return None
+
     for name in names:  # warm-up: JIT, file listing caches
-        run_once(name)
+        attempt(name)
     times: dict[str, list[float]] = {n: [] for n in names}
     for _ in range(runs):
         for name in names:
-            times[name].append(run_once(name))
-    med = {n: round(statistics.median(v), 3) for n, v in times.items()}
+            t = attempt(name)
+            if t is not None:
+                times[name].append(t)
+    med = {n: (round(statistics.median(v), 3) if v and n not in errors else None) for n, v in times.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(med.values()), 3),
+        "value": round(sum(v for v in med.values() if v is not None), 3),
         "unit": "sec",
         "queries": med,
         "sf": sf,
         "cpus": cpus,
         "runs": runs,
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
