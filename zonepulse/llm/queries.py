@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, quality
+from . import decontaminate, jaccard, packing, quality
 from .common import table
 
 
@@ -15,11 +15,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, num=17, den=20)
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
 }
