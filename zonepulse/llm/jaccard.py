@@ -35,6 +35,7 @@ from .words import mix, shingle_sets, slices, words
 
 STARS = 6
 HEAVY = 64
+BLOCK = 128
 ID_BITS = 23
 TOKEN_BITS = 26
 SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, STARS + 2, dtype=np.uint64)
@@ -88,10 +89,10 @@ def _whole_sets(k: int, num: int, den: int, wanted):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             batch = batch.filter(pa.array(test(ids)))
             for lo, hi, data, bounds in slices(batch.column(1)):
-                sets = shingle_sets(words(data, bounds, lower=True), k)
+                sets = [np.sort(s.view(np.int64)).view(np.uint64) for s in shingle_sets(words(data, bounds, lower=True), k)]
                 orders = []
                 for seed in (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)):
-                    orders.append([np.sort(mix(s ^ seed))[: prefix_length(len(s), num, den)] for s in sets])
+                    orders.append([np.sort(mix(s ^ seed).view(np.int64))[: prefix_length(len(s), num, den)].view(np.uint64) for s in sets])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), _lists(sets, np.int64), _lists(orders[0], np.int64), _lists(orders[1], np.int64)],
                     names=["id", "s", "o2", "o3"],
@@ -100,6 +101,31 @@ def _whole_sets(k: int, num: int, den: int, wanted):
     return run
 
 
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    out = []
+    for chunk in column.chunks:
+        flat, at = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [flat[a:b] for a, b in zip(at, at[1:])]
+    return out
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted arrays without repeats."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = b.searchsorted(a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum()) if len(b) else 0
+
+
+def _similar(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], num: int, den: int) -> bool:
+    """Prefixes under orders 2 and 3 must meet before the whole sets are compared."""
+    if not _common(x[1], y[1]) or not _common(x[2], y[2]):
+        return False
+    both = _common(x[0], y[0])
+    return den * both >= num * (len(x[0]) + len(y[0]) - both)
+
+
 class JaccardJoin:
     """Similarity join of ``docs`` (doc_id, text) at ``num / den`` on ``k``-word shingles."""
 
@@ -117,24 +143,48 @@ class JaccardJoin:
     def _sizes_fit(self, a: str, b: str):
         return F.expr(f"{self.den} * least({a}, {b}) >= {self.num} * greatest({a}, {b})")
 
+    def cells(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the cell they are compared in.  Documents with the same smallest
+        partner are dealt to blocks of about ``BLOCK``; a cell is two blocks.  A set is sent
+        once to each cell it is needed in instead of once for each pair, which matters where
+        many documents are nearly similar to one another."""
+        both = pairs.union(pairs.select("b", "a"))
+        near = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("family"))
+        blocks = near.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        block = durable(
+            near.join(blocks, "family")
+            .select("id", F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("block"))
+        )
+        side = lambda x: block.select(F.col("id").alias(x), F.col("block").alias(f"block_{x}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").select(F.xxhash64("block_a", "block_b").alias("cell"), "a", "b")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that pass the prefix filters of orders 2 and 3 and whose
         sets are similar enough."""
         pairs = durable(pairs)
-        ends = pairs.select("a").union(pairs.select("b"))
-        wanted = bit_filter(ends, ID_BITS)
+        wanted = bit_filter(pairs.select("a").union(pairs.select("b")), ID_BITS)
         sets = self.known.mapInArrow(
             _whole_sets(self.k, self.num, self.den, wanted), "id long, s array<long>, o2 array<long>, o3 array<long>"
         )
-        left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("o2").alias("o2a"), F.col("o3").alias("o3a"))
-        right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"), F.col("o2").alias("o2b"), F.col("o3").alias("o3b"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        total = F.size("sa") + F.size("sb")
+        celled = durable(self.cells(pairs))
+        needed = celled.select(F.col("cell").alias("at"), F.col("a").alias("id")).union(celled.select("cell", "b")).distinct()
+        num, den = self.num, self.den
+
+        def compare(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+            own: dict[int, list[tuple[np.ndarray, ...]]] = {}
+            lists = [_arrays(sets[c]) for c in ("s", "o2", "o3")]
+            for i, key in enumerate(sets["id"].to_pylist()):
+                own.setdefault(key, []).append(tuple(x[i] for x in lists))
+            linked = [
+                (a, b)
+                for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist())
+                if any(_similar(x, y, num, den) for x in own.get(a, ()) for y in own.get(b, ()))
+            ]
+            columns = list(zip(*linked)) or [[], []]
+            return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
         return durable(
-            pairs.join(left, "a").join(right, "b")
-            .where(F.arrays_overlap("o2a", "o2b") & F.arrays_overlap("o3a", "o3b"))
-            .where(self.den * both >= self.num * (total - both))
-            .select("a", "b").distinct()
+            celled.groupBy("cell").cogroup(needed.join(sets, "id").groupBy("at")).applyInArrow(compare, "a long, b long")
         )
 
     def groups(self) -> DataFrame:
@@ -206,11 +256,17 @@ class JaccardJoin:
         )
 
         def met(left: DataFrame, right: DataFrame, rank: str) -> DataFrame:
-            side = lambda df, x: df.select("token", *(F.col(c).alias(f"{c}{x}") for c in ("doc_id", "part", "n", rank)))
-            most = f"least({rank}1, {rank}2) + 1 + least(n1 - {rank}1, n2 - {rank}2) - 1"
+            """Pairs that share prefix tokens, as far as their overlap can still be enough.
+            ``s`` tokens are shared up to the ranks i, j of the last one.  The prefix that
+            ends first in the order holds no further shared token, so at most its side's
+            rest beyond the prefix, or the other side's beyond the last shared token, follows."""
+            side = lambda df, x: df.select("token", *(F.col(c).alias(f"{c}{x}") for c in ("doc_id", "part", "n", "p", rank)))
+            most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
             return (
                 side(left, "1").join(side(right, "2"), "token").where("part1 <> part2 and doc_id1 <> doc_id2")
                 .where(self._sizes_fit("n1", "n2"))
+                .groupBy("doc_id1", "doc_id2", "n1", "n2", "p1", "p2")
+                .agg(F.count("*").alias("s"), F.max(f"{rank}1").alias("i"), F.max(f"{rank}2").alias("j"))
                 .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
                 .select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
             )
