@@ -42,19 +42,20 @@ def _grid(lo: float, hi: float, n: int) -> tuple[float, ...]:
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects where ``measure`` (a SQL expression) exceeds the cutoff; cutoffs from loose to strict."""
+    """Rejects where ``over / under`` exceeds the cutoff; cutoffs from loose to strict."""
 
     name: str
-    measure: str
+    over: str
+    under: str
     cutoffs: tuple[float, ...]
 
 
 RULES = (
-    Rule("symbols_per_word", "n_symbols / n_words", _grid(0.02, 4.0, 24)),
-    Rule("repeated_words", "n_repeat_words / n_words", _grid(0.02, 1.0, 24)),
-    Rule("duplicate_lines", "n_dup_lines / n_lines", _grid(0.02, 1.0, 24)),
-    Rule("long_words", "word_chars / n_words", _grid(6.0, 40.0, 24)),
-    Rule("short_words", "n_words / word_chars", _grid(0.25, 1.0, 24)),
+    Rule("symbols_per_word", "n_symbols", "n_words", _grid(0.02, 4.0, 24)),
+    Rule("repeated_words", "n_repeat_words", "n_words", _grid(0.02, 1.0, 24)),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", _grid(0.02, 1.0, 24)),
+    Rule("long_words", "word_chars", "n_words", _grid(6.0, 40.0, 24)),
+    Rule("short_words", "n_words", "word_chars", _grid(0.25, 1.0, 24)),
 )
 
 
@@ -66,44 +67,48 @@ class QualityModel:
     report: list[dict] = field(default_factory=list)
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
+def counts_of(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+    """The ``COUNTS`` of every row of a slice."""
+    w = words(data, bounds, lower=False)
+    n = len(bounds) - 1
+    chars = row_sums(~IS_SPACE[data] & ((data & 0xC0) != 0x80), bounds)
+    symbols = row_sums(SYMBOLS[data], bounds)
+    # lines that hold a word, and those equal to an earlier one of the same row
+    ls, le = spans_of(data != 10, bounds)
+    full = np.searchsorted(w.starts, le) > np.searchsorted(w.starts, ls)
+    ls, le = ls[full], le[full]
+    line_row = np.searchsorted(bounds, ls, side="right") - 1
+    key = mix(SpanHash(data)(ls, le) + mix(line_row.astype(np.uint64)))
+    order = np.argsort(key, kind="stable")
+    again = np.zeros(len(key), dtype=bool)
+    again[1:] = key[order][1:] == key[order][:-1]
+    dup_lines = np.bincount(line_row[order][again], minlength=n)
+    n_lines = np.bincount(line_row, minlength=n)
+    # words covered by 8-word windows that occur at least twice in the row
+    at, h = windows(w, 8)
+    h = mix(h + mix(w.row[at].astype(np.uint64)))
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    twice = np.zeros(len(h), dtype=bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    edge = np.zeros(len(w.row) + 9, dtype=np.int32)
+    np.add.at(edge, at[twice], 1)
+    np.add.at(edge, at[twice] + 8, -1)
+    repeats = row_sums(np.cumsum(edge)[: len(w.row)] > 0, w.first)
+    found = (np.diff(w.first), chars, symbols, n_lines, dup_lines, repeats)
+    return {name: x.astype(np.int64) for name, x in zip(COUNTS, found)}
+
+
 def measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, column = batch.column(0), batch.column(1)
-        for lo, hi, data, bounds in slices(column):
-            w = words(data, bounds, lower=False)
-            n = hi - lo
-            n_words = np.diff(w.first)
-            in_word = ~IS_SPACE[data]
-            chars = row_sums(in_word & ((data & 0xC0) != 0x80), bounds)
-            symbols = row_sums(SYMBOLS[data], bounds)
-            # lines that hold a word, and those equal to an earlier one of the same row
-            ls, le = spans_of(data != 10, bounds)
-            full = np.searchsorted(w.starts, le) > np.searchsorted(w.starts, ls)
-            ls, le = ls[full], le[full]
-            line_row = np.searchsorted(bounds, ls, side="right") - 1
-            key = mix(SpanHash(data)(ls, le) + mix(line_row.astype(np.uint64)))
-            order = np.argsort(key, kind="stable")
-            again = np.zeros(len(key), dtype=bool)
-            again[1:] = key[order][1:] == key[order][:-1]
-            dup_lines = np.bincount(line_row[order][again], minlength=n)
-            n_lines = np.bincount(line_row, minlength=n)
-            # words covered by 8-word windows that occur at least twice in the row
-            at, h = windows(w, 8)
-            h = mix(h + mix(w.row[at].astype(np.uint64)))
-            order = np.argsort(h)
-            same = h[order][1:] == h[order][:-1]
-            twice = np.zeros(len(h), dtype=bool)
-            twice[order[1:][same]] = True
-            twice[order[:-1][same]] = True
-            edge = np.zeros(len(w.row) + 9, dtype=np.int32)
-            np.add.at(edge, at[twice], 1)
-            np.add.at(edge, at[twice] + 8, -1)
-            covered = np.cumsum(edge)[: len(w.row)] > 0
-            repeats = row_sums(covered, w.first)
+        for lo, hi, data, bounds in slices(batch.column(1)):
+            counts = counts_of(data, bounds)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, n)]
-                + [pa.array(x.astype(np.int64)) for x in (n_words, chars, symbols, n_lines, dup_lines, repeats)],
-                names=["doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"],
+                [batch.column(0).slice(lo, hi - lo), *(pa.array(counts[c]) for c in COUNTS)], names=["doc_id", *COUNTS]
             )
 
 
@@ -111,7 +116,7 @@ def measurements(docs: DataFrame) -> DataFrame:
     """Counts of every whole text, plus ``base_failed`` and the stratum; one row per input row."""
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         measure_batches,
-        "doc_id long, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long",
+        "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS),
     )
     stratum = F.lit(len(BANDS))
     for i, end in reversed(list(enumerate(BANDS))):
@@ -170,7 +175,7 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float
     exceeded = [
         F.struct(
             F.lit(rule.name).alias("rule"),
-            sum((F.expr(rule.measure) > F.lit(c)).cast("int") for c in rule.cutoffs).alias("hits"),
+            sum((F.col(rule.over) / F.col(rule.under) > F.lit(c)).cast("int") for c in rule.cutoffs).alias("hits"),
         )
         for rule in RULES
     ]
@@ -206,13 +211,36 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float
 def verdict(measured: DataFrame, model: QualityModel) -> DataFrame:
     """Adds ``kept``: false on base failure or where a certified cutoff is exceeded."""
     rejected = F.lit(False)
+    rules = {r.name: r for r in RULES}
     for (stratum, name), cutoff in sorted(model.cutoffs.items()):
-        measure = next(r.measure for r in RULES if r.name == name)
-        over = F.coalesce(F.expr(f"try_divide({measure.replace(' / ', ', ')})") > F.lit(cutoff), F.lit(False))
-        rejected = rejected | ((F.col("stratum") == stratum) & over)
+        ratio = F.try_divide(F.col(rules[name].over), F.col(rules[name].under))
+        rejected = rejected | ((F.col("stratum") == stratum) & F.coalesce(ratio > F.lit(cutoff), F.lit(False)))
     return measured.withColumn("kept", ~(F.col("base_failed") | rejected))
 
 
+def keep_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows of ``docs``, with all columns, that ``verdict`` keeps; no shuffle."""
+    cutoffs = dict(model.cutoffs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, bounds in slices(batch.column(batch.schema.get_field_index("text"))):
+                c = counts_of(data, bounds)
+                kept = (c["n_words"] >= MIN_WORDS) & (100 * c["n_repeat_words"] <= MAX_REPEAT_PERCENT * c["n_words"])
+                stratum = np.searchsorted(BANDS, c["n_words"], side="right")
+                for rule in RULES:
+                    limit = np.array([cutoffs.get((s, rule.name), np.inf) for s in range(len(BANDS) + 1)])[stratum]
+                    kept &= ~(c[rule.over] / np.maximum(c[rule.under], 1) > limit)
+                yield batch.slice(lo, hi - lo).filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def filter_documents(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """``docs`` without the documents that the base rules or the certified cutoffs reject."""
+    return keep_rows(docs, fit(durable(measurements(docs)), labels, risk, delta))
+
+
 def quality_filter(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
     """One row per document: counts, ``base_failed``, ``kept``.  The measurements are narrow
     and written once; the fit and the verdict read them."""
