@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, jaccard, packing, pii, quality
+from . import decontaminate, extract, jaccard, langid, packing, pii, quality
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(docs, pii.fit(docs))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +44,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_boosting": op2_pii_boosting,
+    "op3_language_id": op3_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
