@@ -229,14 +229,18 @@ class JaccardJoin:
                 pos = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], length)
                 row = np.repeat(np.arange(len(length)), length)
                 keep = test(flat)
+                earlier = [pa.array(np.roll(flat, k)[keep], mask=pos[keep] < k) for k in (1, 2)]
                 row, ids = row[keep], [batch.column(i) for i in (0, 1, 2)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat[keep]), *(c.take(pa.array(row)) for c in ids), pa.array(length[row].astype(np.int32)), pa.array(pos[keep].astype(np.int32))],
-                    names=["token", "doc_id", "n", "p", "kept", "pos"],
+                    [
+                        pa.array(flat[keep]), *(c.take(pa.array(row)) for c in ids),
+                        pa.array(length[row].astype(np.int32)), pa.array(pos[keep].astype(np.int32)), *earlier,
+                    ],
+                    names=["token", "doc_id", "n", "p", "kept", "pos", "last", "last2"],
                 )
 
         rows = heads.select("doc_id", "n", "p", "head").mapInArrow(
-            shared_rows, "token long, doc_id long, n long, p int, kept int, pos int"
+            shared_rows, "token long, doc_id long, n long, p int, kept int, pos int, last long, last2 long"
         ).join(parts.select(F.col("id").alias("doc_id"), "part"), "doc_id")
         rows = durable(rows)
         crossing = (
@@ -255,26 +259,40 @@ class JaccardJoin:
             .withColumn("short", F.col("kept") - F.sum("heavy").over(own) < F.col("p"))
         )
 
-        def met(left: DataFrame, right: DataFrame, rank: str) -> DataFrame:
-            """Pairs that share prefix tokens, as far as their overlap can still be enough.
-            ``s`` tokens are shared up to the ranks i, j of the last one.  The prefix that
-            ends first in the order holds no further shared token, so at most its side's
-            rest beyond the prefix, or the other side's beyond the last shared token, follows."""
-            side = lambda df, x: df.select("token", *(F.col(c).alias(f"{c}{x}") for c in ("doc_id", "part", "n", "p", rank)))
-            most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
-            return (
-                side(left, "1").join(side(right, "2"), "token").where("part1 <> part2 and doc_id1 <> doc_id2")
-                .where(self._sizes_fit("n1", "n2"))
-                .groupBy("doc_id1", "doc_id2", "n1", "n2", "p1", "p2")
-                .agg(F.count("*").alias("s"), F.max(f"{rank}1").alias("i"), F.max(f"{rank}2").alias("j"))
-                .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
-                .select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
-            )
-
-        light = ranked.where("heavy = 0 and not short and rank < p")
-        # documents made of heavy tokens: their own and all others' prefixes in plain hash order
-        plain = ranked.where("pos < p")
-        return met(light, light, "rank").where("a < b").union(met(plain.where("short"), plain, "pos")).distinct()
+        def side(rows: DataFrame, x: str) -> DataFrame:
+            return rows.select("token", *(F.col(c).alias(f"{c}{x}") for c in rows.columns if c != "token"))
+
+        def met(left: DataFrame, right: DataFrame) -> DataFrame:
+            return side(left, "1").join(side(right, "2"), "token").where(
+                "part1 <> part2 and doc_id1 <> doc_id2"
+            ).where(self._sizes_fit("n1", "n2"))
+
+        # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
+        # in the order holds no further shared token, so at most its side's rest beyond the
+        # prefix, or the other side's beyond the last shared token, can follow.
+        light = ranked.where("heavy = 0 and not short and rank < p").select("token", "doc_id", "part", "n", "p", "rank")
+        most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
+        usual = (
+            met(light, light).where("doc_id1 < doc_id2")
+            .groupBy("doc_id1", "doc_id2", "n1", "n2", "p1", "p2")
+            .agg(F.count("*").alias("s"), F.max("rank1").alias("i"), F.max("rank2").alias("j"))
+            .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
+        )
+        # Documents made of heavy tokens: prefixes in plain hash order, as long as the two
+        # sizes need.  A shared token counts only where the two before it differ on both
+        # sides, which still holds for the first one, so most pairs come up once or twice.
+        plain = ranked.where("pos < p").select("token", "doc_id", "part", "n", "pos", "short", "last", "last2")
+        needed = f"(({self.num} * (n1 + n2) + {self.num + self.den - 1}) div {self.num + self.den})"
+        again = "last1 = last2 or last1 = last22 or last21 = last2 or last21 = last22"
+        dense = (
+            met(plain.where("short"), plain)
+            .where("not short2 or doc_id1 < doc_id2")
+            .where(F.expr(f"pos1 <= n1 - {needed} and pos2 <= n2 - {needed}"))
+            .where(F.expr(f"not coalesce({again}, false)"))
+        )
+        return usual.select("doc_id1", "doc_id2").union(dense.select("doc_id1", "doc_id2")).select(
+            F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")
+        ).distinct()
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), one row per input row."""

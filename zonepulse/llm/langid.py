@@ -81,11 +81,13 @@ def gram_hashes(codes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def string_hash(gram: str) -> np.uint64:
-    h = np.full(1, 0x51ED270B, dtype=np.uint64)
-    for c in gram:
-        h = mix(h * np.uint64(BASE) + np.uint64(ord(c) + 1))
-    return h[0]
+def string_hashes(grams: list[str]) -> np.ndarray:
+    """``gram_hashes`` of strings of one length."""
+    codes = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(grams), -1)
+    h = np.full(len(grams), 0x51ED270B, dtype=np.uint64)
+    for c in codes.T.astype(np.uint64):
+        h = mix(h * np.uint64(BASE) + c + np.uint64(1))
+    return h
 
 
 @dataclass
@@ -178,12 +180,12 @@ def build(counts: dict[str, dict[str, int]]) -> Models:
             level = lower
     for n in range(ORDER):
         for table, hashes, values in ((direct[n], model.grams, model.direct), (backoff[n], model.contexts, model.backoff)):
-            h = np.array([string_hash(g) for g in table], dtype=np.uint64)
+            h = string_hashes(list(table))
             order = np.argsort(h)
             hashes.append(h[order])
             values.append(np.array(list(table.values()), dtype=np.float64).reshape(len(h), -1)[order])
     seen = list(direct[-1])
-    split = lambda f: np.array([string_hash(f(g)) for g in seen], dtype=np.uint64)
+    split = lambda f: string_hashes([f(g) for g in seen])
     grams = [split(lambda g, n=n: g[ORDER - n :]) for n in range(1, ORDER + 1)]
     contexts = [split(lambda g, n=n: g[ORDER - n : -1]) for n in range(1, ORDER + 1)]
     order = np.argsort(grams[-1])
