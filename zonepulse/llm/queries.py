@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, jaccard, langid, packing, pii, quality
+from . import decontaminate, extract, jaccard, langid, packing, pii, quality, spans
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, num=17, den=20)
 
 
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
+    "op9_sentence_spans": op9_sentence_spans,
     "op10_html_extraction": op10_html_extraction,
 }
 
