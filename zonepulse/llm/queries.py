@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, jaccard, langid, packing, pii, quality, spans
+from . import decontaminate, extract, jaccard, langid, packing, pii, quality, spans, toxicity
 from .common import table
 
 
@@ -33,6 +33,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, num=17, den=20)
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_pii_boosting": op2_pii_boosting,
     "op3_language_id": op3_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_toxicity_cnn": op5_toxicity_cnn,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_sentence_spans": op9_sentence_spans,
