@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, jaccard, langid, packing, pii, quality, spans, toxicity
+from . import decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity
 from .common import table
 
 
+def op7_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lmscore.score(docs, lmscore.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = quality.quality_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return checked.select(
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_toxicity_cnn": op5_toxicity_cnn,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_cross_entropy_difference": op7_cross_entropy_difference,
     "op8_quality_rules": op8_quality_rules,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_html_extraction": op10_html_extraction,
