@@ -3,8 +3,9 @@
 Two sets with Jaccard similarity >= t share a token among the first ``n - ceil(t n) + 1``
 tokens of each, under *every* global order of the tokens.  The join uses
 
-* order 1: by hash, with tokens that occur in more than ``HEAVY`` groups of documents moved
-  to the end, so passages that many documents share generate no candidates;
+* order 1: by hash, with tokens that occur in more than ``HEAVY`` components moved to the
+  end, so passages that many documents share generate no candidates; documents made of such
+  tokens are compared with one another by the rarity of their tokens;
 * orders 2 and 3: two further independent hash orders, which a candidate must pass as well
   before its sets are intersected.
 
@@ -36,6 +37,7 @@ from .words import mix, shingle_sets, slices, words
 STARS = 6
 HEAVY = 64
 BLOCK = 128
+HEAD_ROWS = "token long, doc_id long, n long, p int, kept int, pos int"
 ID_BITS = 23
 TOKEN_BITS = 26
 SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, STARS + 2, dtype=np.uint64)
@@ -80,6 +82,20 @@ def _sketches(k: int, num: int, den: int):
     return run
 
 
+def _sets_of(k: int, wanted):
+    """Sets of the documents that pass ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = tester(wanted)
+        for batch in batches:
+            batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
+            for lo, hi, data, bounds in slices(batch.column(1)):
+                sets = shingle_sets(words(data, bounds, lower=True), k)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), _lists(sets, np.int64)], names=["id", "s"])
+
+    return run
+
+
 def _whole_sets(k: int, num: int, den: int, wanted):
     """Sets, and prefixes under orders 2 and 3, of the documents that pass ``wanted``."""
 
@@ -101,6 +117,28 @@ def _whole_sets(k: int, num: int, den: int, wanted):
     return run
 
 
+def _head_rows(wanted):
+    """Tokens of the heads that pass ``wanted``, with their place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = tester(wanted)
+        for batch in batches:
+            lists = batch.column(3)
+            offsets = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+            length = np.diff(offsets)
+            pos = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], length)
+            row = np.repeat(np.arange(len(length)), length)
+            keep = test(flat)
+            row, ids = row[keep], [batch.column(i) for i in (0, 1, 2)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[keep]), *(c.take(pa.array(row)) for c in ids), pa.array(length[row].astype(np.int32)), pa.array(pos[keep].astype(np.int32))],
+                names=["token", "doc_id", "n", "p", "kept", "pos"],
+            )
+
+    return run
+
+
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
     out = []
     for chunk in column.chunks:
@@ -162,7 +200,7 @@ class JaccardJoin:
         """Those of ``pairs`` (a, b) that pass the prefix filters of orders 2 and 3 and whose
         sets are similar enough."""
         pairs = durable(pairs)
-        wanted = bit_filter(pairs.select("a").union(pairs.select("b")), ID_BITS)
+        wanted = bit_filter(pairs.select("a").union(pairs.select("b")).distinct(), ID_BITS)
         sets = self.known.mapInArrow(
             _whole_sets(self.k, self.num, self.den, wanted), "id long, s array<long>, o2 array<long>, o3 array<long>"
         )
@@ -219,30 +257,11 @@ class JaccardJoin:
         )
         wanted = bit_filter(shared, TOKEN_BITS)
 
-        def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            test = tester(wanted)
-            for batch in batches:
-                lists = batch.column(3)
-                offsets = lists.offsets.to_numpy()
-                flat = lists.values.to_numpy()[offsets[0] : offsets[-1]]
-                length = np.diff(offsets)
-                pos = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], length)
-                row = np.repeat(np.arange(len(length)), length)
-                keep = test(flat)
-                earlier = [pa.array(np.roll(flat, k)[keep], mask=pos[keep] < k) for k in (1, 2)]
-                row, ids = row[keep], [batch.column(i) for i in (0, 1, 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(flat[keep]), *(c.take(pa.array(row)) for c in ids),
-                        pa.array(length[row].astype(np.int32)), pa.array(pos[keep].astype(np.int32)), *earlier,
-                    ],
-                    names=["token", "doc_id", "n", "p", "kept", "pos", "last", "last2"],
-                )
-
-        rows = heads.select("doc_id", "n", "p", "head").mapInArrow(
-            shared_rows, "token long, doc_id long, n long, p int, kept int, pos int, last long, last2 long"
-        ).join(parts.select(F.col("id").alias("doc_id"), "part"), "doc_id")
-        rows = durable(rows)
+        names = ("doc_id", "n", "p", "head")
+        rows = durable(
+            heads.select(*names).mapInArrow(_head_rows(wanted), HEAD_ROWS)
+            .join(parts.select(F.col("id").alias("doc_id"), "part"), "doc_id")
+        )
         crossing = (
             rows.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
         )
@@ -259,40 +278,65 @@ class JaccardJoin:
             .withColumn("short", F.col("kept") - F.sum("heavy").over(own) < F.col("p"))
         )
 
-        def side(rows: DataFrame, x: str) -> DataFrame:
-            return rows.select("token", *(F.col(c).alias(f"{c}{x}") for c in rows.columns if c != "token"))
-
-        def met(left: DataFrame, right: DataFrame) -> DataFrame:
-            return side(left, "1").join(side(right, "2"), "token").where(
-                "part1 <> part2 and doc_id1 <> doc_id2"
-            ).where(self._sizes_fit("n1", "n2"))
-
         # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
         # in the order holds no further shared token, so at most its side's rest beyond the
         # prefix, or the other side's beyond the last shared token, can follow.
         light = ranked.where("heavy = 0 and not short and rank < p").select("token", "doc_id", "part", "n", "p", "rank")
         most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
         usual = (
-            met(light, light).where("doc_id1 < doc_id2")
+            self._met(light, light).where("doc_id1 < doc_id2")
             .groupBy("doc_id1", "doc_id2", "n1", "n2", "p1", "p2")
             .agg(F.count("*").alias("s"), F.max("rank1").alias("i"), F.max("rank2").alias("j"))
             .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
+            .select("doc_id1", "doc_id2")
         )
-        # Documents made of heavy tokens: prefixes in plain hash order, as long as the two
-        # sizes need.  A shared token counts only where the two before it differ on both
-        # sides, which still holds for the first one, so most pairs come up once or twice.
-        plain = ranked.where("pos < p").select("token", "doc_id", "part", "n", "pos", "short", "last", "last2")
+        short = durable(ranked.where("short").select("doc_id", "part", "n", "p").distinct())
+        found = usual.union(self._short_candidates(short, heavy, heads, parts))
+        return found.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
+
+    def _met(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        def side(rows: DataFrame, x: str) -> DataFrame:
+            return rows.select("token", *(F.col(c).alias(f"{c}{x}") for c in rows.columns if c != "token"))
+
+        return side(left, "1").join(side(right, "2"), "token").where(
+            "part1 <> part2 and doc_id1 <> doc_id2"
+        ).where(self._sizes_fit("n1", "n2"))
+
+    def _short_candidates(self, short: DataFrame, heavy: DataFrame, heads: DataFrame, parts: DataFrame) -> DataFrame:
+        """Candidates of the documents whose heads hold too few light tokens for a prefix:
+        versions of one text that differ too much to be tied by stars, mostly.  Their whole
+        sets are ranked.  Among themselves the order is by rarity, so a prefix holds what a
+        version doesn't share with the others, and only as many tokens as the two sizes ask
+        for.  With all other documents the order is order 1, of which only the light tokens
+        can meet the other side's head."""
+        wanted = bit_filter(short.select("doc_id"), ID_BITS)
+        sets = self.known.mapInArrow(_sets_of(self.k, wanted), "id long, s array<long>")
+        whole = durable(
+            sets.join(short, F.col("id") == F.col("doc_id")).select(F.explode("s").alias("token"), "doc_id", "part", "n", "p")
+        )
+        counted = whole.groupBy("token").agg(F.count("*").alias("df"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        rarest = Window.partitionBy("doc_id").orderBy("df", "token")
+        by_rarity = (
+            whole.join(counted, "token").withColumn("rank", F.row_number().over(rarest) - 1)
+            .where("rank < p and lo <> hi").select("token", "doc_id", "part", "n", "rank")
+        )
+        by_rarity = durable(by_rarity)
         needed = f"(({self.num} * (n1 + n2) + {self.num + self.den - 1}) div {self.num + self.den})"
-        again = "last1 = last2 or last1 = last22 or last21 = last2 or last21 = last22"
-        dense = (
-            met(plain.where("short"), plain)
-            .where("not short2 or doc_id1 < doc_id2")
-            .where(F.expr(f"pos1 <= n1 - {needed} and pos2 <= n2 - {needed}"))
-            .where(F.expr(f"not coalesce({again}, false)"))
+        among = self._met(by_rarity, by_rarity).where("doc_id1 < doc_id2").where(
+            F.expr(f"rank1 <= n1 - {needed} and rank2 <= n2 - {needed}")
+        )
+        unsigned = F.col("token").bitwiseXOR(F.lit(-(2**63)))
+        in_order = Window.partitionBy("doc_id").orderBy(unsigned)
+        light = durable(
+            whole.join(heavy, "token", "left_anti").withColumn("rank", F.row_number().over(in_order) - 1)
+            .where("rank < p").select("token", "doc_id", "part", "n")
+        )
+        others = (
+            heads.select("doc_id", "n", "p", "head").mapInArrow(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
+            .join(short.select("doc_id"), "doc_id", "left_anti")
+            .join(parts.select(F.col("id").alias("doc_id"), "part"), "doc_id").select("token", "doc_id", "part", "n")
         )
-        return usual.select("doc_id1", "doc_id2").union(dense.select("doc_id1", "doc_id2")).select(
-            F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")
-        ).distinct()
+        return among.select("doc_id1", "doc_id2").union(self._met(light, others).select("doc_id1", "doc_id2"))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), one row per input row."""
