@@ -28,7 +28,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark: SparkSession = tuned_builder(f"local[{cpus}]", cpus, scratch).getOrCreate()
+    spark: SparkSession = tuned_builder(f"local[{cpus}]", cpus, scratch).config("spark.driver.memory", "16g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
     names = [q for q in QUERIES if not only or q in only]

@@ -12,7 +12,6 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from zonepulse.plans.materialize import ensure_checkpoint_dir  # noqa: E402
 from zonepulse.sources.schemas import ORDER_COLUMNS  # noqa: E402
 
 
@@ -27,7 +26,6 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)  # keeps a configured one; sets a temp one only if unset
     yield s
 
 

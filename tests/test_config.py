@@ -4,7 +4,8 @@ import datetime as dt
 
 import pytest
 
-from zonepulse.config import RunConfig, fixture_config, scale_of
+from zonepulse.config import RunConfig, fixture_config
+from zonepulse.plans.oracle_sql import oracle_sql
 
 
 def test_default_window_is_seven_days_ending_five_days_ago():
@@ -13,11 +14,9 @@ def test_default_window_is_seven_days_ending_five_days_ago():
     assert cfg.min_group_size == 100 and cfg.window_label == "2025-01-09_to_2025-01-15"
 
 
-def test_fixture_parameters_by_scale():
-    assert scale_of("/root/testdata/sf0.01") == "0.01"
-    assert scale_of("/root/testdata/sf0.1/") == "0.1"
-    assert [fixture_config(f"/x/sf{s}").min_group_size for s in ("0.001", "0.01", "0.1")] == [3, 10, 100]
-    assert fixture_config("/elsewhere").min_group_size == 100
+def test_query_parameters_are_the_same_at_every_scale():
+    assert fixture_config().min_group_size == 10
+    assert oracle_sql() == oracle_sql()
 
 
 def test_validation():

@@ -7,9 +7,9 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import D, order, raw_orders, registry_rows, zone_rows
-from zonepulse.functions.exprs import round_half_up, safe_ratio
+from zonepulse.functions.exprs import exact_avg, round_half_up, safe_ratio
 from zonepulse.operators.grid import hourly_demand_grid
-from zonepulse.operators.ingest import clean_orders
+from zonepulse.operators.ingest import clean_orders, rejected_orders
 from zonepulse.operators.summary import hotspot_report, run_metrics, thresholds, zone_summary
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics
 from zonepulse.plans.sinks import write_interim
@@ -235,3 +235,34 @@ def test_grid_keeps_null_hour_cell_with_its_mode(spark):
     assert set(cells) == {(None, None), (12, 2)}
     assert cells[(None, None)].order_count == 2 and cells[(None, None)].top_cuisine == "Thai"
     assert cells[(12, 2)].top_cuisine == "Pizza"
+
+
+def test_non_finite_and_huge_values_drop_out(spark):
+    rows = [order("a", value=10.0), order("b", value="NaN"), order("c", value="Infinity"), order("d", value="1e40"),
+            order("e", value="-Infinity"), order("f", value="n/a"), order("g", value=20.0)]
+    orders = clean_orders(raw_orders(spark, rows))
+    assert sorted(r.order_id for r in orders.collect()) == ["a", "g"]
+    zd = zone_day_metrics(orders, _zones(spark), *WIN, min_group_size=1).first()
+    assert zd.avg_order_value_usd == 15.0 and zd.total_order_value_usd == 30.0
+    counts = rejected_orders(raw_orders(spark, rows)).first().asDict()
+    assert counts == {"rows": 7, "no_value": 1, "not_positive": 1, "not_finite_or_too_large": 3, "undated": 0}
+
+
+def test_exact_mean_counts_what_it_sums(spark):
+    df = spark.createDataFrame([(10.0,), (float("nan"),), (float("inf"),), (1e40,), (None,)], "x double")
+    assert df.agg(exact_avg("x")).first()[0] == 10.0
+
+
+def test_zones_of_one_place_keep_their_own_days(spark):
+    """Two zones at one place, released on different days (D3): orders of a day that was not
+    released for a zone stay out of its row."""
+    rows = [order(f"a{i}", day="2025-01-06", ts="2025-01-06 12:00:00", cust=f"C{i}", value=10.0) for i in range(5)]
+    rows += [order(f"b{i}", day="2025-01-07", ts="2025-01-07 12:00:00", cust=f"D{i}", value=50.0) for i in range(3)]
+    orders = clean_orders(raw_orders(spark, rows))
+    zones = zone_rows(spark, [("Z1", "Manhattan", "New York", 10.0, 1.0), ("Z2", "Manhattan", "New York", 20.0, 1.0)])
+    zd = zone_day_metrics(orders, zones, *WIN, min_group_size=1)
+    enriched = enrich_zones(zd, registry_rows(spark, [("Z1", "1"), ("Z2", "4")]))
+    s = {r.zone_id: r for r in zone_summary(orders, enriched, *WIN).collect()}
+    assert (s["Z1"].total_orders, s["Z1"].total_customers, s["Z1"].avg_order_value_usd) == (8, 8, 25.0)
+    assert (s["Z2"].total_orders, s["Z2"].total_customers, s["Z2"].avg_order_value_usd) == (5, 5, 10.0)
+    assert all(r.total_customers <= r.customer_days for r in s.values())

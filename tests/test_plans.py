@@ -13,7 +13,7 @@ from zonepulse.operators.grid import hourly_demand_grid
 from zonepulse.operators.ingest import clean_orders
 from zonepulse.operators.summary import zone_summary
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics, zone_day_metrics_sql
-from zonepulse.plans.materialize import materialize
+from zonepulse.plans.catalog import QUERIES
 from zonepulse.plans.sinks import write_interim
 from zonepulse.sources import fixtures, readers
 
@@ -36,7 +36,7 @@ def staged(spark):
     orders = readers.read_interim(spark, root, *WIN)
     zones = fixtures.geo_zone_devices(spark, SF)
     zd = zone_day_metrics(orders, zones, *WIN, 3)
-    enriched = materialize(enrich_zones(zd, fixtures.zone_registry(spark, SF, 3)), "enriched")
+    enriched = enrich_zones(zd, fixtures.zone_registry(spark, SF, 3))
     return orders, zones, zd, enriched
 
 
@@ -63,4 +63,22 @@ def test_grid_and_summary_plans(staged):
     assert "PartitionFilters: [isnotnull(event_date" in g and "LeftSemi" in g
     assert "ObjectHashAggregate" not in g and "CartesianProduct" not in g
     s = plan(zone_summary(orders, enriched, *WIN))
-    assert "LeftSemi" in s and "CartesianProduct" not in s
+    assert "CartesianProduct" not in s
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_queries_are_lazy(spark, name):
+    """Building a query runs no job beyond reading footers, and writes nothing."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build {name}", "")
+    df = QUERIES[name](spark, SF)
+    footers = {"region", "nation", "customer", "events"}
+    assert len(tracker.getJobIdsForGroup(f"build {name}")) <= 4 * len(footers)
+    spark.sparkContext.setJobGroup("", "")
+    assert all("/root/testdata/" in f for f in df.inputFiles())
+
+
+def test_late_rows_leave_the_partition_pruned(spark, staged):
+    orders, _, _, _ = staged
+    p = plan(orders)
+    assert "PartitionFilters: [isnotnull(event_date" in p and "Exchange" not in p

@@ -1,4 +1,4 @@
-"""The reference suite's literal cases, run through the library's own functions."""
+"""The reference suite's literal cases (fixed values), run through the library's own functions."""
 
 from __future__ import annotations
 

@@ -5,8 +5,7 @@ a zone dimension and aggregated to zone x day metrics that are released only
 above a minimum group size.  From those come an hour-by-weekday demand grid
 with per-city ranks, a zone summary with quantile-based underserved flags and
 ranked zone reports.  Every step is a lazy DataFrame transformation built
-from Spark's own expressions; actions happen at sinks, plus bounded size
-checks (``limit(n + 1).count()``) that choose between broadcast and shuffle plans.
+from Spark's own expressions; actions happen at sinks only.
 """
 
 from zonepulse.config import RunConfig
@@ -14,7 +13,7 @@ from zonepulse.operators.ingest import clean_orders, day_spine, missing_days
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics, zone_day_metrics_sql
 from zonepulse.operators.grid import hourly_demand_grid
 from zonepulse.operators.profile import group_profile
-from zonepulse.operators.quantiles import distributed_percentile
+from zonepulse.operators.quantiles import distributed_percentiles
 from zonepulse.operators.summary import (
     hotspot_report,
     run_metrics,
@@ -39,7 +38,7 @@ __all__ = [
     "hotspot_report",
     "run_metrics",
     "group_profile",
-    "distributed_percentile",
+    "distributed_percentiles",
     "RunPaths",
     "run_window",
 ]

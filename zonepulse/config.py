@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass, replace
 
 # Fixed values that define the reference behaviour (defaults of the weekly run).
@@ -34,8 +33,6 @@ class RunConfig:
     approx_distinct        use HyperLogLog++ distinct counts instead of exact ones
     approx_quantiles       use percentile_approx (bounded sketch) instead of exact
                            percentile_disc for the flag thresholds
-    broadcast_max_rows     dimension tables at or below this row count are broadcast,
-                           larger ones are shuffle-joined
     """
 
     start: dt.date
@@ -47,7 +44,6 @@ class RunConfig:
     top_n: int = 3
     approx_distinct: bool = False
     approx_quantiles: bool = False
-    broadcast_max_rows: int = 100_000
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "start", _as_date(self.start))
@@ -75,20 +71,14 @@ class RunConfig:
 
 
 # --- parameters for the driver's test tables -------------------------------------
-# The events table spans 2024-01-01 .. 2024-01-30; the run window
-# covers all of it.  k scales with the data so that suppression bites at every
-# scale (k = 3 / 10 / 100 for sf 0.001 / 0.01 / 0.1).
+# Fixed values, the same at every scale: the events table spans 2024-01-01 .. 2024-01-30 and
+# the run window is all of it (the adapter fails on an event outside, so none is lost in
+# silence); k is small enough to leave zone-days at the smallest scale.
 FIXTURE_WINDOW = (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
 FIXTURE_SPINE = (dt.date(2023, 12, 28), dt.date(2024, 2, 3))
-FIXTURE_K_BY_SF = {"0.001": 3, "0.01": 10, "0.1": 100}
+FIXTURE_MIN_GROUP_SIZE = 10
 
 
-def scale_of(sf_dir: str) -> str | None:
-    m = re.search(r"sf([0-9.]+?)/?$", str(sf_dir).rstrip("/"))
-    return m.group(1) if m else None
-
-
-def fixture_config(sf_dir: str) -> RunConfig:
-    """RunConfig for the driver's table directory ``.../sf<scale>``."""
-    k = FIXTURE_K_BY_SF.get(scale_of(sf_dir) or "", DEFAULT_MIN_GROUP_SIZE)
-    return RunConfig(start=FIXTURE_WINDOW[0], end=FIXTURE_WINDOW[1], min_group_size=k)
+def fixture_config() -> RunConfig:
+    """RunConfig of the registered queries."""
+    return RunConfig(start=FIXTURE_WINDOW[0], end=FIXTURE_WINDOW[1], min_group_size=FIXTURE_MIN_GROUP_SIZE)

@@ -32,21 +32,26 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     return F.when(F.abs(c) < F.lit(_DECIMAL_SAFE_ABS), via_decimal).otherwise(F.round(c, digits))
 
 
+def as_exact(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """A double as a decimal; null if it is not finite or out of the decimal's range."""
+    return _col(c).try_cast(f"decimal({_EXACT_PRECISION},{scale})")
+
+
 def exact_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
     """Order-independent sum of a double column, as a decimal."""
-    return F.sum(_col(c).cast(f"decimal({_EXACT_PRECISION},{scale})"))
+    return F.sum(as_exact(c, scale))
 
 
 def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Order-independent mean: decimal sum / count, as double (nulls ignored)."""
-    c = _col(c)
-    return exact_sum(c, scale).cast("double") / F.count(c)
+    """Order-independent mean: decimal sum / count of the values summed, as double."""
+    return F.try_divide(exact_sum(c, scale).cast("double"), F.count(as_exact(c, scale)).cast("double"))
 
 
 def rounded_mean(name: str, digits: int) -> Column:
     """Finish a mean from the ``_{name}_sum`` (decimal) and ``_{name}_n`` columns of
     an aggregate (see ``group_profile``), rounded half-up at ``digits``."""
-    return round_half_up(F.col(f"_{name}_sum").cast("double") / F.col(f"_{name}_n"), digits)
+    mean = F.try_divide(F.col(f"_{name}_sum").cast("double"), F.col(f"_{name}_n").cast("double"))
+    return round_half_up(mean, digits)
 
 
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions.exprs import rounded_mean
-from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
+from zonepulse.operators.joins import attach, restrict_to
 from zonepulse.operators.profile import group_profile
 from zonepulse.sources.schemas import REPORT_ZONE_ATTRS
 
@@ -40,7 +40,6 @@ def hourly_demand_grid(
     end: dt.date,
     min_cell_size: int = 1,
     approx_distinct: bool = False,
-    broadcast_max_rows: int = 100_000,
 ) -> DataFrame:
     """Demand per (zone, order_hour, day_of_week) over the window.
 
@@ -50,7 +49,7 @@ def hourly_demand_grid(
     ``min_cell_size`` are not published.  city_rank = rank() of the cell's
     order_count within its city, descending; ties share a rank.
 
-    Plan: pruned window scan -> broadcast left-semi join to the released
+    Plan: pruned window scan -> left-semi join to the released
     zones' (neighbourhood, city) -> grouping-sets aggregate on (neighbourhood,
     city, hour, weekday) -> zone attributes joined to the cells -> one window
     shuffle by city over the cells (at most zones x 168 rows).
@@ -60,11 +59,10 @@ def hourly_demand_grid(
         "cuisine_type", "order_hour", "day_of_week", "neighbourhood", "city",
     ).where(F.col("event_date").between(F.lit(start), F.lit(end)))
     zones = released_zones(enriched)
-    small = fits_broadcast(zones, broadcast_max_rows)
     geo = ["neighbourhood", "city"]
     cells = (
         group_profile(
-            restrict_to(window, zones, geo, small),
+            restrict_to(window, zones, geo),
             geo + ["order_hour", "day_of_week"],
             count_col="order_id",
             value_col="order_value_usd",
@@ -78,7 +76,7 @@ def hourly_demand_grid(
     )
     by_city = Window.partitionBy("city").orderBy(F.desc("order_count"))
     return (
-        attach(cells, zones, geo, small)
+        attach(cells, zones, geo)
         .withColumn("city_rank", F.rank().over(by_city))
         .select(*GRID_COLUMNS)
     )

@@ -1,32 +1,20 @@
-"""Join helpers."""
+"""Join helpers.  Sizes are left to Spark: its byte threshold and adaptive execution choose
+between a broadcast and a shuffle join, at build time nothing is counted."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
-
-    Derived dimensions (aggregates, filtered registries) have poor size
-    estimates, so the planner's own threshold cannot be trusted for them.  The
-    check is one bounded job: ``limit(max_rows + 1).count()``.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def restrict_to(facts: DataFrame, dim: DataFrame, keys: list[str], small: bool) -> DataFrame:
+def restrict_to(facts: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Keep the fact rows whose ``keys`` occur in ``dim`` (a left-semi join).
 
-    With a small dimension this is a broadcast filter inside the scan stage:
-    nothing is shuffled and no column is added, so aggregation can run on the
-    facts' own keys and attributes are attached to the (small) result.
+    No column is added, so aggregation can run on the facts' own keys, and attributes are
+    attached to the (small) result.
     """
-    side = dim.select(*keys)
-    return facts.join(F.broadcast(side) if small else side, keys, "left_semi")
+    return facts.join(dim.select(*keys), keys, "left_semi")
 
 
-def attach(agg: DataFrame, dim: DataFrame, keys: list[str], small: bool) -> DataFrame:
+def attach(agg: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Inner-join an aggregate to dimension attributes on ``keys``."""
-    return agg.join(F.broadcast(dim) if small else dim, keys, "inner")
+    return agg.join(dim, keys, "inner")

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.functions.exprs import MONEY_SCALE, exact_sum
+from zonepulse.functions.exprs import MONEY_SCALE, as_exact, exact_sum
 
 HLL_RSD = 0.01  # relative standard deviation of the approximate distinct counts
 
@@ -61,7 +61,7 @@ def group_profile(
 
     measures = [F.count(count_col).alias("_n")]
     if value_col is not None:
-        measures += [exact_sum(value_col, value_scale).alias("_value_sum"), F.count(value_col).alias("_value_n")]
+        measures += [exact_sum(value_col, value_scale).alias("_value_sum"), F.count(as_exact(value_col, value_scale)).alias("_value_n")]
     if approx_distinct:
         # HLL++ sketches are fixed width: they ride in the (k) set's aggregate.
         measures += [F.approx_count_distinct(f"_x_{a}", HLL_RSD).alias(f"_a_{a}") for a in distinct]

@@ -1,22 +1,20 @@
-"""Exact discrete percentile without a single-task merge.
-
-``percentile_disc(p)`` is the first value, in ascending order, whose
-cumulative share of the non-null rows reaches ``p``: the value at 1-based rank
-``max(1, ceil(p * n))``.  Spark's aggregate keeps a map of every distinct
-value and merges it in one task.  :func:`distributed_percentile` gives the same
-value with bounded per-task work:
-
-1. distinct values with their row counts (partial aggregation collapses hot
-   values map-side);
-2. ``buckets - 1`` approximate quantile boundaries (a fixed-size sketch) cut
-   the value range into buckets of about ``n / buckets`` rows;
-3. per-bucket row totals (at most ``buckets`` rows) give each bucket's rank
-   offset through a window over that small frame;
-4. only the bucket holding the target rank is scanned in order, with a
-   running count over its distinct values.
-
-Every step is a Spark aggregate, window or join over bounded frames; nothing is
-collected to the driver.
+"""Exact discrete percentiles without a single-task merge.
+
+``percentile_disc(p)`` is the first value, in ascending order, whose cumulative share of the
+non-null rows reaches ``p``: the value at 1-based rank ``max(1, ceil(p * n))``.  Spark's
+aggregate keeps a map of every distinct value and merges it in one task.
+:func:`distributed_percentiles` gives the same values with bounded work per task, for several
+columns from one scan:
+
+1. distinct values with their row counts (partial aggregation collapses hot values map-side);
+2. ``BUCKETS - 1`` approximate quantile boundaries of the distinct values (a fixed-size
+   sketch) cut each column's values into buckets of about ``distinct / BUCKETS`` values;
+3. per-bucket row totals (at most ``BUCKETS`` rows a column) give the target rank and each
+   bucket's offset through windows over that small frame;
+4. only the bucket that holds the target is ordered, with a running count.
+
+Buckets are cut by distinct values, so a hot value doesn't widen one.  Every step is a Spark
+aggregate, window or join; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -25,36 +23,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-
-
-def distributed_percentile(df: DataFrame, column: str, pct: float, buckets: int = 256) -> DataFrame:
-    """One row, one column ``value``: the exact ``percentile_disc(pct)`` of ``column``
-    (nulls ignored; null when there is no value)."""
-    vals = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    sketch = vals.agg(
-        F.percentile_approx("v", F.array(*[F.lit(x) for x in cuts]), F.lit(SKETCH_ACCURACY)).alias("bounds"),
-        F.count(F.lit(1)).alias("n"),
-    ).withColumn("target", F.greatest(F.lit(1), F.ceil(F.lit(float(pct)) * F.col("n"))))
-    # One-row frame: broadcasting it is bounded by construction.
-    bucketed = counts.crossJoin(F.broadcast(sketch)).withColumn(
-        "b", F.size(F.filter("bounds", lambda x: x < F.col("v")))
+BUCKETS = 1024
+
+
+def distributed_percentiles(df: DataFrame, wanted: dict[str, float], buckets: int = BUCKETS) -> DataFrame:
+    """One row with the exact ``percentile_disc`` of each column of ``wanted`` (name ->
+    percentile), under the column's name (nulls ignored; null when there is no value)."""
+    each = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in wanted])
+    pairs = df.select(F.explode(each).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
+    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    sketch = counts.groupBy("c").agg(F.percentile_approx("v", cuts, F.lit(SKETCH_ACCURACY)).alias("bounds"))
+    # One row for each column asked for: broadcasting it is bounded by construction.
+    bucketed = counts.join(F.broadcast(sketch), "c").select(
+        "c", "v", "n", F.size(F.filter("bounds", lambda x: x < F.col("v"))).alias("b")
     )
-    per_bucket = bucketed.groupBy("b").agg(F.sum("c").alias("bc"), F.first("target").alias("target"))
-    ordered = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # At most `buckets` rows go through this global window.
+    share = F.create_map(*[F.lit(x) for c, p in wanted.items() for x in (c, float(p))])
+    whole = Window.partitionBy("c")
+    upto = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At most `buckets` rows a column go through these windows.
     located = (
-        per_bucket.withColumn("upto", F.sum("bc").over(ordered))
-        .withColumn("before", F.col("upto") - F.col("bc"))
-        .where((F.col("before") < F.col("target")) & (F.col("upto") >= F.col("target")))
-        .select("b", "before", "target")
+        bucketed.groupBy("c", "b").agg(F.sum("n").alias("bn"))
+        .withColumn("target", F.greatest(F.lit(1), F.ceil(share[F.col("c")] * F.sum("bn").over(whole))))
+        .withColumn("last", F.sum("bn").over(upto))
+        .where((F.col("last") >= F.col("target")) & (F.col("last") - F.col("bn") < F.col("target")))
+        .select("c", "b", "target", (F.col("last") - F.col("bn")).alias("before"))
     )
-    in_bucket = bucketed.select("b", "v", "c").join(F.broadcast(located), "b", "inner")
-    running = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (
-        in_bucket.withColumn("rank_upto", F.col("before") + F.sum("c").over(running))
-        .where(F.col("rank_upto") >= F.col("target"))
-        .agg(F.min("v").alias("value"))
+    running = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (
+        bucketed.join(F.broadcast(located), ["c", "b"])
+        .withColumn("last", F.col("before") + F.sum("n").over(running))
+        .where(F.col("last") >= F.col("target"))
     )
-    return hit
+    return reached.agg(*[F.min(F.when(F.col("c") == c, F.col("v"))).alias(c) for c in wanted])

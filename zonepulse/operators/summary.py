@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULT_DENSITY_PCT, DEFAULT_RATIO_PCT
 from zonepulse.functions.exprs import MONEY_SCALE, RATIO_SCALE, exact_avg, round_half_up, rounded_mean
-from zonepulse.operators.joins import attach, restrict_to
 from zonepulse.operators.profile import group_profile
-from zonepulse.operators.quantiles import distributed_percentile
+from zonepulse.operators.quantiles import distributed_percentiles
 from zonepulse.sources.schemas import REPORT_ZONE_ATTRS
 
 SUMMARY_COLUMNS = REPORT_ZONE_ATTRS + [
@@ -34,13 +33,6 @@ def summary_order():
     return [F.desc("total_orders"), F.asc("zone_id")]
 
 
-def _quantile(column: str, pct: float, approx: bool):
-    if approx:
-        # Bounded-memory sketch; relative rank error 1 / 10000.
-        return F.percentile_approx(column, F.lit(pct), F.lit(10_000)).cast("double")
-    return F.expr(f"percentile_disc({float(pct)!r}) WITHIN GROUP (ORDER BY {column})")
-
-
 def underserved_flag(density_threshold, ratio_threshold):
     """density >= density_threshold AND ratio < ratio_threshold; unknown -> false.
 
@@ -52,47 +44,29 @@ def underserved_flag(density_threshold, ratio_threshold):
     return F.coalesce(flag, F.lit(False))
 
 
-# Populations up to this many rows use Spark's percentile aggregate (its final
-# merge holds every distinct value in one task); larger ones the distributed path.
-SINGLE_MERGE_MAX_ROWS = 1_000_000
-
-
 def thresholds(
     enriched: DataFrame,
     density_pct: float = DEFAULT_DENSITY_PCT,
     ratio_pct: float = DEFAULT_RATIO_PCT,
     approx: bool = False,
-    single_merge_max_rows: int = SINGLE_MERGE_MAX_ROWS,
-    known_rows: int | None = None,
 ) -> DataFrame:
     """One row: density_threshold, ratio_median over the enriched zone-day rows.
 
-    Exact discrete percentiles by default (the first value whose cumulative
-    share reaches the percentile; nulls ignored; no rows -> nulls).  The
-    population is zone-days, bounded by zones x window days rather than by
-    order volume.  A bounded check (``limit(max + 1).count()``, cheap on the
-    materialised enriched table) picks the plan: up to
-    ``single_merge_max_rows`` rows, one partially aggregated percentile
-    aggregate; beyond, :func:`distributed_percentile`, which never merges the
-    population in one task.  ``approx=True`` uses a fixed-size sketch.
-    ``known_rows``: a row count (or any value above the bound) the caller
-    already has, which saves the check.
+    Exact discrete percentiles by default (the first value whose cumulative share reaches
+    the percentile; nulls ignored; no rows -> nulls), by one distributed plan for both
+    columns at every size, see :func:`distributed_percentiles`.  ``approx=True`` uses a
+    fixed-size sketch.
     """
+    wanted = {"device_density_per_km2": density_pct, "orders_per_device_ratio": ratio_pct}
     if approx:
-        return enriched.agg(
-            _quantile("device_density_per_km2", density_pct, True).alias("density_threshold"),
-            _quantile("orders_per_device_ratio", ratio_pct, True).alias("ratio_median"),
-        )
-    rows = known_rows if known_rows is not None else enriched.limit(single_merge_max_rows + 1).count()
-    if rows <= single_merge_max_rows:
-        return enriched.agg(
-            _quantile("device_density_per_km2", density_pct, False).alias("density_threshold"),
-            _quantile("orders_per_device_ratio", ratio_pct, False).alias("ratio_median"),
+        # Bounded-memory sketch; relative rank error 1 / 10000.
+        found = enriched.agg(
+            *[F.percentile_approx(c, F.lit(p), F.lit(10_000)).cast("double").alias(c) for c, p in wanted.items()]
         )
-    density = distributed_percentile(enriched, "device_density_per_km2", density_pct)
-    ratio = distributed_percentile(enriched, "orders_per_device_ratio", ratio_pct)
-    return density.select(F.col("value").alias("density_threshold")).crossJoin(
-        ratio.select(F.col("value").alias("ratio_median"))
+    else:
+        found = distributed_percentiles(enriched, wanted)
+    return found.select(
+        F.col("device_density_per_km2").alias("density_threshold"), F.col("orders_per_device_ratio").alias("ratio_median")
     )
 
 
@@ -105,7 +79,6 @@ def zone_summary(
     ratio_pct: float = DEFAULT_RATIO_PCT,
     approx_quantiles: bool = False,
     approx_distinct: bool = False,
-    broadcast_max_rows: int = 100_000,
 ) -> DataFrame:
     """One row per released zone over the window, with the underserved flag.
 
@@ -114,7 +87,7 @@ def zone_summary(
       customer_days            sum of daily distinct customers
       avg_daily_order_value_usd  mean of the daily means (2 dp)
       orders_per_device_ratio  mean of the daily ratios (4 dp)
-    From the orders of the released zone-days (a semi-join on zone and day):
+    From the orders of the released zone-days (joined on place and day, profiled by zone):
       total_customers          distinct customers over the window
       avg_order_value_usd      mean order value over the window (2 dp)
       peak_hour, top_cuisine   mode over the window, ties -> lowest
@@ -129,32 +102,25 @@ def zone_summary(
         round_half_up(exact_avg("orders_per_device_ratio", RATIO_SCALE), 4).alias("orders_per_device_ratio"),
     )
 
-    geo = ["neighbourhood", "city"]
-    released_days = enriched.select(*geo, "event_date")
-    zone_of_place = enriched.select("zone_id", *geo).distinct()
-    # One bounded count serves both checks: the broadcast of the released days
-    # and the percentile plan (released days <= enriched rows).
-    rows = enriched.limit(max(broadcast_max_rows, SINGLE_MERGE_MAX_ROWS) + 1).count()
-    small = rows <= broadcast_max_rows
+    # Zones of one place may be released on different days, so orders are profiled by zone.
+    place_day = ["neighbourhood", "city", "event_date"]
+    released_days = enriched.select("zone_id", *place_day)
     window = orders.select(
         "order_id", "event_date", "neighbourhood", "city", "customer_id", "order_value_usd",
         "order_hour", "cuisine_type",
     ).where(F.col("event_date").between(F.lit(start), F.lit(end)))
-    per_place = group_profile(
-        restrict_to(window, released_days, geo + ["event_date"], small),
-        geo,
+    per_zone = group_profile(
+        window.join(released_days, place_day, "inner"),
+        ["zone_id"],
         count_col="order_id",
         value_col="order_value_usd",
         distinct={"total_customers": "customer_id"},
         modes={"peak_hour": "order_hour", "top_cuisine": "cuisine_type"},
         approx_distinct=approx_distinct,
-    ).withColumn("avg_order_value_usd", rounded_mean("value", 2))
-    per_zone = attach(per_place, zone_of_place, geo, small).select(
-        "zone_id", "total_customers", "avg_order_value_usd", "peak_hour", "top_cuisine"
-    )
+    ).select("zone_id", "total_customers", rounded_mean("value", 2).alias("avg_order_value_usd"), "peak_hour", "top_cuisine")
 
     # Exactly one row, so broadcasting it is bounded by construction.
-    limits = F.broadcast(thresholds(enriched, density_pct, ratio_pct, approx_quantiles, known_rows=rows))
+    limits = F.broadcast(thresholds(enriched, density_pct, ratio_pct, approx_quantiles))
     return (
         daily.join(per_zone, "zone_id", "left")
         .crossJoin(limits)

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULT_MIN_GROUP_SIZE
 from zonepulse.functions.exprs import MONEY_SCALE, round_half_up, rounded_mean, safe_ratio
-from zonepulse.operators.joins import attach, fits_broadcast, restrict_to
+from zonepulse.operators.joins import attach, restrict_to
 from zonepulse.operators.profile import group_profile
 from zonepulse.sources.schemas import REGISTRY_COLUMNS, ZONE_ATTRS, ZONE_DAY_COLUMNS
 
 _ORDER_INPUTS = [
-    "order_id", "event_date", "order_timestamp", "customer_id", "restaurant_id",
+    "order_id", "event_date", "order_hour", "customer_id", "restaurant_id",
     "cuisine_type", "order_value_usd", "neighbourhood", "city",
 ]
 
@@ -26,7 +26,6 @@ def zone_day_metrics(
     end: dt.date,
     min_group_size: int = DEFAULT_MIN_GROUP_SIZE,
     approx_distinct: bool = False,
-    broadcast_max_rows: int = 100_000,
 ) -> DataFrame:
     """Orders per zone and day, released only for groups of at least ``min_group_size``.
 
@@ -37,29 +36,27 @@ def zone_day_metrics(
     peak_hour and top_cuisine (mode, ties -> lowest), orders_per_device_ratio
     (= total_orders / (density x area), null when that is 0; 4 dp), event_date.
 
-    Plan: window filter pushed into the scan; a broadcast left-semi join
-    drops orders of unknown places inside the scan stage; one grouping-sets
-    aggregate on the orders' own keys (neighbourhood, city, event_date), see
-    :func:`group_profile`; suppression; then the zone attributes are joined to
-    the aggregate (broadcast when the size check passes).  Assumes one zone
-    row per zone, as in a dimension table.
+    Plan: window filter pushed into the scan; a left-semi join (a broadcast for a small
+    zone table) drops orders of unknown places; one grouping-sets aggregate on the orders'
+    own keys (neighbourhood, city, event_date), see :func:`group_profile`; suppression; then
+    the zone attributes are joined to the aggregate.  Several zones may share a place; each
+    gets all its orders.  Assumes one zone row per zone, as in a dimension table.
     """
     window = orders.select(*_ORDER_INPUTS).where(
         F.col("event_date").between(F.lit(start), F.lit(end))
     )
     dim = zones.select(*ZONE_ATTRS)
-    small = fits_broadcast(dim, broadcast_max_rows)
     geo = ["neighbourhood", "city"]
     profile = group_profile(
-        restrict_to(window, dim, geo, small),
+        restrict_to(window, dim, geo),
         geo + ["event_date"],
         count_col="order_id",
         value_col="order_value_usd",
         distinct={"distinct_customers": "customer_id", "distinct_restaurants": "restaurant_id"},
-        modes={"peak_hour": F.hour("order_timestamp"), "top_cuisine": "cuisine_type"},
+        modes={"peak_hour": "order_hour", "top_cuisine": "cuisine_type"},
         approx_distinct=approx_distinct,
     ).where(F.col("_n") >= F.lit(min_group_size))
-    agg = attach(profile, dim, geo, small).withColumnRenamed("_n", "total_orders")
+    agg = attach(profile, dim, geo).withColumnRenamed("_n", "total_orders")
     ratio = safe_ratio("total_orders", F.col("device_density_per_km2") * F.col("zone_area_km2"))
     return agg.withColumns(
         {
@@ -82,7 +79,7 @@ ZONE_DAY_SQL = f"""
 WITH src AS (
   SELECT oe.neighbourhood, oe.city, oe.event_date, oe.order_id, oe.customer_id,
          oe.restaurant_id, oe.order_value_usd, oe.cuisine_type,
-         EXTRACT(HOUR FROM oe.order_timestamp) AS hr
+         oe.order_hour AS hr
   FROM {{orders}} oe
   LEFT SEMI JOIN {{zones}} gz
     ON oe.neighbourhood = gz.neighbourhood AND oe.city = gz.city
@@ -90,8 +87,8 @@ WITH src AS (
 ), level1 AS (
   SELECT neighbourhood, city, event_date, customer_id, restaurant_id,
          COUNT(order_id)                                          AS n,
-         SUM(CAST(order_value_usd AS DECIMAL(38,{MONEY_SCALE})))  AS value_sum,
-         COUNT(order_value_usd)                                   AS value_n,
+         SUM(TRY_CAST(order_value_usd AS DECIMAL(38,{MONEY_SCALE})))   AS value_sum,
+         COUNT(TRY_CAST(order_value_usd AS DECIMAL(38,{MONEY_SCALE}))) AS value_n,
          GROUPING_ID()                                            AS gid
   FROM src
   GROUP BY GROUPING SETS ((neighbourhood, city, event_date),
@@ -128,7 +125,7 @@ WITH src AS (
          gz.device_density_per_km2, gz.avg_dwell_time_min, gz.zone_area_km2,
          c.total_orders, c.distinct_customers, c.distinct_restaurants, c.value_sum,
          m.peak_hour, m.top_cuisine, c.event_date,
-         CAST(c.value_sum AS DOUBLE) / c.value_n AS avg_raw,
+         TRY_DIVIDE(CAST(c.value_sum AS DOUBLE), CAST(c.value_n AS DOUBLE)) AS avg_raw,
          CAST(c.total_orders AS DOUBLE)
            / NULLIF(gz.device_density_per_km2 * gz.zone_area_km2, 0D) AS ratio_raw
   FROM counts c
@@ -172,7 +169,7 @@ def zone_day_metrics_sql(
     )
 
 
-def enrich_zones(zone_day: DataFrame, registry: DataFrame, broadcast_max_rows: int = 100_000) -> DataFrame:
+def enrich_zones(zone_day: DataFrame, registry: DataFrame) -> DataFrame:
     """Attach registry metadata and keep zone-days meeting the zone's own threshold.
 
     Grain: (zone, event_date).  Inner join on zone_id: a zone missing from the
@@ -181,6 +178,6 @@ def enrich_zones(zone_day: DataFrame, registry: DataFrame, broadcast_max_rows: i
     Note the threshold is compared with a *daily* total.
     """
     reg = registry.select(*REGISTRY_COLUMNS)
-    return attach(zone_day, reg, ["zone_id"], fits_broadcast(reg, broadcast_max_rows)).where(
+    return attach(zone_day, reg, ["zone_id"]).where(
         F.col("total_orders") >= F.col("min_order_threshold").try_cast("int")
     )

@@ -23,66 +23,34 @@ from zonepulse.operators.summary import (
     zone_summary,
 )
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics, zone_day_metrics_sql
-from zonepulse.plans.materialize import materialize
 from zonepulse.sources import fixtures
 
 
 class FixtureRun:
-    """The inputs and shared intermediate frames of one run over ``sf_dir``."""
+    """The inputs and steps of one run over ``sf_dir``, all lazy: nothing is written or
+    counted while a query is built."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.cfg = cfg or fixture_config(sf_dir)
-        self._orders: DataFrame | None = None
-        self._enriched: DataFrame | None = None
-        self._summary: DataFrame | None = None
-
-    # inputs ------------------------------------------------------------------
-    def orders(self, staged: bool = True) -> DataFrame:
-        """Cleaned orders.  ``staged``: written once as the run's interim table
-        (partitioned by event_date) and read back by every later step, as the
-        windowed run does; otherwise a lazy plan, for single-use queries."""
-        if not staged:
-            return clean_orders(fixtures.order_events(self.spark, self.sf_dir))
-        if self._orders is None:
-            self._orders = materialize(self.orders(staged=False), "interim")
-        return self._orders
-
-    def zones(self) -> DataFrame:
-        return fixtures.geo_zone_devices(self.spark, self.sf_dir)
-
-    def registry(self) -> DataFrame:
-        return fixtures.zone_registry(self.spark, self.sf_dir, self.cfg.min_group_size)
-
-    # steps -------------------------------------------------------------------
-    def zone_day(self, staged: bool = True) -> DataFrame:
+        self.cfg = cfg or fixture_config()
+        self.orders = clean_orders(fixtures.order_events(spark, sf_dir))
+        self.zones = fixtures.geo_zone_devices(spark, sf_dir)
+        self.registry = fixtures.zone_registry(spark, sf_dir, self.cfg.min_group_size)
+
+    def zone_day(self) -> DataFrame:
         c = self.cfg
-        return zone_day_metrics(
-            self.orders(staged), self.zones(), c.start, c.end, c.min_group_size,
-            approx_distinct=c.approx_distinct, broadcast_max_rows=c.broadcast_max_rows,
-        )
+        return zone_day_metrics(self.orders, self.zones, c.start, c.end, c.min_group_size, c.approx_distinct)
 
-    def enriched(self, materialized: bool = True) -> DataFrame:
-        """Enriched zone-days.  ``materialized``: built from the staged orders and
-        written once, for runs that read it several times; otherwise one lazy
-        plan straight from the source tables, for single-use queries."""
-        if not materialized:
-            return enrich_zones(self.zone_day(staged=False), self.registry(), self.cfg.broadcast_max_rows)
-        if self._enriched is None:
-            lazy = enrich_zones(self.zone_day(staged=True), self.registry(), self.cfg.broadcast_max_rows)
-            self._enriched = materialize(lazy, "enriched")
-        return self._enriched
+    def enriched(self) -> DataFrame:
+        return enrich_zones(self.zone_day(), self.registry)
 
     def summary(self) -> DataFrame:
-        if self._summary is None:
-            c = self.cfg
-            self._summary = zone_summary(
-                self.orders(), self.enriched(), c.start, c.end, c.density_pct, c.ratio_pct,
-                approx_quantiles=c.approx_quantiles, approx_distinct=c.approx_distinct,
-                broadcast_max_rows=c.broadcast_max_rows,
-            )
-        return self._summary
+        c = self.cfg
+        return zone_summary(
+            self.orders, self.enriched(), c.start, c.end, c.density_pct, c.ratio_pct,
+            approx_quantiles=c.approx_quantiles, approx_distinct=c.approx_distinct,
+        )
 
 
 def q_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,31 +58,27 @@ def q_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spine = day_spine(spark, *FIXTURE_SPINE)
-    return missing_days(spine, fixtures.order_events(spark, sf_dir))
+    return missing_days(day_spine(spark, *FIXTURE_SPINE), fixtures.staged_dates(spark, sf_dir))
 
 
 def q_zone_day_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FixtureRun(spark, sf_dir).zone_day(staged=False)
+    return FixtureRun(spark, sf_dir).zone_day()
 
 
 def q_zone_day_metrics_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = FixtureRun(spark, sf_dir)
     c = run.cfg
-    return zone_day_metrics_sql(spark, run.orders(staged=False), run.zones(), c.start, c.end, c.min_group_size)
+    return zone_day_metrics_sql(spark, run.orders, run.zones, c.start, c.end, c.min_group_size)
 
 
 def q_enrich_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FixtureRun(spark, sf_dir).enriched(materialized=False)
+    return FixtureRun(spark, sf_dir).enriched()
 
 
 def q_hourly_demand_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = FixtureRun(spark, sf_dir)
     c = run.cfg
-    return hourly_demand_grid(
-        run.orders(), run.enriched(), c.start, c.end, c.min_cell_size,
-        approx_distinct=c.approx_distinct, broadcast_max_rows=c.broadcast_max_rows,
-    )
+    return hourly_demand_grid(run.orders, run.enriched(), c.start, c.end, c.min_cell_size, c.approx_distinct)
 
 
 def q_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,6 @@ from __future__ import annotations
 
 from zonepulse.config import FIXTURE_SPINE, RunConfig, fixture_config
 
-ORACLE_SF = "/root/testdata/sf0.01"
-
 _ORDER_COLS = (
     "order_id, event_date, order_timestamp, customer_id, restaurant_id, cuisine_type, "
     "pickup_lat, pickup_lon, delivery_lat, delivery_lon, order_value_usd, city, neighbourhood"
@@ -82,12 +80,28 @@ def dirty_cte() -> str:
                          WHEN {oid} % 11 = 0 THEN -order_value_usd
                          ELSE order_value_usd END AS order_value_usd)
   FROM order_events),
-dirty AS (
+dirty_sent AS (
   SELECT * FROM dirty_base
   UNION ALL SELECT * FROM dirty_base WHERE {oid} % 7 = 0
   UNION ALL SELECT * REPLACE (order_timestamp + INTERVAL 1 SECOND AS order_timestamp,
                               order_value_usd + 1.0 AS order_value_usd)
-            FROM dirty_base WHERE {oid} % 5 = 0)"""
+            FROM dirty_base WHERE {oid} % 5 = 0),
+dirty_text AS (
+  SELECT CASE WHEN {oid} % 37 = 0 THEN NULL ELSE order_id END AS order_id,
+         CASE WHEN {oid} % 41 = 0 THEN '2024-13-45' ELSE CAST(event_date AS VARCHAR) END AS event_date,
+         CASE WHEN {oid} % 17 = 0 THEN 'not a time' ELSE CAST(order_timestamp AS VARCHAR) END AS order_timestamp,
+         CASE WHEN {oid} % 31 = 0 THEN NULL ELSE customer_id END AS customer_id,
+         restaurant_id, cuisine_type, pickup_lat, pickup_lon, delivery_lat, delivery_lon,
+         CASE WHEN {oid} % 43 = 0 THEN 'n/a' WHEN {oid} % 19 = 0 THEN 'NaN'
+              WHEN {oid} % 23 = 0 THEN 'Infinity' WHEN {oid} % 29 = 0 THEN '1e40'
+              ELSE CAST(order_value_usd AS VARCHAR) END AS order_value_usd,
+         city, neighbourhood
+  FROM dirty_sent),
+dirty AS (
+  SELECT * REPLACE (TRY_CAST(event_date AS DATE) AS event_date,
+                    TRY_CAST(order_timestamp AS TIMESTAMP) AS order_timestamp,
+                    TRY_CAST(order_value_usd AS DOUBLE) AS order_value_usd)
+  FROM dirty_text)"""
 
 
 def clean_cte(src: str, name: str = "clean") -> str:
@@ -97,40 +111,51 @@ def clean_cte(src: str, name: str = "clean") -> str:
          CAST(hour(order_timestamp) AS INTEGER) AS order_hour,
          CAST(dayofweek(order_timestamp) + 1 AS INTEGER) AS day_of_week
   FROM (SELECT *, row_number() OVER (PARTITION BY order_id, event_date ORDER BY {order}) AS rn
-        FROM {src} WHERE order_value_usd > 0)
+        FROM {src} WHERE order_value_usd > 0 AND order_value_usd < 1e18)
   WHERE rn = 1)"""
 
 
+def _zone_rows(z: int) -> str:
+    return f"'ZONE_' || lpad(CAST(n.n_nationkey + {1 + 1000 * z} AS VARCHAR), 4, '0') AS zone_id"
+
+
 def zones_cte() -> str:
-    return """zones AS (
-  SELECT 'ZONE_' || lpad(CAST(n.n_nationkey + 1 AS VARCHAR), 4, '0') AS zone_id,
+    def part(z: int) -> str:
+        return f"""SELECT {_zone_rows(z)},
          n.n_name AS neighbourhood,
          r.r_name AS city,
          substring(r.r_name, 1, 2) AS state,
-         CASE n.n_nationkey % 5 WHEN 0 THEN 'residential' WHEN 1 THEN 'commercial'
-              WHEN 2 THEN 'mixed' WHEN 3 THEN 'university' ELSE 'transit_hub' END AS zone_type,
+         CASE n.n_nationkey % 5 WHEN 0 THEN 'riverside' WHEN 1 THEN 'old_town'
+              WHEN 2 THEN 'market' WHEN 3 THEN 'campus' ELSE 'station' END AS zone_type,
          CAST(n.n_nationkey AS DOUBLE) AS centre_lat,
          CAST(n.n_regionkey AS DOUBLE) AS centre_lon,
-         CAST(COALESCE(cc.n_customers, 0) * 10 AS DOUBLE) AS device_density_per_km2,
-         CAST(n.n_nationkey * 3 + 10 AS DOUBLE) AS avg_dwell_time_min,
-         CAST(n.n_nationkey % 8 AS DOUBLE) * 0.5 + 0.5 AS zone_area_km2
+         CAST(COALESCE(cc.n_customers, 0) * {10 + 5 * z} AS DOUBLE) AS device_density_per_km2,
+         CAST(n.n_nationkey * 3 + {10 + z} AS DOUBLE) AS avg_dwell_time_min,
+         CASE WHEN n.n_nationkey = 7 THEN 0.0::DOUBLE
+              ELSE CAST(n.n_nationkey % 8 AS DOUBLE) * 0.5 + {0.5 + 0.5 * z} END AS zone_area_km2
   FROM nation n
   JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN (SELECT c_nationkey, COUNT(*) AS n_customers FROM customer GROUP BY c_nationkey) cc
-    ON cc.c_nationkey = n.n_nationkey)"""
+    ON cc.c_nationkey = n.n_nationkey
+  WHERE {z} = 0 OR n.n_nationkey % 4 = 0"""
+
+    return f"zones AS (\n  {part(0)}\n  UNION ALL\n  {part(1)})"
 
 
 def registry_cte(k: int) -> str:
-    return f"""registry AS (
-  SELECT 'ZONE_' || lpad(CAST(n.n_nationkey + 1 AS VARCHAR), 4, '0') AS zone_id,
+    def part(z: int) -> str:
+        return f"""SELECT {_zone_rows(z)},
          'STUDY_' || CAST(n.n_regionkey + 100 AS VARCHAR) AS study_id,
          'CAMP_' || CAST(n.n_nationkey % 7 + 1000 AS VARCHAR) AS campaign_id,
          r.r_name AS target_city,
-         CAST(n.n_nationkey % 5 + {int(k)} AS VARCHAR) AS min_order_threshold,
+         CASE WHEN n.n_nationkey = 9 THEN 'unknown'
+              ELSE CAST(n.n_nationkey % 5 + {int(k) + 4 * z} AS VARCHAR) END AS min_order_threshold,
          CAST(NULL AS VARCHAR) AS ext1,
          CAST(NULL AS VARCHAR) AS ext2
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE n.n_nationkey % 6 <> 5)"""
+  WHERE n.n_nationkey % 6 <> 5 AND ({z} = 0 OR n.n_nationkey % 4 = 0)"""
+
+    return f"registry AS (\n  {part(0)}\n  UNION ALL\n  {part(1)})"
 
 
 def _window(cfg: RunConfig) -> str:
@@ -289,6 +314,6 @@ FROM summary""",
     }
 
 
-def oracle_sql(sf_dir: str = ORACLE_SF) -> dict[str, str]:
-    """DuckDB SQL for every named query, with the parameters of ``sf_dir``."""
-    return build(fixture_config(sf_dir))
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL for every named query; the same text at every scale."""
+    return build(fixture_config())

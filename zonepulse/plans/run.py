@@ -2,20 +2,21 @@
 
 ``run_window`` is the single callable a scheduler invokes per window.  All
 steps are Spark jobs; the driver only sees the list of days still to stage
-(at most the window length) and one row of run counters.
+(at most the window length) and single rows of counters.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepulse.config import RunConfig
 from zonepulse.operators.grid import hourly_demand_grid
-from zonepulse.operators.ingest import clean_orders, day_spine, missing_days
+from zonepulse.operators.ingest import clean_orders, day_spine, missing_days, rejected_orders
 from zonepulse.operators.summary import (
     hotspot_report,
     run_metrics,
@@ -24,9 +25,16 @@ from zonepulse.operators.summary import (
 )
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics
 from zonepulse.plans import sinks
-from zonepulse.plans.materialize import materialize
 from zonepulse.sources import readers
-from zonepulse.sources.schemas import CLEAN_ORDERS
+from zonepulse.sources.listing import exists, partition_days
+
+
+class MissingDaysError(ValueError):
+    """Window days that are neither staged nor delivered."""
+
+    def __init__(self, days: list[dt.date]):
+        super().__init__("no raw orders for " + ", ".join(d.isoformat() for d in days))
+        self.days = days
 
 
 @dataclass(frozen=True)
@@ -37,93 +45,113 @@ class RunPaths:
     zones       zone table CSV;  registry: zone registry CSV
     interim     Parquet root of cleaned orders (``event_date=`` partitions)
     output      root of all deliverables (zone_day, grid, summary, reports)
+    zone_day    CSV of the released zone x day aggregate if another party delivers it; the
+                zone table is not read then
     """
 
     orders_src: str
-    zones: str
+    zones: str | None
     registry: str
     interim: str
     output: str
+    zone_day: str | None = None
 
     def out(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"
 
 
 @dataclass
-class RunResult:
+class StageResult:
+    """``staged_days`` now staged; ``missing_days`` without a file; ``late_rows`` kept beside
+    the staged days because they came in the file of another day; ``rejected`` raw rows by
+    reason (see :func:`rejected_orders`)."""
+
     staged_days: list = field(default_factory=list)
+    missing_days: list = field(default_factory=list)
+    late_rows: int = 0
+    rejected: dict = field(default_factory=dict)
+
+
+@dataclass
+class RunResult(StageResult):
     outputs: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
 
 
-def staged_days(spark: SparkSession, interim_root: str, cfg: RunConfig) -> DataFrame:
-    """Window days already present in the interim root.
-
-    Only the partition column is read, and the window predicate prunes the
-    partitions, so the cost does not grow with the history kept in the root.
-    """
-    try:
-        return readers.read_interim(spark, interim_root, cfg.start, cfg.end).select("event_date")
-    except AnalysisException:  # nothing staged yet
-        return spark.createDataFrame([], CLEAN_ORDERS).select("event_date")
+def staged_days(spark: SparkSession, interim_root: str) -> DataFrame:
+    """Days that have an interim partition, from a listing of the root."""
+    days = [(d,) for d in partition_days(spark, interim_root)]
+    return spark.createDataFrame(days, "event_date date")
 
 
-def stage_orders(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> list:
-    """Clean and stage every window day that has no interim partition yet.
+def stage_orders(
+    spark: SparkSession, cfg: RunConfig, paths: RunPaths, allow_missing_days: bool = False,
+    restage: Iterable[dt.date] = (),
+) -> StageResult:
+    """Clean and stage every window day that has no interim partition yet, and ``restage``.
 
-    The missing days come from a left-anti join of the day spine against the
-    staged partition values; their raw files are read in one scan (a brace
-    glob matches only files that exist) and written with dynamic partition
-    overwrite.  Days already staged are skipped, so a re-run is idempotent.
+    The missing days come from a left-anti join of the day spine against the staged
+    partitions; their raw files are read in one scan.  A file is the complete delivery of its
+    day, so the rows of that day replace its partition.  Rows of any other day, or without
+    one, never touch a partition: they go to the late table, by the day of their file, and
+    readers add them to their own day.  So no valid row is lost, whatever a file holds, and
+    loading a file again changes nothing.
     """
-    def still_missing() -> list:
-        spine = day_spine(spark, cfg.start, cfg.end)
-        return [r.event_date for r in missing_days(spine, staged_days(spark, paths.interim, cfg)).collect()]
-
-    todo = still_missing()
-    if not todo:
-        return []
-    pattern = readers.order_file(paths.orders_src, "{" + ",".join(d.isoformat() for d in todo) + "}")
-    try:
-        raw = readers.read_orders_csv(spark, pattern)
-        raw.schema  # resolve the glob now
-    except AnalysisException:  # no raw file for any missing day
-        return []
-    sinks.write_interim(clean_orders(raw), paths.interim)
-    left = set(still_missing())  # days without a raw file stay missing
-    return [d for d in todo if d not in left]
-
-
-def run_window(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> RunResult:
-    result = RunResult()
-    result.staged_days = stage_orders(spark, cfg, paths)
+    spine = day_spine(spark, cfg.start, cfg.end)
+    todo = {r.event_date for r in missing_days(spine, staged_days(spark, paths.interim)).collect()} | set(restage)
+    delivered = sorted(d for d in todo if exists(spark, readers.order_file(paths.orders_src, d)))
+    result = StageResult(missing_days=sorted(todo - set(delivered)))
+    if result.missing_days and not allow_missing_days:
+        raise MissingDaysError(result.missing_days)
+    if not delivered:
+        return result
+    raw = readers.read_delivered_days(spark, paths.orders_src, delivered)
+    own_day = F.coalesce(F.col("event_date").try_cast("date") == F.col("file_day"), F.lit(False))
+    late_root = readers.late_root(paths.interim)
+    sinks.write_late(clean_orders(raw.where(~own_day), also=("file_day",)), late_root)
+    sinks.write_interim(clean_orders(raw.where(own_day)), paths.interim)
+    result.staged_days = delivered
+    result.rejected = rejected_orders(raw).first().asDict()
+    if exists(spark, late_root) and partition_days(spark, late_root, "file_day"):
+        late = spark.read.parquet(late_root).where(F.col("file_day").isin(delivered))
+        result.late_rows = late.count()
+    return result
+
+
+def run_window(
+    spark: SparkSession, cfg: RunConfig, paths: RunPaths, allow_missing_days: bool = False,
+    restage: Iterable[dt.date] = (),
+) -> RunResult:
+    """One window from raw files to reports.  Raises :class:`MissingDaysError` if a day of the
+    window is neither staged nor delivered, unless ``allow_missing_days``; the result then
+    lists those days."""
+    result = RunResult(**vars(stage_orders(spark, cfg, paths, allow_missing_days, restage)))
 
     orders = readers.read_interim(spark, paths.interim, cfg.start, cfg.end)
-    zones = readers.read_zones_csv(spark, paths.zones)
     registry = readers.read_registry_csv(spark, paths.registry)
 
     # Protected aggregate: written (Parquet + CSV hand-over) and read back, which
     # cuts the lineage before everything that branches from it.
-    zone_day = zone_day_metrics(
-        orders, zones, cfg.start, cfg.end, cfg.min_group_size,
-        approx_distinct=cfg.approx_distinct, broadcast_max_rows=cfg.broadcast_max_rows,
-    )
+    if paths.zone_day:
+        zone_day = readers.read_zone_day_csv(spark, paths.zone_day)
+        zone_day = zone_day.where(F.col("event_date").between(F.lit(cfg.start), F.lit(cfg.end)))
+    else:
+        zones = readers.read_zones_csv(spark, paths.zones)
+        zone_day = zone_day_metrics(orders, zones, cfg.start, cfg.end, cfg.min_group_size, cfg.approx_distinct)
     zd_path = sinks.write_zone_day(zone_day, paths.out("zone_day"), cfg)
     zone_day = spark.read.parquet(zd_path)
-    enriched = materialize(enrich_zones(zone_day, registry, cfg.broadcast_max_rows), "enriched")
+    # Tables that several branches read are written under the shared output folder, so
+    # losing executors costs only unfinished stages.
+    enriched = spark.read.parquet(sinks.write_table(enrich_zones(zone_day, registry), paths.out("enriched"), cfg))
 
-    grid = hourly_demand_grid(
-        orders, enriched, cfg.start, cfg.end, cfg.min_cell_size,
-        approx_distinct=cfg.approx_distinct, broadcast_max_rows=cfg.broadcast_max_rows,
-    )
+    grid = hourly_demand_grid(orders, enriched, cfg.start, cfg.end, cfg.min_cell_size, cfg.approx_distinct)
     grid_pq, grid_csv = sinks.write_grid(grid, paths.out("grid"), cfg)
 
     summary = zone_summary(
         orders, enriched, cfg.start, cfg.end, cfg.density_pct, cfg.ratio_pct,
         approx_quantiles=cfg.approx_quantiles, approx_distinct=cfg.approx_distinct,
-        broadcast_max_rows=cfg.broadcast_max_rows,
     )
-    summary = materialize(summary, "summary")
+    summary = spark.read.parquet(sinks.write_table(summary, paths.out("summary_table"), cfg))
     summary_csv = sinks.write_summary(summary, paths.out("summary"), cfg)
     underserved_csv = sinks.write_report(
         underserved_report(summary), paths.out("underserved"), cfg,

@@ -17,19 +17,35 @@ def window_path(root: str, cfg: RunConfig) -> str:
 def write_interim(clean: DataFrame, root: str) -> None:
     """Cleaned orders as Parquet under ``event_date=`` directories.
 
-    Dynamic partition overwrite: only the days present in ``clean`` are
-    replaced, so loading day 2 keeps day 1 and re-loading a day is idempotent.
-    No repartition before the write: each task writes the days it holds, so a
-    day holding a large share of the rows is spread over many tasks and files.
+    Dynamic partition overwrite: exactly the days present in ``clean`` are replaced, so the
+    caller passes complete days only (see :func:`zonepulse.plans.run.stage_orders`), and
+    re-loading a day is idempotent.  The rebalance hint lets adaptive execution merge small
+    pieces of a day into files of a good size and split a hot day over many tasks.
     """
+    _write_days(clean.hint("rebalance", "event_date"), root, "event_date")
+
+
+def write_late(late: DataFrame, root: str) -> None:
+    """Cleaned rows that came in the file of another day (or have no day), by ``file_day``."""
+    _write_days(late, root, "file_day")
+
+
+def _write_days(orders: DataFrame, root: str, day: str) -> None:
     (
-        clean.write.mode("overwrite")
+        orders.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
+        .partitionBy(day)
         .parquet(root)
     )
 
 
+def write_table(df: DataFrame, root: str, cfg: RunConfig) -> str:
+    """A table that several later steps read, under the run's (shared) output folder."""
+    path = f"{window_path(root, cfg)}/parquet"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def write_zone_day(zone_day: DataFrame, root: str, cfg: RunConfig) -> str:
     """The released zone x day aggregate: Parquet (typed, read back by the run)
     and CSV with header (the hand-over format).  Returns the Parquet path."""

@@ -8,7 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonepulse.operators.ingest import DEDUP_KEYS, latest, with_derived
 from zonepulse.sources import schemas
+from zonepulse.sources.listing import exists
 
 
 def order_file(src_dir: str, day: dt.date | str) -> str:
@@ -22,6 +24,13 @@ def read_orders_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
     return spark.read.schema(schemas.RAW_ORDERS).option("header", True).csv(paths)
 
 
+def read_delivered_days(spark: SparkSession, src_dir: str, days: Iterable[dt.date]) -> DataFrame:
+    """Raw orders of several days in one scan, with the day of the file (``file_day``)."""
+    raw = read_orders_csv(spark, [order_file(src_dir, d) for d in days])
+    day = F.regexp_extract(F.col("_metadata.file_name"), r"orders_(\d{4}-\d{2}-\d{2})", 1)
+    return raw.select("*", day.cast("date").alias("file_day"))
+
+
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone dimension (device density, area, ...) with its declared types."""
     return spark.read.schema(schemas.ZONES).option("header", True).csv(path)
@@ -32,29 +41,35 @@ def read_registry_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.REGISTRY).option("header", True).csv(path)
 
 
+def late_root(interim_root: str) -> str:
+    """Where rows wait that came in the file of another day than their own."""
+    return f"{interim_root.rstrip('/')}_late"
+
+
 def read_interim(spark: SparkSession, root: str, start: dt.date | None = None,
                  end: dt.date | None = None) -> DataFrame:
-    """Cleaned orders staged as Parquet under ``event_date=`` directories.
+    """Cleaned orders: Parquet under ``event_date=`` directories, and the late rows.
 
     The window predicate is on the partition column, so it prunes directories
-    (PartitionFilters) instead of reading and filtering rows.
+    (PartitionFilters) instead of reading and filtering rows.  A late row joins its own day;
+    orders that occur on both sides are reduced to their latest row, all others are untouched.
     """
-    df = spark.read.parquet(root)
-    if start is not None and end is not None:
-        df = df.where(F.col("event_date").between(F.lit(start), F.lit(end)))
-    return df
+    def window(df: DataFrame) -> DataFrame:
+        if start is None or end is None:
+            return df
+        return df.where(F.col("event_date").between(F.lit(start), F.lit(end)))
+
+    main = window(spark.read.schema(schemas.CLEAN_ORDERS).parquet(root))
+    if not exists(spark, late_root(root)):
+        return main
+    late = spark.read.schema(f"{schemas.CLEAN_ORDERS}, file_day date").parquet(late_root(root))
+    late = window(late.where("event_date is not null")).drop("file_day")
+    touched = late.select(*[F.col(k).alias(f"_{k}") for k in DEDUP_KEYS]).distinct()
+    same = F.col("order_id").eqNullSafe(F.col("_order_id")) & (F.col("event_date") == F.col("_event_date"))
+    both = main.join(touched, same, "left_semi").unionByName(late)
+    return main.join(touched, same, "left_anti").unionByName(with_derived(latest(both, DEDUP_KEYS)))
 
 
 def read_zone_day_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone x day aggregate delivered as CSV by an outside party (declared types)."""
-    ddl = ", ".join(
-        [
-            "zone_id string", "neighbourhood string", "city string", "state string",
-            "zone_type string", "device_density_per_km2 double", "avg_dwell_time_min double",
-            "zone_area_km2 double", "total_orders bigint", "distinct_customers bigint",
-            "distinct_restaurants bigint", "avg_order_value_usd double",
-            "total_order_value_usd double", "peak_hour int", "top_cuisine string",
-            "orders_per_device_ratio double", "event_date date",
-        ]
-    )
-    return spark.read.schema(ddl).option("header", True).csv(path)
+    return spark.read.schema(schemas.ZONE_DAY).option("header", True).csv(path)

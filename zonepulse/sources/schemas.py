@@ -4,13 +4,10 @@ an extra pass over the data, and its result would depend on the content."""
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    DateType,
     DoubleType,
-    IntegerType,
     StringType,
     StructField,
     StructType,
-    TimestampNTZType,
 )
 
 
@@ -18,6 +15,7 @@ def _all_strings(*names: str) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+# Fixed values (file contract, as are all column names of this module).
 # Order columns in file order, with the type each one has after cleaning.
 ORDER_COLUMNS: list[tuple[str, str]] = [
     ("order_id", "string"),
@@ -38,25 +36,8 @@ ORDER_COLUMNS: list[tuple[str, str]] = [
 # Raw CSV is read as text; clean_orders casts with try_cast.
 RAW_ORDERS = _all_strings(*(n for n, _ in ORDER_COLUMNS))
 
-CLEAN_ORDERS = StructType(
-    [
-        StructField("order_id", StringType(), True),
-        StructField("event_date", DateType(), True),
-        StructField("order_timestamp", TimestampNTZType(), True),
-        StructField("customer_id", StringType(), True),
-        StructField("restaurant_id", StringType(), True),
-        StructField("cuisine_type", StringType(), True),
-        StructField("pickup_lat", DoubleType(), True),
-        StructField("pickup_lon", DoubleType(), True),
-        StructField("delivery_lat", DoubleType(), True),
-        StructField("delivery_lon", DoubleType(), True),
-        StructField("order_value_usd", DoubleType(), True),
-        StructField("city", StringType(), True),
-        StructField("neighbourhood", StringType(), True),
-        StructField("order_hour", IntegerType(), True),
-        StructField("day_of_week", IntegerType(), True),
-    ]
-)
+# Orders after cleaning: the columns above with their types, and two derived ones.
+CLEAN_ORDERS = ", ".join(f"{name} {t}" for name, t in ORDER_COLUMNS) + ", order_hour int, day_of_week int"
 
 ZONES = StructType(
     [
@@ -120,3 +101,12 @@ ZONE_DAY_COLUMNS = ZONE_ATTRS + [
     "orders_per_device_ratio",
     "event_date",
 ]
+
+# The zone x day aggregate as it is handed over in files.
+ZONE_DAY = (
+    "zone_id string, neighbourhood string, city string, state string, zone_type string, "
+    "device_density_per_km2 double, avg_dwell_time_min double, zone_area_km2 double, "
+    "total_orders bigint, distinct_customers bigint, distinct_restaurants bigint, "
+    "avg_order_value_usd double, total_order_value_usd double, peak_hour int, top_cuisine string, "
+    "orders_per_device_ratio double, event_date date"
+)
