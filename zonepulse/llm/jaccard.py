@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
@@ -37,7 +37,8 @@ from .words import mix, shingle_sets, slices, words
 STARS = 6
 HEAVY = 64
 BLOCK = 128
-HEAD_ROWS = "token long, doc_id long, n long, p int, kept int, pos int"
+RARITY_BITS = 20
+HEAD_ROWS = "token long, doc_id long, n long, p int, rank int"
 ID_BITS = 23
 TOKEN_BITS = 26
 SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, STARS + 2, dtype=np.uint64)
@@ -82,16 +83,51 @@ def _sketches(k: int, num: int, den: int):
     return run
 
 
-def _sets_of(k: int, wanted):
-    """Sets of the documents that pass ``wanted``."""
+def _rarity_counts(k: int, wanted):
+    """(place, n): how many of the documents that pass ``wanted`` have a token at each of
+    ``2 ** RARITY_BITS`` places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = tester(wanted)
         for batch in batches:
             batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for _, _, data, bounds in slices(batch.column(1)):
                 sets = shingle_sets(words(data, bounds, lower=True), k)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), _lists(sets, np.int64)], names=["id", "s"])
+                place, n = np.unique(np.concatenate([_rarity_place(s) for s in sets]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(n)], names=["place", "n"])
+
+    return run
+
+
+def _rarity_place(tokens: np.ndarray) -> np.ndarray:
+    return (mix(tokens) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _whole_prefixes(k: int, num: int, den: int, wanted, rarity, heavy):
+    """Prefixes of the documents that pass ``wanted``: ``kind`` 0 by rarity, 1 the light
+    tokens of the prefix under order 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, is_heavy, count = tester(wanted), tester(heavy), rarity.value
+        for batch in batches:
+            batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
+            for lo, hi, data, bounds in slices(batch.column(1)):
+                parts: list[tuple[np.ndarray, int, int]] = []
+                for r, s in enumerate(shingle_sets(words(data, bounds, lower=True), k)):
+                    p = prefix_length(len(s), num, den)
+                    light = s[~is_heavy(s.view(np.int64))][:p]
+                    parts += [(s[np.lexsort([s, count[_rarity_place(s)]])][:p], r, 0), (light, r, 1)]
+                size = np.array([len(x) for x, _, _ in parts], dtype=np.int64)
+                row = np.repeat([r for _, r, _ in parts], size) if parts else np.zeros(0, np.int64)
+                rank = np.concatenate([np.arange(n) for n in size]) if parts else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([x for x, _, _ in parts]).view(np.int64) if parts else rank),
+                        batch.column(0).slice(lo, hi - lo).take(pa.array(row.astype(np.int64))),
+                        pa.array(rank.astype(np.int32)), pa.array(np.repeat([k for _, _, k in parts], size).astype(np.int32)),
+                    ],
+                    names=["token", "doc_id", "rank", "kind"],
+                )
 
     return run
 
@@ -117,28 +153,63 @@ def _whole_sets(k: int, num: int, den: int, wanted):
     return run
 
 
-def _head_rows(wanted):
-    """Tokens of the heads that pass ``wanted``, with their place."""
+def _head_rows(wanted, heavy=None):
+    """Tokens of the heads that pass ``wanted``.  With ``heavy``, only the light ones that the
+    prefix under order 1 holds, of documents whose head holds enough of them; a token is
+    heavy if it passes the filter ``heavy``, for all documents alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = tester(wanted)
+        is_heavy = tester(heavy) if heavy is not None else None
         for batch in batches:
-            lists = batch.column(3)
-            offsets = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy()[offsets[0] : offsets[-1]]
-            length = np.diff(offsets)
-            pos = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], length)
-            row = np.repeat(np.arange(len(length)), length)
+            flat, row, pos, length = _flat_heads(batch)
             keep = test(flat)
-            row, ids = row[keep], [batch.column(i) for i in (0, 1, 2)]
+            rank = pos
+            if is_heavy is not None:
+                before, short = _heavy_before(is_heavy(flat), row, pos, length, batch.column(2).to_numpy())
+                rank = pos - before
+                keep &= ~is_heavy(flat) & ~short[row] & (rank < batch.column(2).to_numpy()[row])
+            row = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), *(c.take(pa.array(row)) for c in ids), pa.array(length[row].astype(np.int32)), pa.array(pos[keep].astype(np.int32))],
-                names=["token", "doc_id", "n", "p", "kept", "pos"],
+                [pa.array(flat[keep]), *(batch.column(i).take(row) for i in (0, 1, 2)), pa.array(rank[keep].astype(np.int32))],
+                names=["token", "doc_id", "n", "p", "rank"],
             )
 
     return run
 
 
+def _short_documents(heavy):
+    """Documents whose head holds fewer light tokens than a prefix needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_heavy = tester(heavy)
+        for batch in batches:
+            flat, row, pos, length = _flat_heads(batch)
+            _, short = _heavy_before(is_heavy(flat), row, pos, length, batch.column(2).to_numpy())
+            found = batch.filter(pa.array(short))
+            yield pa.RecordBatch.from_arrays([found.column(0), found.column(1)], names=["doc_id", "n"])
+
+    return run
+
+
+def _flat_heads(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Tokens of all heads, the row and place of each, and the heads' lengths."""
+    lists = batch.column(3)
+    offsets = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+    length = np.diff(offsets)
+    pos = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], length)
+    return flat, np.repeat(np.arange(len(length)), length), pos, length
+
+
+def _heavy_before(heavy: np.ndarray, row: np.ndarray, pos: np.ndarray, length: np.ndarray, p: np.ndarray):
+    """Heavy tokens before each token of its head, and which heads are short of light ones."""
+    upto = np.concatenate([[0], np.cumsum(heavy)])
+    start = np.concatenate([[0], np.cumsum(length)])
+    before = upto[:-1] - upto[start[:-1]][row]
+    return before, length - (upto[start[1:]] - upto[start[:-1]]) < p
+
+
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
     out = []
     for chunk in column.chunks:
@@ -249,39 +320,24 @@ class JaccardJoin:
 
     def prefix_candidates(self, parts: DataFrame) -> DataFrame:
         """All pairs in different parts (id, part) whose prefixes under order 1 meet."""
-        heads = self.sketches.where("n > 0")
-        shared = durable(
+        heads = self.sketches.where("n > 0").select("doc_id", "n", "p", "head")
+        parts = parts.select(F.col("id").alias("doc_id"), "part")
+        shared = (
             heads.select("doc_id", F.explode("head").alias("token"))
             .groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
             .where("lo <> hi").select("token")
         )
-        wanted = bit_filter(shared, TOKEN_BITS)
-
-        names = ("doc_id", "n", "p", "head")
-        rows = durable(
-            heads.select(*names).mapInArrow(_head_rows(wanted), HEAD_ROWS)
-            .join(parts.select(F.col("id").alias("doc_id"), "part"), "doc_id")
-        )
-        crossing = (
-            rows.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
-        )
-        rows = durable(rows.join(crossing, "token"))
-        heavy = (
-            rows.select("token", "part").distinct().groupBy("token").count().where(F.col("count") > HEAVY)
-            .select("token", F.lit(1).alias("heavy"))
-        )
-        before = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        own = Window.partitionBy("doc_id")
-        ranked = durable(
-            rows.join(heavy, "token", "left").withColumn("heavy", F.coalesce("heavy", F.lit(0)))
-            .withColumn("rank", F.col("pos") - F.sum("heavy").over(before))
-            .withColumn("short", F.col("kept") - F.sum("heavy").over(own) < F.col("p"))
+        in_parts = (
+            heads.mapInArrow(_head_rows(bit_filter(shared, TOKEN_BITS)), HEAD_ROWS).join(parts, "doc_id")
+            .select("token", "part").distinct().groupBy("token").count().where("count > 1")
         )
-
+        in_parts = durable(in_parts)
+        heavy = bit_filter(in_parts.where(F.col("count") > HEAVY).select("token"), TOKEN_BITS)
+        crossing = bit_filter(in_parts.select("token"), TOKEN_BITS)
         # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
         # in the order holds no further shared token, so at most its side's rest beyond the
         # prefix, or the other side's beyond the last shared token, can follow.
-        light = ranked.where("heavy = 0 and not short and rank < p").select("token", "doc_id", "part", "n", "p", "rank")
+        light = durable(heads.mapInArrow(_head_rows(crossing, heavy), HEAD_ROWS).join(parts, "doc_id"))
         most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
         usual = (
             self._met(light, light).where("doc_id1 < doc_id2")
@@ -290,7 +346,7 @@ class JaccardJoin:
             .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
             .select("doc_id1", "doc_id2")
         )
-        short = durable(ranked.where("short").select("doc_id", "part", "n", "p").distinct())
+        short = durable(heads.mapInArrow(_short_documents(heavy), "doc_id long, n long").distinct().join(parts, "doc_id"))
         found = usual.union(self._short_candidates(short, heavy, heads, parts))
         return found.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
 
@@ -302,39 +358,34 @@ class JaccardJoin:
             "part1 <> part2 and doc_id1 <> doc_id2"
         ).where(self._sizes_fit("n1", "n2"))
 
-    def _short_candidates(self, short: DataFrame, heavy: DataFrame, heads: DataFrame, parts: DataFrame) -> DataFrame:
+    def _short_candidates(self, short: DataFrame, heavy, heads: DataFrame, parts: DataFrame) -> DataFrame:
         """Candidates of the documents whose heads hold too few light tokens for a prefix:
         versions of one text that differ too much to be tied by stars, mostly.  Their whole
-        sets are ranked.  Among themselves the order is by rarity, so a prefix holds what a
+        sets are ranked.  Among themselves the order is by rarity (counts of tokens in a
+        table of fixed size; any order of the tokens is right), so a prefix holds what a
         version doesn't share with the others, and only as many tokens as the two sizes ask
         for.  With all other documents the order is order 1, of which only the light tokens
         can meet the other side's head."""
+        spark = short.sparkSession
         wanted = bit_filter(short.select("doc_id"), ID_BITS)
-        sets = self.known.mapInArrow(_sets_of(self.k, wanted), "id long, s array<long>")
-        whole = durable(
-            sets.join(short, F.col("id") == F.col("doc_id")).select(F.explode("s").alias("token"), "doc_id", "part", "n", "p")
-        )
-        counted = whole.groupBy("token").agg(F.count("*").alias("df"), F.min("part").alias("lo"), F.max("part").alias("hi"))
-        rarest = Window.partitionBy("doc_id").orderBy("df", "token")
-        by_rarity = (
-            whole.join(counted, "token").withColumn("rank", F.row_number().over(rarest) - 1)
-            .where("rank < p and lo <> hi").select("token", "doc_id", "part", "n", "rank")
+        counted = self.known.mapInArrow(_rarity_counts(self.k, wanted), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        table = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+        table[counted["place"].to_numpy()] = counted["n"].to_numpy()
+        rarity = spark.sparkContext.broadcast(table)
+        prefixes = durable(
+            self.known.mapInArrow(
+                _whole_prefixes(self.k, self.num, self.den, wanted, rarity, heavy), "token long, doc_id long, rank int, kind int"
+            ).join(short, "doc_id")
         )
-        by_rarity = durable(by_rarity)
         needed = f"(({self.num} * (n1 + n2) + {self.num + self.den - 1}) div {self.num + self.den})"
-        among = self._met(by_rarity, by_rarity).where("doc_id1 < doc_id2").where(
+        rare = prefixes.where("kind = 0").drop("kind")
+        among = self._met(rare, rare).where("doc_id1 < doc_id2").where(
             F.expr(f"rank1 <= n1 - {needed} and rank2 <= n2 - {needed}")
         )
-        unsigned = F.col("token").bitwiseXOR(F.lit(-(2**63)))
-        in_order = Window.partitionBy("doc_id").orderBy(unsigned)
-        light = durable(
-            whole.join(heavy, "token", "left_anti").withColumn("rank", F.row_number().over(in_order) - 1)
-            .where("rank < p").select("token", "doc_id", "part", "n")
-        )
+        light = prefixes.where("kind = 1").drop("kind", "rank")
         others = (
-            heads.select("doc_id", "n", "p", "head").mapInArrow(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
-            .join(short.select("doc_id"), "doc_id", "left_anti")
-            .join(parts.select(F.col("id").alias("doc_id"), "part"), "doc_id").select("token", "doc_id", "part", "n")
+            heads.mapInArrow(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
+            .join(short.select("doc_id"), "doc_id", "left_anti").join(parts, "doc_id").select("token", "doc_id", "n", "part")
         )
         return among.select("doc_id1", "doc_id2").union(self._met(light, others).select("doc_id1", "doc_id2"))
 
