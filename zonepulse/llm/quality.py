@@ -197,10 +197,11 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float
         rule = next(r for r in RULES if r.name == name)
         n, best = int(seen.sum()), 0
         for i, cutoff in enumerate(rule.cutoffs):
-            k = int(seen[i + 1 :].sum())
+            least = len(rule.cutoffs) - i  # a row above this cutoff is above all stricter ones too
+            k = int(seen[least:].sum())
             if not certified(k, n, share, level):
                 break
-            caught = int(bad.get((stratum, name), np.zeros(size[name], dtype=np.int64))[i + 1 :].sum())
+            caught = int(bad.get((stratum, name), np.zeros(size[name], dtype=np.int64))[least:].sum())
             if caught - k > best:  # the loosest of the certified cutoffs that gain the most
                 best = caught - k
                 model.cutoffs[stratum, name] = cutoff
