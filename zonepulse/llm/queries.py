@@ -68,4 +68,35 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB; the other operators fit models, follow hashes or parse, which SQL can't express.
+ORACLE_SQL: dict[str, str] = {
+    "op6_ngram_jaccard": r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+runs AS (
+  SELECT doc_id, CASE
+    WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+    ELSE CAST([] AS VARCHAR[]) END AS s
+  FROM tokens),
+shingles AS (SELECT DISTINCT doc_id, unnest(s) AS shingle FROM runs),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_shared
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * n_shared >= 85 * (s.n + t.n - n_shared)),
+reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d
+LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+""",
+}
