@@ -82,3 +82,13 @@ def test_late_rows_leave_the_partition_pruned(spark, staged):
     orders, _, _, _ = staged
     p = plan(orders)
     assert "PartitionFilters: [isnotnull(event_date" in p and "Exchange" not in p
+
+
+@pytest.mark.parametrize("name", ["thresholds", "run_metrics"])
+def test_queries_scan_the_events_once(spark, name):
+    """All branches of a query share the dedup shuffle: one scan of events in the final plan."""
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("FileScan parquet" in x and "event_id" in x for x in final.splitlines()) == 1
+    assert "ReusedExchange" in final
