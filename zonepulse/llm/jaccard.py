@@ -37,7 +37,7 @@ from .words import mix, shingle_sets, slices, words
 STARS = 6
 HEAVY = 64
 BLOCK = 128
-RARITY_BITS = 20
+RARITY_BITS = 16
 HEAD_ROWS = "token long, doc_id long, n long, p int, rank int"
 ID_BITS = 23
 TOKEN_BITS = 26
@@ -84,17 +84,18 @@ def _sketches(k: int, num: int, den: int):
 
 
 def _rarity_counts(k: int, wanted):
-    """(place, n): how many of the documents that pass ``wanted`` have a token at each of
-    ``2 ** RARITY_BITS`` places."""
+    """(place, n): how many tokens of the documents that pass ``wanted`` fall on each of
+    ``2 ** RARITY_BITS`` places, summed over the whole partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = tester(wanted)
+        test, total = tester(wanted), np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for batch in batches:
             batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
             for _, _, data, bounds in slices(batch.column(1)):
                 sets = shingle_sets(words(data, bounds, lower=True), k)
-                place, n = np.unique(np.concatenate([_rarity_place(s) for s in sets]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(n)], names=["place", "n"])
+                total += np.bincount(_rarity_place(np.concatenate(sets)), minlength=len(total))
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[place])], names=["place", "n"])
 
     return run
 
