@@ -70,3 +70,27 @@ def test_good_documents_score_lower(spark):
     scores = lmscore.score(docs, lmscore.fit(docs, labels)).join(labels, "doc_id")
     by = {r.quality: r.m for r in scores.groupBy("quality").agg({"score": "avg"}).withColumnRenamed("avg(score)", "m").collect()}
     assert by[1] < by[0]
+
+
+def test_rare_words_and_bigrams_count_at_any_size(spark):
+    # words and bigrams of two tokens are listed, however many are broadcast, and words of one
+    # token stand beside each other, at the start and at the end
+    rnd = random.Random(5)
+    rows = []
+    for i in range(80):
+        w = [f"w{int(rnd.paretovariate(0.6)) % 400}" for _ in range(rnd.randint(1, 30))]
+        for at in rnd.sample(range(len(w) + 1), min(len(w), 3)):
+            w.insert(at, f"once{i}x{at}")
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame([*rows, rows[7], (None, rows[8][1])], "doc_id long, text string")
+    counted = [*rows, rows[7], (None, rows[8][1])]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 80, 4)], "doc_id long, quality int, toxic int")
+    keyed = [(n if i is None else i if n != 80 else "again", t) for n, (i, t) in enumerate(counted)]
+    want = plain(keyed, set(range(0, 80, 4)), 2)
+    for bits in (4, 7, 20):
+        got = lmscore.score(docs, lmscore.fit(docs, labels, bits)).collect()
+        assert len(got) == len(counted) and sum(r.doc_id == 7 for r in got) == 2
+        for r in got:
+            n, target, background = want[81 if r.doc_id is None else r.doc_id]
+            assert r.n_tokens == n
+            assert abs(r.loss_target - target) < 1e-9 and abs(r.loss_background - background) < 1e-9

@@ -6,11 +6,17 @@ one smoothing, so their losses can be compared token by token:
 
     P(w | v) = L * c(v w) / c(v) + (1 - L * kept(v) / c(v)) * (c(w) + K) / (N + K * (V + 1))
 
-with kept(v) the count of the listed bigrams that start with v.  The vocabulary are the words
-that make at least one in ``2 ** SHARE_BITS`` of all tokens (and occur twice at least), all
-others are one unknown word; bigrams are listed by the same rule.  So each list has at most
-``2 ** SHARE_BITS`` entries at any size of the corpus, while what is counted and shuffled
-grows with it.  Words are lower-cased (A-Z); a document starts after a start sign.
+with kept(v) the count of the listed bigrams that start with v.  The vocabulary are all words
+that occur twice at least, whatever the size of the corpus; words that occur once are one
+unknown word.  Bigrams are listed by the same rule.  Words are lower-cased (A-Z); a document
+starts after a start sign.
+
+The model is two durable tables, of words and of listed bigrams, that grow with the corpus.
+The loss of a bigram that isn't listed is a sum of a term of each word, and a listed one adds
+a correction; so a document's loss is a sum over joins of its words and bigrams with the two
+tables.  Words and bigrams that make at least one in ``2 ** SHARE_BITS`` of all tokens (at
+most so many) are looked up in a broadcast copy instead of the join: it is the same entry, and
+no join key is more frequent than that.
 
 A document's ``score`` is its loss per token under the target model minus that under the
 background model: lower is more like the target.  Null and empty texts, and all documents if
@@ -22,63 +28,109 @@ count; a null doc_id is scored.  Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
 from .common import durable
-from .words import slices, words
+from .words import BASE, Words, mix, slices, words
 
 SHARE_BITS = 20
 ID_BITS = 23
+PAIR_BITS = 26
 LAMBDA = 0.7
 SMOOTH = 0.5
+MIN_COUNT = 2  # words below occur once, which _unknown_pairs() needs
+UNKNOWN, START, END = 1, 2, 3  # in the place of a word's hash
 
 
-def _summed(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+@dataclass
+class Model:
+    """``words``: per known word (and UNKNOWN, START) its own and its context's part of the loss
+    (own_b, own_t, g_b, g_t) and the corrections of the bigrams with the unknown word after it
+    (lu_b, lu_t) and before it (ru_b, ru_t).  ``pairs``: corrections (d_b, d_t) of the other
+    listed bigrams.  b: background model, t: target model."""
 
+    words: DataFrame
+    pairs: DataFrame
+    total: tuple[int, int]
+    hot: int  # words and bigrams of so many tokens are broadcast
 
-def vocabulary_ids(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Place of each word in the sorted vocabulary, its size for unknown words."""
-    if not len(vocabulary):
-        return np.zeros(len(hashes), dtype=np.int64)
-    h = hashes.view(np.int64)
-    at = np.minimum(vocabulary.searchsorted(h), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == h, at, len(vocabulary))
 
+def neighbours(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word, of the word before (or START) and of the word after (or END)."""
+    h = w.hashes.view(np.int64)
+    before, after = np.roll(h, 1), np.roll(h, -1)
+    filled = np.diff(w.first) > 0
+    before[w.first[:-1][filled]] = START
+    after[w.first[1:][filled] - 1] = END
+    return h, before, after
 
-def bigrams(ids: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
-    """Key of (word before, word) at each token; the word before the first is ``size + 1``."""
-    before = np.roll(ids, 1)
-    before[first[:-1][np.diff(first) > 0]] = size + 1
-    return before * (size + 2) + ids
 
+def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return mix(mix(before.view(np.uint64)) * np.uint64(BASE) + after.view(np.uint64)).view(np.int64)
 
-def _counts(texts: DataFrame, vocabulary: np.ndarray | None) -> DataFrame:
-    """(key, n) of words, or of bigrams over a vocabulary, summed per Arrow batch."""
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+def places(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key in a sorted table, and whether it is there."""
+    if not len(table):
+        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+    at = np.minimum(table.searchsorted(keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+def _grouped(keys: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of one token of each key, and the key's tokens in all documents and in the target."""
+    order = np.argsort(keys, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+    return order[edges], np.diff(np.append(edges, len(keys))), np.add.reduceat(good[order].astype(np.int64), edges)
+
+
+def _tokens(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Hashes of the tokens of (text, good), of those before and after, and whether good."""
+    parts = []
+    for lo, hi, data, bounds in slices(batch.column(0)):
+        w = words(data, bounds, lower=True)
+        parts.append((*neighbours(w), batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[w.row]))
+    return [np.concatenate(x) for x in zip(*parts)] if sum(len(x[0]) for x in parts) else []
+
+
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """(key, b, t, before, after) of words, summed per Arrow batch; neighbours of words with b = 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: list[np.ndarray] = []
-            for _, _, data, bounds in slices(batch.column(0)):
-                w = words(data, bounds, lower=True)
-                if shared.value is None:
-                    parts.append(w.hashes.view(np.int64))
-                else:
-                    parts.append(bigrams(vocabulary_ids(w.hashes, shared.value), w.first, len(shared.value)))
-            keys, n = _summed(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+            if tokens := _tokens(batch):
+                h, before, after, good = tokens
+                at, b, t = _grouped(h, good)
+                columns = [h[at], b, t, np.where(b == 1, before[at], 0), np.where(b == 1, after[at], 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "b", "t", "before", "after"])
+
+    return texts.mapInArrow(run, "key long, b long, t long, before long, after long")
+
 
-    return texts.select("text").mapInArrow(run, "key long, n long")
+def _pair_counts(texts: DataFrame) -> DataFrame:
+    """(v, w, b, t) of bigrams, summed per Arrow batch; in order of v, which shuffles smaller."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if tokens := _tokens(batch):
+                h, before, _, good = tokens
+                at, b, t = _grouped(pair_keys(before, h), good)
+                order = np.argsort(before[at], kind="stable")
+                at = at[order]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (before[at], h[at], b[order], t[order])], names=["v", "w", "b", "t"])
 
+    return texts.mapInArrow(run, "v long, w long, b long, t long")
 
-def target_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of good, not toxic documents; only texts that can be among them are shuffled."""
+
+def tagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, good): whether each text is of a good, not toxic document; only texts that can be
+    are shuffled."""
     ids = (
         labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("label_id"))
         .agg(F.min(F.col("quality").cast("int")).alias("quality"), F.max(F.coalesce(F.col("toxic").cast("int"), F.lit(1))).alias("toxic"))
@@ -86,87 +138,218 @@ def target_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     wanted = bit_filter(ids, ID_BITS)
 
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = tester(wanted)
-        for batch in batches:
-            yield batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
+    def only(possible: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            test = tester(wanted)
+            for batch in batches:
+                known = test(batch.column(0).fill_null(0).to_numpy().astype(np.int64)) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(known == possible))
+
+        return docs.mapInArrow(run, "doc_id long, text string")
+
+    can = only(True).join(ids, F.col("doc_id") == F.col("label_id"), "left")
+    return only(False).select("text", F.lit(False).alias("good")).union(can.select("text", F.col("label_id").isNotNull()))
+
+
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
 
-    known = docs.where("doc_id is not null").mapInArrow(possible, "doc_id long, text string")
-    return known.join(ids, F.col("doc_id") == F.col("label_id"), "left_semi")
 
+def _written(df: DataFrame) -> DataFrame:
+    """``durable``, and Spark removes the shuffle files of the write as soon as it is done."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return durable(df)
+    finally:
+        conf.set(name, old) if old is not None else conf.unset(name)
 
-def _both(docs: DataFrame, target: DataFrame, vocabulary: np.ndarray | None) -> DataFrame:
-    """(key, background count, target count)."""
-    zero = F.lit(0).cast("long")
-    all_rows = _counts(docs, vocabulary).select("key", F.col("n").alias("b"), zero.alias("t"))
-    own_rows = _counts(target, vocabulary).select("key", zero.alias("b"), F.col("n").alias("t"))
-    return all_rows.union(own_rows).groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
 
+def _unknown_pairs(counted: DataFrame, known: DataFrame) -> DataFrame:
+    """(v, w, b, t) of the bigrams with the unknown word: each word that occurs once has one
+    word before and one after it.  Summed by the neighbour before the join with the vocabulary."""
+    once = counted.where(F.col("b") < MIN_COUNT)
+    ids = known.select("key", F.lit(True).alias("known"))
+    unknown = F.lit(UNKNOWN).cast("long")
+    before = _sums(once.select(F.col("before").alias("key"), "b", "t"), "key").join(ids, "key", "left")
+    after = _sums(once.where(F.col("after") != END).select(F.col("after").alias("key"), "b", "t"), "key").join(ids, "key")
+    before = before.select(F.when(F.col("known") | (F.col("key") == START), F.col("key")).otherwise(unknown).alias("v"), unknown.alias("w"), "b", "t")
+    return _sums(before.union(after.select(unknown.alias("v"), F.col("key").alias("w"), "b", "t")), "v", "w")
 
-def fit(docs: DataFrame, labels: DataFrame, share_bits: int = SHARE_BITS) -> dict[str, np.ndarray]:
-    """The two models as plain arrays: sorted vocabulary and bigram keys, and log-ready
-    probabilities by column (background, target)."""
+
+def fit(docs: DataFrame, labels: DataFrame, share_bits: int = SHARE_BITS) -> Model:
+    """The two models as tables."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    target = target_documents(docs, labels)
-    counted = durable(_both(docs, target, None))
-    totals = counted.agg(F.sum("b"), F.sum("t")).first()
-    total = np.array([totals[0] or 0, totals[1] or 0], dtype=np.int64)
-    least = max(2, -(-int(total[0]) // 2**share_bits))
-    listed = counted.where(F.col("b") >= least).toArrow().sort_by("key")
-    vocabulary = listed["key"].to_numpy()
-    count = np.stack([listed["b"].to_numpy(), listed["t"].to_numpy()], axis=1).astype(np.float64).reshape(-1, 2)
-    count = np.concatenate([count, [total - count.sum(0)]])  # the unknown word
-    size = len(vocabulary)
-    pairs = _both(docs, target, vocabulary).where(F.col("b") >= least).toArrow().sort_by("key")
-    keys = pairs["key"].to_numpy()
-    pair_count = np.stack([pairs["b"].to_numpy(), pairs["t"].to_numpy()], axis=1).astype(np.float64).reshape(-1, 2)
-    before = keys // (size + 2)
+    texts = tagged(docs, labels)
+    counted = _written(
+        _word_counts(texts).groupBy("key")
+        .agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.max("before").alias("before"), F.max("after").alias("after"))
+    )
+    known = counted.where(F.col("b") >= MIN_COUNT)
+    total = [x or 0 for x in counted.agg(F.sum("b"), F.sum("t")).first()]
+    size, *inside = [x or 0 for x in known.agg(F.count("*"), F.sum("b"), F.sum("t")).first()]
+    listed = _written(
+        _sums(_pair_counts(texts), "v", "w").union(_unknown_pairs(counted, known)).where(F.col("b") >= MIN_COUNT)
+    )
+
     # the start sign comes before as many tokens as there are documents with a word; its listed
     # pairs are all that is known of it, and it is always followed by one of them or a rare word
-    context = np.concatenate([count, [np.maximum(pair_count[before == size + 1].sum(0), 1)]])
-    kept = np.stack([np.bincount(before, pair_count[:, m], size + 2) for m in (0, 1)], axis=1)
-    context = np.maximum(context, np.maximum(kept, 1))
-    return {
-        "vocabulary": vocabulary, "keys": keys, "total": total,
-        "word": (count + SMOOTH) / (total + SMOOTH * (size + 1)),
-        "pair": LAMBDA * pair_count / context[before],
-        "rest": 1 - LAMBDA * kept / context,
-    }
-
-
-def losses(model: dict[str, np.ndarray], hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per token the loss under the background and the target model."""
-    size = len(model["vocabulary"])
-    ids = vocabulary_ids(hashes, model["vocabulary"])
-    keys = bigrams(ids, first, size)
-    p = model["rest"][keys // (size + 2)] * model["word"][ids]
-    if len(model["keys"]):
-        at = np.minimum(model["keys"].searchsorted(keys), len(model["keys"]) - 1)
-        found = model["keys"][at] == keys
-        p[found] += model["pair"][at[found]]
-    return -np.log(p)
-
-
-def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    signs = spark.createDataFrame([(UNKNOWN, total[0] - inside[0], total[1] - inside[1]), (START, 0, 0)], "key long, b long, t long")
+    kept = listed.groupBy(F.col("v").alias("key")).agg(F.sum("b").alias("kept_b"), F.sum("t").alias("kept_t"))
+    parts = known.select("key", "b", "t").union(signs).join(kept, "key", "left").fillna(0)
+    for m, n in zip("bt", total):
+        context = F.greatest(F.col(m), F.col(f"kept_{m}"), F.lit(1))
+        parts = parts.withColumns({
+            f"word_{m}": (F.col(m) + SMOOTH) / (n + SMOOTH * (size + 1)),
+            f"room_{m}": context - LAMBDA * F.col(f"kept_{m}"),
+            f"g_{m}": -F.log(1 - LAMBDA * F.col(f"kept_{m}") / context),
+        })
+    parts = _written(parts.drop("kept_b", "kept_t"))
+
+    rooms = parts.select(F.col("key").alias("v"), "room_b", "room_t")
+    chances = parts.select(F.col("key").alias("w"), "word_b", "word_t")
+
+    def correction(m: str) -> Column:
+        return (-F.log1p(LAMBDA * F.col(m) / (F.col(f"room_{m}") * F.col(f"word_{m}")))).alias(f"d_{m}")
+
+    pairs = _written(listed.join(rooms, "v").join(chances, "w").select("v", "w", "b", correction("b"), correction("t")))
+    after = pairs.where(F.col("w") == UNKNOWN).select(F.col("v").alias("key"), F.col("d_b").alias("lu_b"), F.col("d_t").alias("lu_t"))
+    before = pairs.where((F.col("v") == UNKNOWN) & (F.col("w") != UNKNOWN)).select(F.col("w").alias("key"), F.col("d_b").alias("ru_b"), F.col("d_t").alias("ru_t"))
+    own = [(F.col(f"g_{m}") - F.log(f"word_{m}")).alias(f"own_{m}") for m in "bt"]
+    table = parts.join(after, "key", "left").join(before, "key", "left").fillna(0.0).select("key", "b", *own, *VALUES[2:])
+
+    return Model(_written(table), pairs.where(f"v <> {UNKNOWN} and w <> {UNKNOWN}"), tuple(total), max(MIN_COUNT, -(-total[0] // 2**share_bits)))
+
+
+VALUES = ["own_b", "own_t", "g_b", "g_t", "lu_b", "lu_t", "ru_b", "ru_t"]
+
+
+def _columns(table: pa.Table, names: list[str]) -> np.ndarray:
+    return np.stack([table[c].to_numpy() for c in names], axis=1).reshape(-1, len(names))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, loss_target, loss_background, score) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    context = docs.sparkSession.sparkContext
+    signs = {r.key: r for r in model.words.where(F.col("key").isin(UNKNOWN, START)).collect()}
+    unknown, start = (np.array([signs[k][c] for c in VALUES]) for k in (UNKNOWN, START))
+    hot = model.words.where((F.col("b") >= model.hot) & ~F.col("key").isin(UNKNOWN, START)).toArrow().sort_by("key")
+    often = model.pairs.where(F.col("b") >= model.hot).toArrow()
+    keys = pair_keys(often["v"].to_numpy(), often["w"].to_numpy())
+    order = np.argsort(keys)
+    shared = context.broadcast((hot["key"].to_numpy(), _columns(hot, VALUES), keys[order], _columns(often, ["d_b", "d_t"])[order]))
+
+    def pairs_by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w = (batch.column(i).to_numpy() for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_keys(v, w)), batch.column(2), batch.column(3)], names=["key", "d_b", "d_t"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+    rarer = model.pairs.where(F.col("b") < model.hot).select("v", "w", "d_b", "d_t").mapInArrow(pairs_by_key, "key long, d_b double, d_t double")
+    maybe = bit_filter(rarer.select("key"), PAIR_BITS)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, values, often, corrections = shared.value
         for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(2)):
                 w = words(data, bounds, lower=True)
+                h, before, after = neighbours(w)
                 n = np.diff(w.first)
-                each = losses(m, w.hashes, w.first) if len(w.hashes) else np.zeros((0, 2))
-                mean = np.stack([np.bincount(w.row, each[:, j], hi - lo) for j in (0, 1)], axis=1) / np.maximum(n, 1)[:, None]
-                none = (n == 0) | (m["total"][1] == 0)
+                each = np.zeros((len(h), 2))
+                at, found = places(h, hot)
+                if found.any():
+                    each[found] += values[at[found], :2]
+                    last = found & (after == END)
+                    each[last] -= values[at[last], 2:4]
+                at, found = places(pair_keys(before, h), often)
+                if found.any():
+                    each[found] += corrections[at[found]]
+                sums = [np.bincount(w.row, each[:, m], hi - lo) + (n > 0) * start[2 + m] for m in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(mean[:, 1], mask=none),
-                        pa.array(mean[:, 0], mask=none), pa.array(mean[:, 1] - mean[:, 0], mask=none),
-                    ],
-                    names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"],
+                    [batch.column(i).slice(lo, hi - lo) for i in (0, 1)] + [pa.array(x) for x in (n, np.ones(hi - lo, np.int64), *sums)],
+                    names=["id", "doc_id", "n", "copies", "b", "t"],
                 )
 
+    def rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, test = shared.value[2], tester(maybe)
+        for batch in batches:
+            for lo, hi, data, bounds in slices(batch.column(2)):
+                w = words(data, bounds, lower=True)
+                h, before, _ = neighbours(w)
+                keys = pair_keys(before, h)
+                go = np.flatnonzero(test(keys))
+                go = go[~places(keys[go], often)[1]]
+                ids = batch.column(0).to_numpy()[lo:hi]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[w.row[go]]), pa.array(keys[go])], names=["id", "key"])
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, bounds in slices(batch.column(2)):
+                w = words(data, bounds, lower=True)
+                h, before, after = neighbours(w)
+                go = np.flatnonzero(~places(h, shared.value[0])[1])
+                ids = batch.column(0).to_numpy()[lo:hi]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (ids[w.row[go]], h[go], before[go], after[go])], names=["id", "key", "before", "after"]
+                )
+
+    def beside_unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What is known of an unknown word's loss here; a neighbour that isn't goes on to the join."""
+        hot, values = shared.value[:2]
+        for batch in batches:
+            ids, before, after = (batch.column(i).to_numpy() for i in range(3))
+            each = np.tile(unknown[:2], (len(ids), 1))
+            each[before == START] += start[4:6]
+            each[after == END] -= unknown[2:4]
+            left_at, left = places(before, hot)
+            right_at, right = places(after, hot)
+            if len(hot):
+                each[left] += values[left_at[left], 4:6]
+                each[right] += values[right_at[right], 6:8]
+            left, right = ~left & (before != START), ~right & (after != END)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([ids, ids[left], ids[right]])),
+                    pa.array(np.concatenate([np.zeros(len(ids), np.int64), before[left], after[right]])),
+                    pa.array(np.repeat(np.array([0, 1, 2], np.int32), [len(ids), left.sum(), right.sum()])),
+                    *[pa.array(np.concatenate([each[:, m], np.zeros(left.sum() + right.sum())])) for m in (0, 1)],
+                ],
+                names=["id", "key", "side", "b", "t"],
+            )
+
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+    source = source.select(F.xxhash64("doc_id", "text").alias("id"), "doc_id", "text")
+    table = model.words.where(~F.col("key").isin(UNKNOWN, START))
+
+    by_pair = source.mapInArrow(rare_pairs, "id long, key long").join(rarer, "key").select("id", F.col("d_b").alias("b"), F.col("d_t").alias("t"))
+    looked = source.mapInArrow(rare_words, "id long, key long, before long, after long").join(
+        table.select("key", "own_b", "own_t", "g_b", "g_t"), "key", "left"
+    )
+    end = F.when(F.col("after") == END, 1).otherwise(0)
+    by_word = looked.where("own_b is not null").select("id", (F.col("own_b") - end * F.col("g_b")).alias("b"), (F.col("own_t") - end * F.col("g_t")).alias("t"))
+    beside = _written(
+        looked.where("own_b is null").select("id", "before", "after")
+        .mapInArrow(beside_unknown, "id long, key long, side int, b double, t double")
+    )
+    joined = beside.where("side > 0").select("id", "key", "side").join(table.select("key", *VALUES[4:]), "key", "left")
+    by_side = [
+        F.when(F.col("side") == 1, F.coalesce(f"lu_{m}", F.lit(float(unknown[4 + i])))).otherwise(F.coalesce(f"ru_{m}", F.lit(0.0))).alias(m)
+        for i, m in enumerate("bt")
+    ]
+    # sums per document, written one after the other: the shuffles of the first are gone before the next
+    by_pair = _written(_sums(by_pair, "id"))
+    added = by_pair.union(_written(_sums(by_word.union(beside.where("side = 0").select("id", "b", "t")).union(joined.select("id", *by_side)), "id")))
+
+    none = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast("long").alias(c) for c in ("n", "copies")]]
+    every = source.mapInArrow(local, "id long, doc_id long, n long, copies long, b double, t double").union(added.select("id", *none, "b", "t"))
+    # rows of one id are copies of each other, and have the same loss
+    summed = every.groupBy("id").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n").alias("n_tokens"), F.sum("copies").alias("copies"), F.sum("b").alias("b"), F.sum("t").alias("t")
+    )
+    scored = F.col("n_tokens") > 0 if model.total[1] else F.lit(False)
+    loss = {m: F.when(scored, F.col(m) / F.col("copies") / F.col("n_tokens")) for m in "bt"}
+    return (
+        summed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .select("doc_id", "n_tokens", loss["t"].alias("loss_target"), loss["b"].alias("loss_background"), (loss["t"] - loss["b"]).alias("score"))
+    )
