@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -70,3 +71,33 @@ def test_small_cases(spark):
     assert spans.remove_repeats(empty).count() == 0
     ids = spark.createDataFrame([(None, passage), (None, passage), (4, passage), (4, passage)], "doc_id long, text string")
     assert spans.remove_repeats(ids, 2, 3).count() == 0
+
+
+def test_unaligned_passages_of_51_words_are_found(spark):
+    rnd = random.Random(11)
+    word = lambda: f"v{rnd.randrange(3000)}" + rnd.choice(["", "", "", "", "", "", "", "", "."])
+    docs = {i: [word() for _ in range(rnd.randint(0, 200))] for i in range(60)}
+    for n in range(40):  # from one document into the middle of another, or the same
+        a, b = rnd.choice([i for i in docs if len(docs[i]) > 110]), rnd.randrange(60)
+        at, to = rnd.randrange(len(docs[a]) - 55), rnd.randrange(len(docs[b]) + 1)
+        docs[b][to:to] = docs[a][at : at + 51 + n % 4]
+    docs[70] = ["same"] * 200
+    first, want, k = {}, {}, spans.PASSAGE + 1
+    for doc in sorted(docs):
+        want[doc] = set()
+        for at in range(len(docs[doc]) - k + 1):
+            seen = first.setdefault(tuple(docs[doc][at : at + k]), (doc, at))
+            if seen[0] < doc or at - seen[1] >= k:
+                want[doc].update(range(at, at + k))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+
+    def removed(**more):
+        got = {i: set() for i in docs}
+        for r in spans.remove_repeats(frame, **more).collect():
+            for span in r.spans.split(","):
+                got[r.doc_id].update(range(*map(int, span.split(":"))))
+        return got
+
+    base = removed()
+    assert any(want[i] - base[i] for i in docs)  # what sentences alone miss
+    assert removed(passage=spans.PASSAGE) == {i: want[i] | base[i] for i in docs}

@@ -48,7 +48,7 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return spans.remove_repeats(table(spark, sf_dir, "documents"), passage=spans.PASSAGE)
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,12 @@ sentences with at least ``MIN_WORDS`` words is hashed on its lower-cased words (
 over all documents.  A run is a repeat if a document with a smaller doc_id, or an earlier
 place of the same document, has it; the sentences that repeats cover are removed.
 
+With ``passage`` = n every run of more than n words that is repeated is found too, wherever
+sentences end: all its words are removed, and of a text that repeats itself the first n + 1
+words of a passage stay.  Of every ``n + 2 - PRINT`` consecutive runs of ``PRINT`` words the one
+of the smallest hash is a print, so any n + 1 words hold one, the same in every copy; all
+runs of n + 1 words around prints that occur twice are then joined like runs of sentences.
+
 A null or empty text has no runs.  Rows with the same doc_id count as one document, so they
 don't repeat one another; a null doc_id takes no part.  Further columns are ignored by
 ``repeated_spans`` and pass through ``remove_repeats``.
@@ -19,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +37,9 @@ RUN = 2
 MIN_WORDS = 16
 LONG = 40
 ID_BITS = 23
+PASSAGE = 50
+PRINT = 16
+PRINT_BITS = 26
 
 END = np.zeros(256, dtype=bool)
 END[[ord(c) for c in ".!?"]] = True
@@ -90,7 +100,69 @@ def _occurrences(run: int, min_words: int):
     return go
 
 
-def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def word_runs(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of each run of ``k`` words inside one row, as in ``runs_of``."""
+    n = len(w.hashes)
+    at = np.flatnonzero(w.row[: max(n - k + 1, 0)] == w.row[k - 1 :])
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(w.hashes * _powers(BASE, n), out=sums[1:])
+    return at, mix((sums[at + k] - sums[at]) * _powers(INVERSE, n + 1)[at])
+
+
+def prints(w: Words, passage: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of the prints: at least one in any ``passage + 1`` words."""
+    k = min(PRINT, passage + 1)
+    at, h = word_runs(w, k)
+    wide = passage + 2 - k
+    if len(at) < wide:
+        return at[:0], h[:0]
+    inside = np.flatnonzero(w.row[at[wide - 1 :]] == w.row[at[: len(at) - wide + 1]])
+    least = np.lib.stride_tricks.sliding_window_view(h, wide).argmin(axis=1)[inside]
+    chosen = np.unique(inside + least)
+    return at[chosen], h[chosen]
+
+
+def _prints(passage: int):
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, bounds in slices(batch.column(1)):
+                h, n = np.unique(prints(words(data, bounds, lower=True), passage)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    return go
+
+
+def _passages(passage: int, repeated: Broadcast):
+    """The runs of ``passage + 1`` words that hold a repeated print."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, k = tester(repeated), passage + 1
+        for batch in batches:
+            for lo, hi, data, bounds in slices(batch.column(1)):
+                w = words(data, bounds, lower=True)
+                at, h = prints(w, passage)
+                at = at[test(h.view(np.int64))]
+                near = np.zeros(len(w.hashes) + 1, dtype=np.int64)
+                np.add.at(near, np.maximum(at + min(PRINT, k) - k, 0), 1)
+                np.add.at(near, at + 1, -1)
+                first, h = word_runs(w, k)
+                good = np.cumsum(near)[first] > 0
+                first, h = first[good], h[good]
+                row = w.row[first]
+                # an earlier run of the row with the same hash that doesn't overlap
+                _, earliest, same = np.unique(mix(h + mix(row.astype(np.uint64))), return_index=True, return_inverse=True)
+                again = first - first[earliest][same] >= k
+                first = (first - w.first[row]).astype(np.int32)
+                ids = batch.column(0).slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), ids.take(pa.array(row)), pa.array(first), pa.array(first + np.int32(k)), pa.array(again)],
+                    names=["h", "doc_id", "first", "last", "again"],
+                )
+
+    return go
+
+
+def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, passage: int | None = None) -> DataFrame:
     """(doc_id, first, last): word ranges of the repeated runs; they may overlap.
 
     The runs are written once.  Their first documents are found by an aggregation that is
@@ -98,7 +170,12 @@ def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS)
     skewed join key, which Spark splits.
     """
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    runs = durable(source.mapInArrow(_occurrences(run, min_words), "h long, doc_id long, first int, last int, again boolean"))
+    schema = "h long, doc_id long, first int, last int, again boolean"
+    runs = source.mapInArrow(_occurrences(run, min_words), schema)
+    if passage is not None:
+        twice = source.mapInArrow(_prints(passage), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+        runs = runs.union(source.mapInArrow(_passages(passage, bit_filter(twice.select("h"), PRINT_BITS)), schema))
+    runs = durable(runs)
     shared = (
         runs.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("h", "lo")
     )
@@ -142,10 +219,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, passage: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, text) of the documents that lose words: their
     removed word ranges and what is left of the text.  All other documents stay as they are."""
-    found = durable(merged_spans(repeated_spans(docs, run, min_words)))
+    found = durable(merged_spans(repeated_spans(docs, run, min_words, passage)))
     wanted = bit_filter(found.select("doc_id"), ID_BITS)
 
     def affected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
