@@ -33,6 +33,17 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def durable_once(df: DataFrame) -> DataFrame:
+    """``durable``; Spark removes the shuffle files of the write as soon as it is done."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return durable(df)
+    finally:
+        conf.set(name, old) if old is not None else conf.unset(name)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b long): (id, root), root being one vertex of
     the component, for every vertex that occurs.

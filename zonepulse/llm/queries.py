@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity
+from . import collocations, decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_boosting": op2_pii_boosting,
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_html_extraction": op10_html_extraction,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 #: DuckDB; the other operators fit models, follow hashes or parse, which SQL can't express.
@@ -98,5 +103,40 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
 FROM documents d
 LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+""",
+    "op11_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+tokens AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM tokens, (VALUES (1), (2), (3), (4)) AS sizes(size) WHERE len(w) >= size),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY lang, size, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE size > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, w, size, a, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, p.f AS l, q.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (p.f + q.f) AS score
+  FROM cuts c
+  JOIN counts p ON p.lang = c.lang AND p.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counts q ON q.lang = c.lang AND q.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT c.lang, array_to_string(c.w[i:i + s - 1], ' ') AS phrase, c.a AS f
+  FROM candidates c, range(1, 4) AS starts(i), range(2, 4) AS lengths(s)
+  WHERE s < c.size AND i + s - 1 <= c.size),
+covering AS (SELECT lang, phrase, max(f) AS f FROM parts GROUP BY lang, phrase),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN covering v ON v.lang = b.lang AND v.phrase = b.phrase
+  WHERE v.f IS NULL OR CAST(100 AS HUGEINT) * v.f < CAST(80 AS HUGEINT) * b.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked k JOIN totals t ON t.lang = k.lang WHERE rank <= 2000
 """,
 }
