@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity
+from . import collocations, decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity, trie
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_boosting": op2_pii_boosting,
@@ -71,6 +75,7 @@ QUERIES = {
     "op9_sentence_spans": op9_sentence_spans,
     "op10_html_extraction": op10_html_extraction,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 #: DuckDB; the other operators fit models, follow hashes or parse, which SQL can't express.
@@ -138,5 +143,53 @@ ranked AS (
 SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
   CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM ranked k JOIN totals t ON t.lang = k.lang WHERE rank <= 2000
+""",
+    "op13_conversation_trie": r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, CAST(conv_id AS VARCHAR) AS s,
+    list({'role': role, 'text': text} ORDER BY t) AS turns
+  FROM turns GROUP BY conv_id),
+hashed AS (
+  SELECT *, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(s[i]) AS UBIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 1, 2, 3, 4, 5, 6, 7] AS UBIGINT[])),
+      lambda x, y: xor(x >> 1, (x & 1) * CAST(3988292384 AS UBIGINT)))), CAST(4294967295 AS UBIGINT)) % 6 AS h
+  FROM own),
+paths AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:CAST(c.h AS BIGINT)], c.turns[CAST(c.h AS BIGINT) + 1:]) AS path
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.base),
+steps AS (
+  SELECT conv_id, len(path) AS n, unnest(range(0, len(path) + 1)) AS depth, path FROM paths),
+members AS (
+  SELECT conv_id, depth, n = depth AS ends,
+    md5(CAST(list_transform(path[1:depth], lambda x: md5(concat(length(x.role), ':', x.role, x.text))) AS VARCHAR)) AS node,
+    CASE WHEN depth > 0 THEN
+      md5(CAST(list_transform(path[1:depth - 1], lambda x: md5(concat(length(x.role), ':', x.role, x.text))) AS VARCHAR)) END AS parent,
+    CASE WHEN depth > 0 THEN length(path[depth].text) ELSE 0 END AS size
+  FROM steps),
+nodes AS (
+  SELECT node, depth, min(parent) AS parent, min(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+children AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent, depth),
+full_nodes AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN children c ON c.parent = n.node AND c.depth = n.depth
+  LEFT JOIN nodes p ON p.node = n.parent AND p.depth = n.depth - 1),
+above AS (
+  SELECT DISTINCT a.node AS top, a.depth AS top_depth, b.node, b.depth
+  FROM nodes d JOIN members b ON b.node = d.node AND b.depth = d.depth AND b.conv_id = d.conv_id
+  JOIN members a ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+sums AS (
+  SELECT top, top_depth, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+  FROM above JOIN full_nodes n ON n.node = above.node AND n.depth = above.depth GROUP BY top, top_depth)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, n.parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+  CAST(n.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+  n.ends_sha256
+FROM full_nodes n JOIN sums s ON s.top = n.node AND s.top_depth = n.depth
 """,
 }
