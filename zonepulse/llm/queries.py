@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity, trie
+from . import collocations, cutting, decontaminate, extract, jaccard, langid, lmscore, packing, pii, quality, spans, toxicity, trie
 from .common import table
 
 
@@ -59,6 +59,13 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    packed, width = cutting.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return cutting.with_crc32(packed, width)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -75,6 +82,7 @@ QUERIES = {
     "op9_sentence_spans": op9_sentence_spans,
     "op10_html_extraction": op10_html_extraction,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_cutting_stock_packing": op12_cutting_stock_packing,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
