@@ -18,7 +18,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 def texts():
     rng = random.Random(5)
-    words = ["alpha", "Beta,", "gämma", "don't", "ΣΑΣ", "😀", "été", "x\x1cy", "１２3", "tab\tbed", "<|endoftext|>", "nb sp", "́mark", "ﬁn", "İ"]
+    words = ["alpha", "Beta,", "gämma", "don't", "ΣΑΣ", "😀", "été", "x\x1cy", "１２3", "tab\tbed", "<|endoftext|>", "nb sp", "́mark", "ﬁn", "İ", "été.", "Wörter!?", "o'er,", "a.b", "é.́", "...", "Ŀ·l", "ÀÉÎ;", "x²."]
     out = [" ".join(rng.choices(words, k=rng.choice([1, 5, 40, 300]))) for _ in range(60)]
     long = "\n".join(" ".join(rng.choices(words, k=50)) for _ in range(120))
     return [*out, None, "", " \n ", "a", "a", "a", long, long.replace(" ", "  ")]

@@ -41,21 +41,58 @@ BLOCK = 1024  # sequences that share their gaps
 BUCKET = 1 << 16  # documents ranked in one group, whatever their number
 PART_CHARS = 1 << 20  # of a text read at once
 CACHE = 1 << 19  # chunks of text whose ids a task remembers
+TAIL = ".,;:!?"
+WORDS_AT_ONCE = 10000
 GAP = 1e-3  # the linear program is solved to this share of its optimum
 
 
 class Encoder:
     """Ids of texts as bytes.
 
-    The vocabularies in use never join over a space, so a text's ids are those of its chunks
+    The vocabulary in use never joins over a space, so a text's ids are those of its chunks
     between spaces and line ends, one after another; chunks are encoded once and remembered.
+    A chunk of Latin letters and a tail of ``TAIL`` characters is its lower-cased word and the tail.
+    Words are encoded many at a time: each ends with the only id in it that stands for a word's end.
     """
 
     def __init__(self, vocabulary: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_str(vocabulary), kind, {"": b""}
+        self.tokenizer, self.kind = Tokenizer.from_str(vocabulary), kind
+        words = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(words.values()) + 1, dtype=bool)
+        self.closes[[i for word, i in words.items() if word.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.chunks, self.words = {"": b""}, {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        split, odd = [], set()
+        for chunk in new:
+            core = chunk.rstrip(TAIL)
+            word = core.lower()
+            if word.isalpha() and max(word) < "\u0250":
+                split.append((chunk, word, chunk[len(core) :]))
+                if len(core) < len(chunk):
+                    odd.add(chunk[len(core) :])
+            else:
+                odd.add(chunk)
+        odd = [x for x in odd if x not in self.chunks]
+        self.chunks.update(zip(odd, self._encode(odd)))
+        words = [w for w in {w for _, w, _ in split} if w not in self.words]
+        for lo in range(0, len(words), WORDS_AT_ONCE):
+            some = words[lo : lo + WORDS_AT_ONCE]
+            ids = np.frombuffer(self._encode([" ".join(some)])[0], dtype=self.kind)
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary doesn't mark the end of each word once")
+            self.words.update((w, ids[i:j].tobytes()) for w, i, j in zip(some, [0, *ends], ends))
+        self.chunks.update((chunk, self.words[word] + self.chunks[tail]) for chunk, word, tail in split)
 
     def __call__(self, text: str) -> bytes:
         out, lo = [], 0
@@ -63,14 +100,12 @@ class Encoder:
             hi = text.find(" ", lo + PART_CHARS) if len(text) - lo > PART_CHARS else -1
             hi = len(text) if hi < 0 else hi
             chunks = text[lo:hi].replace("\n", " ").split(" ")
-            new = list(set(chunks) - self.known.keys())
+            if len(self.chunks) > CACHE:
+                self._forget()
+            new = [x for x in set(chunks) if x not in self.chunks]
             if new:
-                if len(self.known) > CACHE:
-                    self.known = {"": b""}
-                    new = list(set(chunks) - {""})
-                found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                self.known.update(zip(new, (array(self.kind, e.ids).tobytes() for e in found)))
-            out.append(b"".join(map(self.known.__getitem__, chunks)))
+                self._learn(new)
+            out.append(b"".join(map(self.chunks.__getitem__, chunks)))
             lo = hi
         return b"".join(out)
 
