@@ -15,7 +15,8 @@ runs inside a task without a shuffle; a piece that doesn't end in its block is c
 next one, which repeats its last ``longest - 1`` words and doesn't count them again.  Only counts,
 summed within a task first, are shuffled.  The semi-join is a bit filter sized by the number of
 frequent groups, up to ``2 ** max_bits`` bits; beyond that it is a shuffled left-semi join.  A group
-that passes the filter in vain has a part below ``min_count``, so its own count drops it.
+that passes the filter in vain has a part below ``min_count``, so its own count drops it.  Groups
+are counted by hash bucket first, and those of light buckets are not counted one by one.
 
 Defined cases: null or empty text has no words; null lang is ``und``; very long texts are worked
 through in blocks, pieces of any length; repeated rows count each time; ties in score go to the
@@ -42,9 +43,10 @@ MIN_COUNT = 30  # occurrences that make a phrase a candidate
 LONGEST = 4  # words of the longest phrase
 COVERED = 80  # percent of a phrase's occurrences inside a longer one that drop it
 TOP = 2000  # phrases reported per lang
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 MAX_BITS = 27  # largest bit filter, 16 MB
 FLUSH = 1 << 20  # occurrences counted at once in a task
+PART = 1 << 22  # occurrences whose hashes are counted in one group
 SALTS = 64
 
 IS_BLANK = np.zeros(256, dtype=bool)
@@ -206,11 +208,64 @@ def semi_join(relation: DataFrame, frequent: DataFrame) -> DataFrame:
     return durable_once(again)
 
 
-def count_groups(relation: DataFrame, filter_, k: int, min_count: int) -> DataFrame:
+def _bucket(key: np.ndarray, parts: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) % np.uint64(parts) << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
+
+
+def heavy_buckets(relation: DataFrame, filter_, k: int, min_count: int, parts: int) -> DataFrame:
+    """(key) of the hash buckets with ``min_count`` occurrences of groups of ``k`` words or more.
+
+    Most groups are rare, and a bucket number takes a quarter of what a group does: only groups in
+    heavy buckets are counted themselves.  A task sends each of the ``parts`` ranges of buckets one
+    sorted list a ``FLUSH``, the high halves as steps, with counts, so a frequent group is one entry."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            bucket, n = np.unique(_bucket(np.concatenate(held), parts), return_counts=True)
+            part, low = (bucket >> np.uint64(32)).astype(np.int64), bucket.astype(np.uint32)
+            cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            rows = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                high = np.diff(low[lo:hi] >> np.uint32(16), prepend=np.uint32(0)).astype(np.uint16)
+                rows.append((int(part[lo]), high.tobytes(), low[lo:hi].astype(np.uint16).tobytes(), n[lo:hi].astype(np.uint32).tobytes()))
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "high", "low", "n"])
+
+        held, size = [], 0
+        for _, own, place, _, _, key in _merged(_rows(batches), filter_ and tester(filter_)):
+            held.append(key[place + k > own])
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    def add(rows: pa.Table) -> pa.Table:
+        def whole(name: str, kind) -> list[np.ndarray]:
+            return [np.frombuffer(x.as_buffer(), kind) for x in rows[name]]
+
+        high = [np.cumsum(x, dtype=np.uint32) << np.uint32(16) for x in whole("high", np.uint16)]
+        low = np.concatenate([h | x for h, x in zip(high, whole("low", np.uint16))])
+        n = np.concatenate(whole("n", np.uint32)).astype(np.int64)
+        order = np.argsort(low)
+        low, n = low[order], n[order]
+        first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        heavy = low[first[np.add.reduceat(n, first) >= min_count]].astype(np.int64)
+        return pa.table({"key": (rows["part"][0].as_py() << 32) | heavy})
+
+    columns = relation.select("block", "own", "step", "keys", "code")
+    sent = columns.mapInArrow(send, "part long, high binary, low binary, n binary")
+    return durable_once(sent.groupBy("part").applyInArrow(add, "key long"))
+
+
+def count_groups(relation: DataFrame, filter_, k: int, min_count: int, parts: int, max_bits: int) -> DataFrame:
     """(key, a, b, n) of the frequent groups of ``k`` words; a and b are the keys of the groups
     of its first and its last ``k - 1`` words."""
+    heavy = key_filter(heavy_buckets(relation, filter_, k, min_count, parts), max_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = heavy and tester(heavy)
         held: list[tuple] = []
         size = 0
 
@@ -222,8 +277,10 @@ def count_groups(relation: DataFrame, filter_, k: int, min_count: int) -> DataFr
 
         for _, own, place, a, b, key in _merged(_rows(batches), filter_ and tester(filter_)):
             mine = place + k > own  # the last word is not one carried over
+            if passes is not None:
+                mine &= passes(_bucket(key, parts).view(np.int64))
             held.append((a[mine], b[mine], key[mine]))
-            size += len(key)
+            size += len(held[-1][0])
             if size >= FLUSH:
                 yield flush()
                 held, size = [], 0
@@ -271,11 +328,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     )
     texts = found.select("key", "lang", F.col("word").alias("phrase"), "n")
     out = texts.select("lang", "phrase", F.lit(1).alias("size"), F.col("n").alias("f"))
+    spread = (totals.agg(F.sum("n")).first()[0] or 0) // PART + 1
     parts = key_filter(found, max_bits)
     for k in range(2, longest + 1):
         if parts is None:
             relation = semi_join(relation, found)
-        found = count_groups(relation, parts, k, min_count)
+        found = count_groups(relation, parts, k, min_count, spread, max_bits)
         first = texts.select(F.col("key").alias("a"), "lang", F.col("phrase").alias("head"))
         last = texts.select(F.col("key").alias("b"), F.substring_index("phrase", " ", -1).alias("word"))
         named = found.join(first, "a").join(last, "b")

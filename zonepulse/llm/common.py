@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 1 << 23  # of an Arrow batch of wide rows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,15 +37,29 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def durable_once(df: DataFrame) -> DataFrame:
-    """``durable``; Spark removes the shuffle files of the write as soon as it is done."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = conf.get(name, None)
-    conf.set(name, "true")
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots written as ``__``) for the jobs started inside."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    old = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
     try:
-        return durable(df)
+        yield
     finally:
-        conf.set(name, old) if old is not None else conf.unset(name)
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def durable_once(df: DataFrame) -> DataFrame:
+    """``durable``; Spark removes the shuffle files of the write as soon as it is done, and Arrow
+    batches of wide rows stay small."""
+    with settings(
+        df.sparkSession,
+        spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
+        spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES),
+    ):
+        return durable(df)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -21,11 +21,15 @@ ranked by a number given to each piece; an empty table gives no rows; other colu
 
 from __future__ import annotations
 
+import gc
 import os
+import re
+import sys
+import types
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +42,11 @@ CAPACITY = 4096
 UNIT = 32
 END_ID = 2
 BLOCK = 1024  # sequences that share their gaps
-BUCKET = 1 << 16  # documents ranked in one group, whatever their number
-PART_CHARS = 1 << 20  # of a text read at once
-CACHE = 1 << 19  # chunks of text whose ids a task remembers
-TAIL = ".,;:!?"
+BUCKET = 1 << 13  # documents ranked in one group, whatever their number
+PART_CHARS = 1 << 18  # of text read at once
+CACHE = 600_000  # chunks of text whose ids a worker process remembers
+#: Latin letters (those whose lower case is one letter) and marks after them.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)").fullmatch
 WORDS_AT_ONCE = 10000
 GAP = 1e-3  # the linear program is solved to this share of its optimum
 
@@ -51,7 +56,7 @@ class Encoder:
 
     The vocabulary in use never joins over a space, so a text's ids are those of its chunks
     between spaces and line ends, one after another; chunks are encoded once and remembered.
-    A chunk of Latin letters and a tail of ``TAIL`` characters is its lower-cased word and the tail.
+    A chunk that is ``PLAIN`` is its lower-cased word and the marks after it.
     Words are encoded many at a time: each ends with the only id in it that stands for a word's end.
     """
 
@@ -63,51 +68,79 @@ class Encoder:
         words = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(words.values()) + 1, dtype=bool)
         self.closes[[i for word, i in words.items() if word.endswith("</w>")]] = True
-        self._forget()
+        self.chunks, self.words = {"": b""}, {}
+
+    @staticmethod
+    def of_process(vocabulary: str, kind: str) -> Encoder:
+        """The encoder of this worker process, kept for its next tasks."""
+        kept = sys.modules.setdefault("zonepulse_worker_state", types.ModuleType("zonepulse_worker_state")).__dict__
+        key = (len(vocabulary), zlib.crc32(vocabulary.encode()), kind)
+        if kept.get("key") != key:
+            kept["key"], kept["encoder"] = key, Encoder(vocabulary, kind)
+        return kept["encoder"]
 
     def _forget(self) -> None:
-        self.chunks, self.words = {"": b""}, {}
+        self.chunks = {"": b""}
+        if len(self.words) > CACHE:
+            self.words = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        split, odd = [], set()
+    def _learn(self, new: set[str]) -> None:
+        plain, odd = [], []
         for chunk in new:
-            core = chunk.rstrip(TAIL)
-            word = core.lower()
-            if word.isalpha() and max(word) < "\u0250":
-                split.append((chunk, word, chunk[len(core) :]))
-                if len(core) < len(chunk):
-                    odd.add(chunk[len(core) :])
+            m = PLAIN(chunk)
+            if m:
+                plain.append((chunk, m[1].lower(), m[2]))
             else:
-                odd.add(chunk)
+                odd.append(chunk)
+        odd += {tail for _, _, tail in plain}
         odd = [x for x in odd if x not in self.chunks]
         self.chunks.update(zip(odd, self._encode(odd)))
-        words = [w for w in {w for _, w, _ in split} if w not in self.words]
+        words = list({w for _, w, _ in plain if w not in self.words})
         for lo in range(0, len(words), WORDS_AT_ONCE):
             some = words[lo : lo + WORDS_AT_ONCE]
-            ids = np.frombuffer(self._encode([" ".join(some)])[0], dtype=self.kind)
-            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            ids = self._encode([" ".join(some)])[0]
+            ends = ((np.flatnonzero(self.closes[np.frombuffer(ids, dtype=self.kind)]) + 1) * array(self.kind).itemsize).tolist()
             if len(ends) != len(some):
                 raise ValueError("the vocabulary doesn't mark the end of each word once")
-            self.words.update((w, ids[i:j].tobytes()) for w, i, j in zip(some, [0, *ends], ends))
-        self.chunks.update((chunk, self.words[word] + self.chunks[tail]) for chunk, word, tail in split)
-
-    def __call__(self, text: str) -> bytes:
-        out, lo = [], 0
-        while lo < len(text):
-            hi = text.find(" ", lo + PART_CHARS) if len(text) - lo > PART_CHARS else -1
-            hi = len(text) if hi < 0 else hi
-            chunks = text[lo:hi].replace("\n", " ").split(" ")
-            if len(self.chunks) > CACHE:
-                self._forget()
-            new = [x for x in set(chunks) if x not in self.chunks]
-            if new:
-                self._learn(new)
-            out.append(b"".join(map(self.chunks.__getitem__, chunks)))
-            lo = hi
-        return b"".join(out)
+            self.words.update((w, ids[i:j]) for w, i, j in zip(some, [0, *ends], ends))
+        known, tails = self.words, self.chunks
+        self.chunks.update([(chunk, known[word] + tails[tail]) for chunk, word, tail in plain])
+
+    def _run(self, texts: list[str]) -> list[bytes]:
+        if len(self.chunks) > CACHE:
+            self._forget()
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(self.chunks.get, chunks)) for chunks in split]
+        lacking = [i for i, parts in enumerate(found) if None in parts]
+        if lacking:
+            self._learn({x for i in lacking for x, y in zip(split[i], found[i]) if y is None})
+            for i in lacking:
+                found[i] = map(self.chunks.__getitem__, split[i])
+        return [b"".join(parts) for parts in found]
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, in order; texts are looked up together, long ones in parts."""
+        held, size = [], 0
+        for text in texts:
+            if len(text) > PART_CHARS:
+                yield from self._run(held)
+                held, size, out, lo = [], 0, [], 0
+                while lo < len(text):
+                    hi = text.find(" ", lo + PART_CHARS)
+                    hi = len(text) if hi < 0 else hi
+                    out += self._run([text[lo:hi]])
+                    lo = hi
+                yield b"".join(out)
+                continue
+            held.append(text)
+            size += len(text)
+            if size > PART_CHARS:
+                yield from self._run(held)
+                held, size = [], 0
+        yield from self._run(held)
 
 
 def encoded(docs: DataFrame, vocabulary: str) -> tuple[DataFrame, int]:
@@ -122,15 +155,23 @@ def encoded(docs: DataFrame, vocabulary: str) -> tuple[DataFrame, int]:
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the collector would walk the remembered chunks again and again
+        try:
+            yield from pieces_of(batches)
+        finally:
+            gc.enable()
+
+    def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, end = Encoder(shared.value, kind), array(kind, [END_ID]).tobytes()
+        encode, end = Encoder.of_process(shared.value, kind), array(kind, [END_ID]).tobytes()
         piece = TaskContext.get().partitionId() << 40
         names = ["piece", "doc_id", "start", "length", "doc_tokens", "ids"]
         for batch in batches:
             rows, held = [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+                ids += end
                 n = len(ids) // width
                 for start in range(0, n, CAPACITY):
                     part = ids[start * width : (start + CAPACITY) * width]
