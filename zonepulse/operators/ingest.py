@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zonepulse.functions.exprs import coerce
@@ -39,7 +39,7 @@ def latest(orders: DataFrame, keys: list[str]) -> DataFrame:
     return chosen.select(*keys, *[F.col(f"_row.{n}").alias(n) for n in rest])
 
 
-def clean_orders(raw: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+def clean_orders(raw: DataFrame, also: tuple[str, ...] = (), counters: Observation | None = None) -> DataFrame:
     """Project and type the 13 order columns, drop corrupt rows, deduplicate.
 
     Grain of the output: one row per (order_id, event_date) and the columns of ``also``,
@@ -50,8 +50,13 @@ def clean_orders(raw: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
       NaN and infinities), so a corrupt re-delivery can never hide a valid order.
     * Of the rows of one key the latest stays, see :func:`latest`.
     * ``order_hour`` = hour of the timestamp, ``day_of_week`` 1 = Sunday .. 7.
+
+    ``counters`` gets the counts of :func:`rejected_orders` from the same pass over the rows.
     """
-    kept = latest(_typed(raw, also).where(_valid_value()), [*DEDUP_KEYS, *also])
+    typed = _typed(raw, also)
+    if counters is not None:
+        typed = typed.observe(counters, *_reject_counts())
+    kept = latest(typed.where(_valid_value()), [*DEDUP_KEYS, *also])
     return with_derived(kept, also)
 
 
@@ -65,17 +70,21 @@ def with_derived(orders: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def rejected_orders(raw: DataFrame) -> DataFrame:
-    """One row: how many raw rows ``clean_orders`` drops for their value, by reason, and how
-    many valid ones have no date."""
+def _reject_counts() -> list[Column]:
     value = F.col("order_value_usd")
-    return _typed(raw).agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(value.isNull()).alias("no_value"),
         F.count_if(value <= 0).alias("not_positive"),
         F.count_if(value >= F.lit(MAX_ORDER_VALUE)).alias("not_finite_or_too_large"),
         F.count_if(_valid_value() & F.col("event_date").isNull()).alias("undated"),
-    )
+    ]
+
+
+def rejected_orders(raw: DataFrame) -> DataFrame:
+    """One row: how many raw rows ``clean_orders`` drops for their value, by reason, and how
+    many valid ones have no date."""
+    return _typed(raw).agg(*_reject_counts())
 
 
 def day_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

@@ -11,12 +11,12 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zonepulse.config import RunConfig
 from zonepulse.operators.grid import hourly_demand_grid
-from zonepulse.operators.ingest import clean_orders, day_spine, missing_days, rejected_orders
+from zonepulse.operators.ingest import clean_orders, day_spine, missing_days
 from zonepulse.operators.summary import (
     hotspot_report,
     run_metrics,
@@ -25,7 +25,7 @@ from zonepulse.operators.summary import (
 )
 from zonepulse.operators.zones import enrich_zones, zone_day_metrics
 from zonepulse.plans import sinks
-from zonepulse.sources import readers
+from zonepulse.sources import manifest, readers
 from zonepulse.sources.listing import exists, partition_days
 
 
@@ -43,7 +43,7 @@ class RunPaths:
 
     orders_src  directory of raw daily files ``orders_YYYY-MM-DD.csv``
     zones       zone table CSV;  registry: zone registry CSV
-    interim     Parquet root of cleaned orders (``event_date=`` partitions)
+    interim     Parquet root of cleaned orders (``event_date=`` partitions); its manifest lies beside it
     output      root of all deliverables (zone_day, grid, summary, reports)
     zone_day    CSV of the released zone x day aggregate if another party delivers it; the
                 zone table is not read then
@@ -64,7 +64,7 @@ class RunPaths:
 class StageResult:
     """``staged_days`` now staged; ``missing_days`` without a file; ``late_rows`` kept beside
     the staged days because they came in the file of another day; ``rejected`` raw rows by
-    reason (see :func:`rejected_orders`)."""
+    reason (see :func:`zonepulse.operators.ingest.rejected_orders`)."""
 
     staged_days: list = field(default_factory=list)
     missing_days: list = field(default_factory=list)
@@ -79,45 +79,64 @@ class RunResult(StageResult):
 
 
 def staged_days(spark: SparkSession, interim_root: str) -> DataFrame:
-    """Days that have an interim partition, from a listing of the root."""
-    days = [(d,) for d in partition_days(spark, interim_root)]
-    return spark.createDataFrame(days, "event_date date")
+    """Days whose file was staged: those of the manifest, or where there is none those that
+    have an interim partition."""
+    entries = manifest.current(spark, interim_root)
+    days = sorted({e.file_day for e in entries}) if entries else partition_days(spark, interim_root)
+    return spark.createDataFrame([(d,) for d in days], "event_date date")
+
+
+def staging(raw: DataFrame, version: int, counters: Observation | None = None) -> DataFrame:
+    """What one staging writes, from one scan of the raw files: the cleaned rows of every file,
+    with their file's day and the version."""
+    return clean_orders(raw, also=("file_day",), counters=counters).withColumn("version", F.lit(version).cast("long"))
 
 
 def stage_orders(
     spark: SparkSession, cfg: RunConfig, paths: RunPaths, allow_missing_days: bool = False,
     restage: Iterable[dt.date] = (),
 ) -> StageResult:
-    """Clean and stage every window day that has no interim partition yet, and ``restage``.
-
-    The missing days come from a left-anti join of the day spine against the staged
-    partitions; their raw files are read in one scan.  A file is the complete delivery of its
-    day, so the rows of that day replace its partition.  Rows of any other day, or without
-    one, never touch a partition: they go to the late table, by the day of their file, and
-    readers add them to their own day.  So no valid row is lost, whatever a file holds, and
-    loading a file again changes nothing.
+    """Clean and stage every window day that is not staged yet, and ``restage``.
+
+    The missing days come from a left-anti join of the day spine against the staged days; their
+    raw files are read in one scan, which feeds the write and the counters.  A file is the
+    complete delivery of its day: what an earlier file of that day brought is no longer read,
+    its rows of other days included, even if the new one holds no valid row.  Rows of another
+    day lie in their own day's partition, under the day of their file, and readers add them to
+    their own day.  So no valid row is lost, whatever a file holds, and loading a file again
+    changes nothing.
     """
+    known = manifest.current(spark, paths.interim)
+    if not known and partition_days(spark, paths.interim):
+        raise ValueError(f"{paths.interim} was written without a manifest; stage into a new folder")
     spine = day_spine(spark, cfg.start, cfg.end)
     todo = {r.event_date for r in missing_days(spine, staged_days(spark, paths.interim)).collect()} | set(restage)
-    delivered = sorted(d for d in todo if exists(spark, readers.order_file(paths.orders_src, d)))
-    result = StageResult(missing_days=sorted(todo - set(delivered)))
+    files = {d: readers.order_file(paths.orders_src, d) for d in sorted(todo)}
+    files = {d: file for d, file in files.items() if exists(spark, file)}
+    result = StageResult(missing_days=sorted(todo - set(files)))
     if result.missing_days and not allow_missing_days:
         raise MissingDaysError(result.missing_days)
-    if not delivered:
+    if not files:
         return result
-    raw = readers.read_delivered_days(spark, paths.orders_src, delivered)
-    own_day = F.coalesce(F.col("event_date").try_cast("date") == F.col("file_day"), F.lit(False))
-    late_root = readers.late_root(paths.interim)
-    sinks.write_late(clean_orders(raw.where(~own_day), also=("file_day",)), late_root)
-    sinks.write_interim(clean_orders(raw.where(own_day)), paths.interim)
-    result.staged_days = delivered
-    result.rejected = rejected_orders(raw).first().asDict()
-    if exists(spark, late_root) and partition_days(spark, late_root, "file_day"):
-        late = spark.read.parquet(late_root).where(F.col("file_day").isin(delivered))
-        result.late_rows = late.count()
+    version, counters = manifest.next_version(known), Observation("staging")
+    raw = readers.read_delivered_days(spark, paths.orders_src, files)
+    sinks.write_delivery(staging(raw, version, counters), paths.interim)
+    written = readers.read_versions(spark, paths.interim).where(F.col("version") == version)
+    entries = manifest.publish(
+        spark, paths.interim, written.groupBy("file_day", "event_date").agg(F.count(F.lit(1)).alias("rows")), version, files
+    )
+    result.staged_days = list(files)
+    result.rejected = counters.get
+    result.late_rows = sum(e.rows for e in entries if e.late)
     return result
 
 
+def redelivered_days(spark: SparkSession, cfg: RunConfig, paths: RunPaths) -> list[dt.date]:
+    """Window days whose file was delivered anew since it was staged; pass them as ``restage``."""
+    days = [r.event_date for r in day_spine(spark, cfg.start, cfg.end).collect()]
+    return manifest.redelivered(spark, paths.interim, {d: readers.order_file(paths.orders_src, d) for d in days})
+
+
 def run_window(
     spark: SparkSession, cfg: RunConfig, paths: RunPaths, allow_missing_days: bool = False,
     restage: Iterable[dt.date] = (),

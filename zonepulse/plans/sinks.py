@@ -30,6 +30,12 @@ def write_late(late: DataFrame, root: str) -> None:
     _write_days(late, root, "file_day")
 
 
+def write_delivery(orders: DataFrame, root: str) -> None:
+    """Cleaned orders with ``file_day`` and ``version``, to folders that no delivery had before:
+    ``event_date=E/file_day=D/version=V`` (see :mod:`zonepulse.sources.manifest`)."""
+    orders.hint("rebalance", "event_date", "file_day").write.mode("append").partitionBy("event_date", "file_day", "version").parquet(root)
+
+
 def _write_days(orders: DataFrame, root: str, day: str) -> None:
     (
         orders.write.mode("overwrite")

@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def file_status(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes of a file (or folder: of all its files) and the time it was last changed, in milliseconds."""
+    fs, where = _folder(spark, path)
+    return fs.getContentSummary(where).getLength(), fs.getFileStatus(where).getModificationTime()
+
+
 def partition_days(spark: SparkSession, root: str, column: str = "event_date") -> list[dt.date]:
     """Days that have a ``column=YYYY-MM-DD`` folder under ``root``; none if there is no root."""
     fs, where = _folder(spark, root)
