@@ -43,10 +43,10 @@ MIN_COUNT = 30  # occurrences that make a phrase a candidate
 LONGEST = 4  # words of the longest phrase
 COVERED = 80  # percent of a phrase's occurrences inside a longer one that drop it
 TOP = 2000  # phrases reported per lang
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 MAX_BITS = 27  # largest bit filter, 16 MB
-FLUSH = 1 << 20  # occurrences counted at once in a task
-PART = 1 << 22  # occurrences whose hashes are counted in one group
+FLUSH = 1 << 19  # occurrences counted at once in a task
+PART = 1 << 20  # occurrences whose hashes are counted in one group
 SALTS = 64
 
 IS_BLANK = np.zeros(256, dtype=bool)

@@ -10,7 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 1 << 23  # of an Arrow batch of wide rows
+BATCH_BYTES = 1 << 22  # of an Arrow batch of wide rows
+BATCH_ROWS = 64  # rows of a Parquet file that are decoded at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +54,12 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
 
 def durable_once(df: DataFrame) -> DataFrame:
     """``durable``; Spark removes the shuffle files of the write as soon as it is done, and Arrow
-    batches of wide rows stay small."""
+    and Parquet batches of wide rows stay small."""
     with settings(
         df.sparkSession,
         spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
         spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES),
+        spark__sql__parquet__columnarReaderBatchSize=str(BATCH_ROWS),
     ):
         return durable(df)
 

@@ -44,7 +44,7 @@ END_ID = 2
 BLOCK = 1024  # sequences that share their gaps
 BUCKET = 1 << 13  # documents ranked in one group, whatever their number
 PART_CHARS = 1 << 18  # of text read at once
-CACHE = 600_000  # chunks of text whose ids a worker process remembers
+CACHE = 1_000_000  # chunks of text whose ids a worker process remembers
 #: Latin letters (those whose lower case is one letter) and marks after them.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)").fullmatch
 WORDS_AT_ONCE = 10000
