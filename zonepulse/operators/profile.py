@@ -5,19 +5,20 @@ aggregate expands every row once per distinct column and carries a mode
 buffer (a hash-map object) in every expanded group, which forces
 object-hash / sort-based aggregation over the whole input.  Here:
 
-counts   GROUP BY GROUPING SETS ((k), (k, a), (k, b)) with fixed-width
-         measures only (count, decimal sum), so both levels are hash
-         aggregates whose partial step collapses rows map-side: a hot key
-         ships one row per distinct value per map task.  Level 2 (GROUP BY k)
-         takes count and sums from the (k) row and counts the non-null a-values
-         among the (k, a) rows = count(DISTINCT a).
-modes    GROUP BY GROUPING SETS ((k, c), (k, d)) -> row counts per value
-         (hash, partial), then per k the value with the most rows, ties to the
+values   GROUP BY GROUPING SETS ((k), (k, a), (k, b), (k, c), (k, d)) with
+         fixed-width measures only (count, decimal sum): a hash aggregate whose
+         partial step collapses rows map-side, so a hot key ships one row per
+         distinct value per map task.
+counted  GROUP BY k, the mode columns and the grouping id: the (k, a) and (k, b)
+         rows shrink to one row a key that counts the distinct values, the
+         mode rows pass as they are.  A hash aggregate too.
+profile  GROUP BY k: counts and sums from the (k) row, distinct counts from
+         theirs, and per mode column the value with the most rows, ties to the
          lowest (``min_by`` on (-rows, value)).  Only this small result --
-         keys x distinct values -- goes through a sort-based aggregate.
-         It reads the key and mode columns a second time rather than sorting
-         the (k, a) rows of the counts branch.
-The two key-grain results are joined null-safe on k.
+         keys x values of the mode columns -- goes through a sort-based aggregate.
+The input is read once and nothing is joined.  With ``approx_distinct`` the
+sketches ride in a plain GROUP BY k, and modes come from a second read that is
+joined null-safe on k.
 """
 
 from __future__ import annotations
@@ -68,37 +69,18 @@ def group_profile(
 
     key_cols = [F.col(k) for k in keys]
     gid = F.col("_gid")
-
-    # Counts branch ------------------------------------------------------------
     exact = [] if approx_distinct else [f"_x_{a}" for a in distinct]
-    if not exact:
-        base = src.groupBy(*keys).agg(*measures)
-        base = base.select(*keys, *[F.col(c) for c in base.columns if c not in keys and not c.startswith("_a_")],
-                           *[F.col(f"_a_{a}").alias(a) for a in distinct])
-    else:
-        m = len(exact)
-        whole = (1 << m) - 1                          # grouping_id of the (k) set
-
-        def gid_of(name: str) -> int:                 # grouping_id of the (k, name) set
-            return whole - (1 << (m - 1 - exact.index(name)))
-
-        level1 = src.groupingSets(
-            [key_cols] + [key_cols + [F.col(n)] for n in exact], *key_cols, *[F.col(n) for n in exact]
-        ).agg(*measures, F.grouping_id().alias("_gid"))
-
-        def from_whole(c: str) -> Column:
-            return F.sum(F.when(gid == whole, F.col(c))).alias(c)
+    mnames = [f"_m_{a}" for a in modes]
+    if exact:
+        return _from_one_read(src, keys, measures, distinct, modes, value_col is not None)
 
-        aggs = [from_whole("_n")]
-        if value_col is not None:
-            aggs += [from_whole("_value_sum"), from_whole("_value_n")]
-        aggs += [F.count(F.when(gid == gid_of(f"_x_{a}"), F.col(f"_x_{a}"))).alias(a) for a in distinct]
-        base = level1.groupBy(*keys).agg(*aggs)
+    base = src.groupBy(*keys).agg(*measures)
+    base = base.select(*keys, *[F.col(c) for c in base.columns if c not in keys and not c.startswith("_a_")],
+                       *[F.col(f"_a_{a}").alias(a) for a in distinct])
     if not modes:
         return base
 
     # Modes branch -------------------------------------------------------------
-    mnames = [f"_m_{a}" for a in modes]
     if len(mnames) == 1:
         counted = src.where(F.col(mnames[0]).isNotNull()).groupBy(*keys, mnames[0]).agg(
             F.count(F.lit(1)).alias("_rows"), F.lit(0).alias("_gid"))
@@ -122,3 +104,34 @@ def group_profile(
     # Keys may hold nulls (e.g. an hour of an unparsable timestamp): join null-safe.
     cond = reduce(lambda x, y: x & y, [base[k].eqNullSafe(picked[k]) for k in keys])
     return base.join(picked, cond, "left").select(base["*"], *[picked[a] for a in modes])
+
+
+def _from_one_read(
+    src: DataFrame, keys: list[str], measures: list[Column], distinct: dict, modes: dict, has_value: bool
+) -> DataFrame:
+    """Exact distinct counts and modes from one grouping-sets aggregate, without a join."""
+    exact, mnames = [f"_x_{a}" for a in distinct], [f"_m_{a}" for a in modes]
+    names = exact + mnames
+    whole = (1 << len(names)) - 1                     # grouping_id of the (k) set
+    gid = F.col("_gid")
+
+    def gid_of(name: str) -> int:                     # grouping_id of the (k, name) set
+        return whole - (1 << (len(names) - 1 - names.index(name)))
+
+    key_cols = [F.col(k) for k in keys]
+    values = src.groupingSets(
+        [key_cols] + [key_cols + [F.col(n)] for n in names], *key_cols, *[F.col(n) for n in names]
+    ).agg(*measures, F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid"))
+
+    carried = ["_n"] + (["_value_sum", "_value_n"] if has_value else [])
+    # One row per key for each counted column, one per key and value for the modes; the
+    # measures of the other sets' rows are not used.
+    counted = values.groupBy(*keys, *mnames, "_gid").agg(
+        *[F.max(c).alias(c) for c in carried], F.max("_rows").alias("_rows"), *[F.count(n).alias(f"_d{n}") for n in exact]
+    )
+    aggs = [F.sum(F.when(gid == whole, F.col(c))).alias(c) for c in carried]
+    aggs += [F.coalesce(F.sum(F.when(gid == gid_of(n), F.col(f"_d{n}"))), F.lit(0)).alias(a) for a, n in zip(distinct, exact)]
+    for alias, n in zip(modes, mnames):
+        take = (gid == gid_of(n)) & F.col(n).isNotNull()
+        aggs.append(F.min_by(F.when(take, F.col(n)), F.when(take, F.struct(-F.col("_rows"), F.col(n)))).alias(alias))
+    return counted.groupBy(*keys).agg(*aggs)

@@ -4,17 +4,16 @@
 non-null rows reaches ``p``: the value at 1-based rank ``max(1, ceil(p * n))``.  Spark's
 aggregate keeps a map of every distinct value and merges it in one task.
 :func:`distributed_percentiles` gives the same values with bounded work per task, for several
-columns from one scan:
+columns together:
 
-1. distinct values with their row counts (partial aggregation collapses hot values map-side);
-2. ``BUCKETS - 1`` approximate quantile boundaries of the distinct values (a fixed-size
-   sketch) cut each column's values into buckets of about ``distinct / BUCKETS`` values;
-3. per-bucket row totals (at most ``BUCKETS`` rows a column) give the target rank and each
-   bucket's offset through windows over that small frame;
-4. only the bucket that holds the target is ordered, with a running count.
+1. one aggregate counts each column's values and sketches (fixed size) two values on either
+   side of the wanted one, ``1 / buckets`` of the rows away, ten times the sketch's error;
+2. rows below and above the two are only counted; between them the distinct values are counted
+   (partial aggregation collapses hot values map-side);
+3. a running count over these, about ``2 / buckets`` of the rows at most, finds the rank.
 
-Buckets are cut by distinct values, so a hot value doesn't widen one.  Every step is a Spark
-aggregate, window or join; nothing is collected to the driver.
+The counts are exact, so the result is; should the rank fall outside the two values, the query
+fails instead of giving a wrong one.  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -25,34 +24,40 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 10_000
 BUCKETS = 1024
 
+BELOW, BETWEEN, ABOVE = 0, 1, 2
+
 
 def distributed_percentiles(df: DataFrame, wanted: dict[str, float], buckets: int = BUCKETS) -> DataFrame:
     """One row with the exact ``percentile_disc`` of each column of ``wanted`` (name ->
     percentile), under the column's name (nulls ignored; null when there is no value)."""
-    each = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in wanted])
-    pairs = df.select(F.explode(each).alias("x")).select("x.c", "x.v").where(F.col("v").isNotNull())
-    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    sketch = counts.groupBy("c").agg(F.percentile_approx("v", cuts, F.lit(SKETCH_ACCURACY)).alias("bounds"))
-    # One row for each column asked for: broadcasting it is bounded by construction.
-    bucketed = counts.join(F.broadcast(sketch), "c").select(
-        "c", "v", "n", F.size(F.filter("bounds", lambda x: x < F.col("v"))).alias("b")
-    )
-    share = F.create_map(*[F.lit(x) for c, p in wanted.items() for x in (c, float(p))])
-    whole = Window.partitionBy("c")
-    upto = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # At most `buckets` rows a column go through these windows.
-    located = (
-        bucketed.groupBy("c", "b").agg(F.sum("n").alias("bn"))
-        .withColumn("target", F.greatest(F.lit(1), F.ceil(share[F.col("c")] * F.sum("bn").over(whole))))
-        .withColumn("last", F.sum("bn").over(upto))
-        .where((F.col("last") >= F.col("target")) & (F.col("last") - F.col("bn") < F.col("target")))
-        .select("c", "b", "target", (F.col("last") - F.col("bn")).alias("before"))
+    accuracy = F.lit(max(SKETCH_ACCURACY, 10 * buckets))
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    bounds = []
+    for i, (c, p) in enumerate(wanted.items()):
+        near = F.array(F.lit(max(0.0, p - 1 / buckets)), F.lit(min(1.0, p + 1 / buckets)))
+        bounds += [
+            F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.count(c))).alias(f"_target{i}"),
+            F.percentile_approx(c, near, accuracy).alias(f"_near{i}"),
+        ]
+    # One row with two numbers a column and side: broadcasting it is bounded by construction.
+    located = values.crossJoin(F.broadcast(values.agg(*bounds)))
+
+    def place(i: int, c: str):
+        value, near = F.col(c), F.col(f"_near{i}")
+        side = F.when(value < near[0], BELOW).when(value > near[1], ABOVE).otherwise(BETWEEN)
+        return F.struct(
+            F.lit(i).alias("c"), F.col(f"_target{i}").alias("target"), side.alias("side"),
+            F.when(side == BETWEEN, value).alias("v"), value.isNotNull().alias("counts"),
+        )
+
+    counted = (
+        located.select(F.explode(F.array(*[place(i, c) for i, c in enumerate(wanted)])).alias("x")).select("x.*")
+        .where("counts").groupBy("c", "target", "side", "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    running = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = (
-        bucketed.join(F.broadcast(located), ["c", "b"])
-        .withColumn("last", F.col("before") + F.sum("n").over(running))
-        .where(F.col("last") >= F.col("target"))
+    running = Window.partitionBy("c", "target").orderBy("side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counted.withColumn("last", F.sum("n").over(running)).where(
+        (F.col("last") >= F.col("target")) & (F.col("last") - F.col("n") < F.col("target"))
     )
-    return reached.agg(*[F.min(F.when(F.col("c") == c, F.col("v"))).alias(c) for c in wanted])
+    outside = F.raise_error(F.lit("the wanted rank lies outside its sketched bounds")).cast("double")
+    found = F.when(F.col("side") == BETWEEN, F.col("v")).otherwise(outside)
+    return reached.agg(*[F.min(F.when(F.col("c") == i, found)).alias(c) for i, c in enumerate(wanted)])
