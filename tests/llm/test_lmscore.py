@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+
 import math
 import random
 from collections import Counter
 
 from zonepulse.llm import lmscore
+from zonepulse.llm.words import slices
 
 
 def plain(docs, target_ids, least):
@@ -94,3 +98,16 @@ def test_rare_words_and_bigrams_count_at_any_size(spark):
             n, target, background = want[81 if r.doc_id is None else r.doc_id]
             assert r.n_tokens == n
             assert abs(r.loss_target - target) < 1e-9 and abs(r.loss_background - background) < 1e-9
+
+
+def test_tokens_come_in_bounded_groups(monkeypatch):
+    monkeypatch.setattr(lmscore, "GROUP_TOKENS", 1000)
+    texts = [" ".join(f"w{i % 7}" for i in range(150))] * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([True] * 100)], names=["text", "good"])
+    monkeypatch.setattr(lmscore, "slices", lambda column: slices(column, 1000))
+    groups = list(lmscore._tokens(iter([batch, batch])))
+    sizes = [len(g[0]) for g in groups]
+    assert len(sizes) > 10 and max(sizes) < 2000
+    whole = np.concatenate([g[0] for g in groups])
+    monkeypatch.setattr(lmscore, "GROUP_TOKENS", 1 << 30)
+    assert (whole == next(lmscore._tokens(iter([batch, batch])))[0]).all()

@@ -44,6 +44,7 @@ ID_BITS = 23
 PAIR_BITS = 26
 LAMBDA = 0.7
 SMOOTH = 0.5
+GROUP_TOKENS = 1 << 19  # tokens counted at once in a task
 MIN_COUNT = 2  # words below occur once, which _unknown_pairs() needs
 UNKNOWN, START, END = 1, 2, 3  # in the place of a word's hash
 
@@ -90,40 +91,44 @@ def _grouped(keys: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order[edges], np.diff(np.append(edges, len(keys))), np.add.reduceat(good[order].astype(np.int64), edges)
 
 
-def _tokens(batch: pa.RecordBatch) -> list[np.ndarray]:
-    """Hashes of the tokens of (text, good), of those before and after, and whether good."""
-    parts = []
-    for lo, hi, data, bounds in slices(batch.column(0)):
-        w = words(data, bounds, lower=True)
-        parts.append((*neighbours(w), batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[w.row]))
-    return [np.concatenate(x) for x in zip(*parts)] if sum(len(x[0]) for x in parts) else []
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Hashes of the tokens of (text, good), of those before and after, and whether good: in
+    groups of about ``GROUP_TOKENS``, whatever a batch holds."""
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        for lo, hi, data, bounds in slices(batch.column(0)):
+            w = words(data, bounds, lower=True)
+            held.append((*neighbours(w), batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[w.row]))
+            size += len(held[-1][0])
+            if size >= GROUP_TOKENS:
+                yield [np.concatenate(x) for x in zip(*held)]
+                held, size = [], 0
+    if size:
+        yield [np.concatenate(x) for x in zip(*held)]
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
-    """(key, b, t, before, after) of words, summed per Arrow batch; neighbours of words with b = 1."""
+    """(key, b, t, before, after) of words, summed per group of tokens; neighbours of words with b = 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if tokens := _tokens(batch):
-                h, before, after, good = tokens
-                at, b, t = _grouped(h, good)
-                columns = [h[at], b, t, np.where(b == 1, before[at], 0), np.where(b == 1, after[at], 0)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "b", "t", "before", "after"])
+        for h, before, after, good in _tokens(batches):
+            at, b, t = _grouped(h, good)
+            columns = [h[at], b, t, np.where(b == 1, before[at], 0), np.where(b == 1, after[at], 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "b", "t", "before", "after"])
 
     return texts.mapInArrow(run, "key long, b long, t long, before long, after long")
 
 
 def _pair_counts(texts: DataFrame) -> DataFrame:
-    """(v, w, b, t) of bigrams, summed per Arrow batch; in order of v, which shuffles smaller."""
+    """(v, w, b, t) of bigrams, summed per group of tokens; in order of v, which shuffles smaller."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if tokens := _tokens(batch):
-                h, before, _, good = tokens
-                at, b, t = _grouped(pair_keys(before, h), good)
-                order = np.argsort(before[at], kind="stable")
-                at = at[order]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (before[at], h[at], b[order], t[order])], names=["v", "w", "b", "t"])
+        for h, before, _, good in _tokens(batches):
+            at, b, t = _grouped(pair_keys(before, h), good)
+            order = np.argsort(before[at], kind="stable")
+            at = at[order]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (before[at], h[at], b[order], t[order])], names=["v", "w", "b", "t"])
 
     return texts.mapInArrow(run, "v long, w long, b long, t long")
 
