@@ -57,3 +57,12 @@ def test_operator(spark):
         parts = [" ".join(html.unescape(re.sub(r"<br>|</?b>", " ", x)).split()) for x in re.split(r"</?p>|</?h1>", article)]
         assert got[r.page_id] == "\n".join(x for x in parts if x)
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_names_of_wrappers_and_of_parts():
+    whole = "layout has-sidebar", "page no-comments", "page-with-sidebar", "is-not-login"
+    for name in whole:
+        assert main_text(f'<div class="{name}"><article><p>{LONG}</p></article></div>') == LONG
+        assert main_text(f'<div id="{name.split()[-1]}"><article><p>{LONG}</p></article></div>') == LONG
+    for name in ("sidebar", "left-sidebar", "sidebar_box", "site-footer x", "post-comments", "ad-top", "x newsletter"):
+        assert main_text(f'<article><p>{LONG}</p></article><div class="{name}"><p>{LONG}</p></div>') == LONG

@@ -70,6 +70,7 @@ DROPPED_NAMES = frozenset(
     notification pagination popup promo promoted promotion related reply replies respond share sharing sidebar signup social
     sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
+STATES = frozenset("has no with without is not".split())
 COMMENT_NAMES = frozenset("comment comments disqus reply replies respond".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 
@@ -89,6 +90,14 @@ class Block:
     label: str = ""
 
 
+def _names_part(word: str, names: frozenset[str]) -> bool:
+    """Whether a class or id names such a part of a page: by itself, or in its first or last part
+    (``sidebar-left``, ``site-footer``).  Words that tell of an element's state or layout
+    (``has-sidebar``, ``no-comments``, ``page-with-sidebar``) name the whole, not the part."""
+    parts = _PART.findall(word)
+    return bool(parts) and not STATES.intersection(parts) and (parts[0] in names or parts[-1] in names)
+
+
 def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether the element's tag, role, class or id says that it isn't part of the article."""
     if tag in DROPPED_TAGS:
@@ -104,7 +113,7 @@ def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name in ("class", "id") and tag not in ("html", "body", "main"):
             names = COMMENT_NAMES if tag == "article" else DROPPED_NAMES
-            if any(part in names for word in value.split() for part in _PART.findall(word)):
+            if any(_names_part(word, names) for word in value.split()):
                 return True
     return False
 
