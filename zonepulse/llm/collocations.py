@@ -264,7 +264,7 @@ def count_groups(relation: DataFrame, filter_, k: int, min_count: int, parts: in
     of its first and its last ``k - 1`` words."""
     heavy = key_filter(heavy_buckets(relation, filter_, k, min_count, parts), max_bits)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = heavy and tester(heavy)
         held: list[tuple] = []
         size = 0
@@ -272,8 +272,13 @@ def count_groups(relation: DataFrame, filter_, k: int, min_count: int, parts: in
         def flush() -> pa.RecordBatch:
             a, b, key = (np.concatenate(x) for x in zip(*held))
             _, first, n = np.unique(key, return_index=True, return_counts=True)
-            arrays = [pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)), pa.array(n)]
-            return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "n"])
+            part = (_bucket(key[first], parts) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, first, n = part[order], first[order], n[order]
+            cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            rows = [(int(part[lo]), a[first[lo:hi]].tobytes(), b[first[lo:hi]].tobytes(), n[lo:hi].astype(np.uint32).tobytes()) for lo, hi in zip(cuts, cuts[1:])]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "a", "b", "n"])
 
         for _, own, place, a, b, key in _merged(_rows(batches), filter_ and tester(filter_)):
             mine = place + k > own  # the last word is not one carried over
@@ -287,15 +292,19 @@ def count_groups(relation: DataFrame, filter_, k: int, min_count: int, parts: in
         if size:
             yield flush()
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
-            key = mix(a * np.uint64(BASE) ^ mix(b)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", "a", "b", "n"])
+    def add(rows: pa.Table) -> pa.Table:
+        a, b, n = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows[c]]) for c, kind in (("a", np.uint64), ("b", np.uint64), ("n", np.uint32)))
+        order = np.lexsort((b, a))
+        a, b, n = a[order], b[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        total = np.add.reduceat(n, first)
+        a, b, total = (x[total >= min_count] for x in (a[first], b[first], total))
+        key = mix(a * np.uint64(BASE) ^ mix(b))
+        return pa.table({"key": key.view(np.int64), "a": a.view(np.int64), "b": b.view(np.int64), "n": total})
 
     columns = relation.select("block", "own", "step", "keys", "code")
-    counted = columns.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return durable_once(counted.where(F.col("n") >= min_count).mapInArrow(keyed, "key long, a long, b long, n long"))
+    sent = columns.mapInArrow(send, "part long, a binary, b binary, n binary")
+    return durable_once(sent.groupBy("part").applyInArrow(add, "key long, a long, b long, n long"))
 
 
 def extend(relation: DataFrame, parts, groups) -> DataFrame:
