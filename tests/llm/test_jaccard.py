@@ -62,6 +62,30 @@ def test_equals_all_pairs(spark, monkeypatch, seed, k, num, den, heavy):
     assert named + sorted((r.n_shingles,) for r in got if r.doc_id is None) == expected(rows, k, num, den)
 
 
+@pytest.mark.parametrize("copies", [2, 40])
+def test_copies_add_no_candidates(spark, copies):
+    words = [f"w{i}" for i in range(100)]
+    other = words[:90] + [f"v{i}" for i in range(10)]  # 86 of 97 shingles at k = 4: below 17/20
+    rows = [(i, " ".join(words)) for i in range(copies)] + [(1000 + i, " ".join(other)) for i in range(copies)]
+    join = jaccard.JaccardJoin(spark.createDataFrame([*rows, *rows[:3], (1, "")], "doc_id long, text string"), 4, 17, 20)
+    groups = join.groups()
+    ids = spark.createDataFrame([(i, i // 1000 * 1000) for i, _ in rows], "id long, root long")
+    heads = join.heads(groups, ids)
+    assert sorted((r.doc_id, r.part) for r in heads.collect()) == [(0, 0), (1000, 1000)]
+    assert [tuple(r) for r in join.prefix_candidates(heads).collect()] == [(0, 1000)]
+    assert {r.component_id for r in join.run().where("n_shingles > 0").collect()} == {0, 1000}
+
+
+def test_family_beside_a_lone_set(spark):
+    """A token of one large part and one other set meets the large part once, not itself."""
+    rows = [(i, 20, 3, i // 50, 0) for i in range(51)]
+    rows = spark.createDataFrame([(7, *r) for r in rows] + [(8, *r) for r in rows[:50]], "token long, doc_id long, n long, p int, part long, rank int")
+    join = jaccard.JaccardJoin(spark.createDataFrame([], "doc_id long, text string"), 4, 17, 20)
+    mains = join._main_parts(rows)
+    assert [tuple(r) for r in mains.collect()] == [(7, 0, 1)]
+    assert sorted((r.doc_id1, r.doc_id2) for r in join._met_once(rows, mains).collect()) == [(i, 50) for i in range(50)]
+
+
 def test_keep_first_and_empty(spark):
     docs = spark.createDataFrame([(3, "a b c d e f g"), (1, "a b c d e f g"), (2, "z"), (None, "z"), (4, None)], "doc_id long, text string")
     kept = jaccard.keep_first(docs)

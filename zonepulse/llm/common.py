@@ -52,16 +52,20 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+def durable_freed(df: DataFrame) -> DataFrame:
+    """``durable``; Spark removes the shuffle files of the write as soon as it is done."""
+    with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        return durable(df)
+
+
 def durable_once(df: DataFrame) -> DataFrame:
-    """``durable``; Spark removes the shuffle files of the write as soon as it is done, and Arrow
-    and Parquet batches of wide rows stay small."""
+    """``durable_freed``, and Arrow and Parquet batches of wide rows stay small."""
     with settings(
         df.sparkSession,
-        spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
         spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES),
         spark__sql__parquet__columnarReaderBatchSize=str(BATCH_ROWS),
     ):
-        return durable(df)
+        return durable_freed(df)
 
 
 def components(links: DataFrame) -> DataFrame:

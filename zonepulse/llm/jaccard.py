@@ -3,9 +3,9 @@
 Two sets with Jaccard similarity >= t share a token among the first ``n - ceil(t n) + 1``
 tokens of each, under *every* global order of the tokens.  The join uses
 
-* order 1: by hash, with tokens that occur in more than ``HEAVY`` components moved to the
-  end, so passages that many documents share generate no candidates; documents made of such
-  tokens are compared with one another by the rarity of their tokens;
+* order 1: by hash, with tokens that more than ``HEAVY`` sets outside their main component
+  hold moved to the end, so passages that many documents share generate no candidates;
+  documents made of such tokens are compared with one another by the rarity of their tokens;
 * orders 2 and 3: two further independent hash orders, which a candidate must pass as well
   before its sets are intersected.
 
@@ -14,7 +14,9 @@ tied together by stars: under each of ``STARS`` further orders, documents with t
 first token are compared with the smallest of them, which costs one candidate per document
 however large the group is.  The prefix filters then need to look only at pairs that are
 still in different components; all of those are found, so no link between components is
-lost.  Links are never listed inside a component that is already known.
+lost.  Links are never listed inside a component that is already known: the sets of a token's
+largest component meet those outside it only.  The prefix filters see each distinct set
+once, whatever the number of its copies.
 
 Nulls and ties: a null or empty text, or one without words, has an empty set and is linked
 with nothing.  Rows with the same doc_id are one vertex; every input row is returned.  A
@@ -31,14 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import components, durable
+from .common import components, durable_freed
 from .words import mix, shingle_sets, slices, words
 
 STARS = 6
 HEAVY = 64
 BLOCK = 128
 RARITY_BITS = 16
-HEAD_ROWS = "token long, doc_id long, n long, p int, rank int"
+HEAD_ROWS = "token long, doc_id long, n long, p int, part long, rank int"
+HEADS = "doc_id long, n long, p int, head array<long>"
 ID_BITS = 23
 TOKEN_BITS = 26
 SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, STARS + 2, dtype=np.uint64)
@@ -172,8 +175,8 @@ def _head_rows(wanted, heavy=None):
                 keep &= ~is_heavy(flat) & ~short[row] & (rank < batch.column(2).to_numpy()[row])
             row = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), *(batch.column(i).take(row) for i in (0, 1, 2)), pa.array(rank[keep].astype(np.int32))],
-                names=["token", "doc_id", "n", "p", "rank"],
+                [pa.array(flat[keep]), *(batch.column(i).take(row) for i in (0, 1, 2, 4)), pa.array(rank[keep].astype(np.int32))],
+                names=["token", "doc_id", "n", "p", "part", "rank"],
             )
 
     return run
@@ -188,7 +191,18 @@ def _short_documents(heavy):
             flat, row, pos, length = _flat_heads(batch)
             _, short = _heavy_before(is_heavy(flat), row, pos, length, batch.column(2).to_numpy())
             found = batch.filter(pa.array(short))
-            yield pa.RecordBatch.from_arrays([found.column(0), found.column(1)], names=["doc_id", "n"])
+            yield pa.RecordBatch.from_arrays([found.column(i) for i in (0, 1, 4)], names=["doc_id", "n", "part"])
+
+    return run
+
+
+def _passing(wanted, yes: bool):
+    """Rows whose first column passes ``wanted``, or the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = tester(wanted)
+        for batch in batches:
+            yield batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)) == yes))
 
     return run
 
@@ -244,7 +258,7 @@ class JaccardJoin:
         self.rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.known = self.rows.where("doc_id is not null")
         minima = ", ".join(f"m{i} long" for i in range(STARS))
-        self.sketches = durable(
+        self.sketches = durable_freed(
             self.known.mapInArrow(
                 _sketches(k, num, den), f"doc_id long, n long, p int, d1 long, d2 long, {minima}, head array<long>"
             )
@@ -261,7 +275,7 @@ class JaccardJoin:
         both = pairs.union(pairs.select("b", "a"))
         near = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("family"))
         blocks = near.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        block = durable(
+        block = durable_freed(
             near.join(blocks, "family")
             .select("id", F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("block"))
         )
@@ -271,12 +285,12 @@ class JaccardJoin:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that pass the prefix filters of orders 2 and 3 and whose
         sets are similar enough."""
-        pairs = durable(pairs)
+        pairs = durable_freed(pairs)
         wanted = bit_filter(pairs.select("a").union(pairs.select("b")).distinct(), ID_BITS)
         sets = self.known.mapInArrow(
             _whole_sets(self.k, self.num, self.den, wanted), "id long, s array<long>, o2 array<long>, o3 array<long>"
         )
-        celled = durable(self.cells(pairs))
+        celled = durable_freed(self.cells(pairs))
         needed = celled.select(F.col("cell").alias("at"), F.col("a").alias("id")).union(celled.select("cell", "b")).distinct()
         num, den = self.num, self.den
 
@@ -293,7 +307,7 @@ class JaccardJoin:
             columns = list(zip(*linked)) or [[], []]
             return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
-        return durable(
+        return durable_freed(
             celled.groupBy("cell").cogroup(needed.join(sets, "id").groupBy("at")).applyInArrow(compare, "a long, b long")
         )
 
@@ -301,9 +315,24 @@ class JaccardJoin:
         """One row per distinct set: its smallest doc_id ``rep`` and first tokens."""
         return (
             self.sketches.where("n > 0").groupBy("n", "d1", "d2")
-            .agg(F.min("doc_id").alias("rep"), *(F.min(f"m{i}").alias(f"m{i}") for i in range(STARS)))
+            .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *(F.min(f"m{i}").alias(f"m{i}") for i in range(STARS)))
         )
 
+    def heads(self, groups: DataFrame, roots: DataFrame) -> DataFrame:
+        """(doc_id, n, p, head, part), one row per distinct set under its smallest doc_id.
+        ``roots`` (id, root) are the known components, which tie the copies of a set.  Only
+        sets with copies and documents with a component of their own are shuffled."""
+        special = bit_filter(groups.where("copies > 1").select("rep").union(roots.select("id")), ID_BITS)
+        sketches = self.sketches.where("n > 0")
+        once = (
+            sketches.select("doc_id", "n", "p", "head", "d1", "d2").mapInArrow(_passing(special, True), f"{HEADS}, d1 long, d2 long")
+            .groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("p").alias("p"), F.first("head").alias("head"))
+            .join(roots, F.col("doc_id") == F.col("id"), "left")
+            .select("doc_id", "n", "p", "head", F.coalesce("root", "doc_id").alias("part"))
+        )
+        others = sketches.select("doc_id", "n", "p", "head").mapInArrow(_passing(special, False), HEADS)
+        return durable_freed(once).union(others.withColumn("part", F.col("doc_id")))
+
     def star_candidates(self, groups: DataFrame) -> DataFrame:
         """Each group with the smallest group of the same first token, if they agree under
         two orders at least."""
@@ -319,38 +348,51 @@ class JaccardJoin:
             .groupBy(F.col("centre").alias("a"), F.col("rep").alias("b")).count().where("count >= 2").select("a", "b")
         )
 
-    def prefix_candidates(self, parts: DataFrame) -> DataFrame:
-        """All pairs in different parts (id, part) whose prefixes under order 1 meet."""
-        heads = self.sketches.where("n > 0").select("doc_id", "n", "p", "head")
-        parts = parts.select(F.col("id").alias("doc_id"), "part")
-        shared = (
-            heads.select("doc_id", F.explode("head").alias("token"))
-            .groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-            .where("lo <> hi").select("token")
+    def prefix_candidates(self, heads: DataFrame) -> DataFrame:
+        """All pairs of sets of different parts whose prefixes under order 1 meet."""
+        twice = heads.select(F.explode("head").alias("token")).groupBy("token").count().where("count > 1").select("token")
+        shared = durable_freed(
+            self._main_parts(heads.mapInArrow(_head_rows(bit_filter(twice, TOKEN_BITS)), HEAD_ROWS))
         )
-        in_parts = (
-            heads.mapInArrow(_head_rows(bit_filter(shared, TOKEN_BITS)), HEAD_ROWS).join(parts, "doc_id")
-            .select("token", "part").distinct().groupBy("token").count().where("count > 1")
-        )
-        in_parts = durable(in_parts)
-        heavy = bit_filter(in_parts.where(F.col("count") > HEAVY).select("token"), TOKEN_BITS)
-        crossing = bit_filter(in_parts.select("token"), TOKEN_BITS)
+        heavy = bit_filter(shared.where(F.col("others") > HEAVY).select("token"), TOKEN_BITS)
+        crossing = bit_filter(shared.select("token"), TOKEN_BITS)
         # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
         # in the order holds no further shared token, so at most its side's rest beyond the
         # prefix, or the other side's beyond the last shared token, can follow.
-        light = durable(heads.mapInArrow(_head_rows(crossing, heavy), HEAD_ROWS).join(parts, "doc_id"))
+        light = durable_freed(heads.mapInArrow(_head_rows(crossing, heavy), HEAD_ROWS))
         most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
         usual = (
-            self._met(light, light).where("doc_id1 < doc_id2")
+            self._met_once(light, shared)
             .groupBy("doc_id1", "doc_id2", "n1", "n2", "p1", "p2")
             .agg(F.count("*").alias("s"), F.max("rank1").alias("i"), F.max("rank2").alias("j"))
             .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
             .select("doc_id1", "doc_id2")
         )
-        short = durable(heads.mapInArrow(_short_documents(heavy), "doc_id long, n long").distinct().join(parts, "doc_id"))
-        found = usual.union(self._short_candidates(short, heavy, heads, parts))
+        short = durable_freed(heads.mapInArrow(_short_documents(heavy), "doc_id long, n long, part long").distinct())
+        found = usual.union(self._short_candidates(short, heavy, heads))
         return found.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
 
+    def _main_parts(self, rows: DataFrame) -> DataFrame:
+        """(token, main, others) of the tokens in several parts: the part with the most of
+        their rows, and the number of rows in other parts."""
+        return (
+            rows.groupBy("token", "part").count()
+            .groupBy("token").agg(F.max(F.struct("count", "part")).alias("m"), F.sum("count").alias("rows"), F.count("*").alias("parts"))
+            .where("parts > 1").select("token", F.col("m.part").alias("main"), (F.col("rows") - F.col("m.count")).alias("others"))
+        )
+
+    def _met_once(self, rows: DataFrame, mains: DataFrame) -> DataFrame:
+        """Each two of ``rows`` with the same token and different parts once, the smaller doc_id
+        first.  Rows of a token's main part are on the right side only, so the join is at
+        most twice as large as its result before the sizes are compared."""
+        left = rows.join(mains.select("token", "main"), "token").where("part <> main")
+        met = self._met(left, rows).where("doc_id1 < doc_id2 or part2 = main1")
+        ordered = [
+            F.when((F.col("doc_id1") < F.col("doc_id2")) == F.lit(x == "1"), F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(f"{c}{x}")
+            for c in rows.columns if c != "token" for x in "12"
+        ]
+        return met.select("token", *ordered)
+
     def _met(self, left: DataFrame, right: DataFrame) -> DataFrame:
         def side(rows: DataFrame, x: str) -> DataFrame:
             return rows.select("token", *(F.col(c).alias(f"{c}{x}") for c in rows.columns if c != "token"))
@@ -359,7 +401,7 @@ class JaccardJoin:
             "part1 <> part2 and doc_id1 <> doc_id2"
         ).where(self._sizes_fit("n1", "n2"))
 
-    def _short_candidates(self, short: DataFrame, heavy, heads: DataFrame, parts: DataFrame) -> DataFrame:
+    def _short_candidates(self, short: DataFrame, heavy, heads: DataFrame) -> DataFrame:
         """Candidates of the documents whose heads hold too few light tokens for a prefix:
         versions of one text that differ too much to be tied by stars, mostly.  Their whole
         sets are ranked.  Among themselves the order is by rarity (counts of tokens in a
@@ -373,28 +415,28 @@ class JaccardJoin:
         table = np.zeros(1 << RARITY_BITS, dtype=np.int64)
         table[counted["place"].to_numpy()] = counted["n"].to_numpy()
         rarity = spark.sparkContext.broadcast(table)
-        prefixes = durable(
+        prefixes = durable_freed(
             self.known.mapInArrow(
                 _whole_prefixes(self.k, self.num, self.den, wanted, rarity, heavy), "token long, doc_id long, rank int, kind int"
             ).join(short, "doc_id")
         )
         needed = f"(({self.num} * (n1 + n2) + {self.num + self.den - 1}) div {self.num + self.den})"
         rare = prefixes.where("kind = 0").drop("kind")
-        among = self._met(rare, rare).where("doc_id1 < doc_id2").where(
+        among = self._met_once(rare, self._main_parts(rare)).where(
             F.expr(f"rank1 <= n1 - {needed} and rank2 <= n2 - {needed}")
         )
         light = prefixes.where("kind = 1").drop("kind", "rank")
         others = (
             heads.mapInArrow(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
-            .join(short.select("doc_id"), "doc_id", "left_anti").join(parts, "doc_id").select("token", "doc_id", "n", "part")
+            .join(short.select("doc_id", "n"), ["doc_id", "n"], "left_anti").select("token", "doc_id", "n", "part")
         )
         return among.select("doc_id1", "doc_id2").union(self._met(light, others).select("doc_id1", "doc_id2"))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), one row per input row."""
-        groups = durable(self.groups())
+        groups = durable_freed(self.groups())
         tied = self.verified(self.star_candidates(groups))
-        members = durable(
+        members = durable_freed(
             self.sketches.select("doc_id", "n", "d1", "d2")
             .join(groups.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
@@ -405,7 +447,7 @@ class JaccardJoin:
         roots = components(links)
         parts = members.select("doc_id").distinct().join(roots, F.col("doc_id") == F.col("id"), "left")
         parts = parts.select(F.col("doc_id").alias("id"), F.coalesce("root", "doc_id").alias("part"))
-        crossing = self.verified(self.prefix_candidates(parts))
+        crossing = self.verified(self.prefix_candidates(self.heads(groups, roots)))
         joined = components(
             crossing.join(parts.select(F.col("id").alias("a"), F.col("part").alias("pa")), "a")
             .join(parts.select(F.col("id").alias("b"), F.col("part").alias("pb")), "b")
