@@ -3,9 +3,9 @@
 Two sets with Jaccard similarity >= t share a token among the first ``n - ceil(t n) + 1``
 tokens of each, under *every* global order of the tokens.  The join uses
 
-* order 1: by hash, with tokens that more than ``HEAVY`` sets outside their main component
-  hold moved to the end, so passages that many documents share generate no candidates;
-  documents made of such tokens are compared with one another by the rarity of their tokens;
+* order 1: by hash, with tokens that occur in more than ``HEAVY`` components moved to the
+  end, so passages that many documents share generate no candidates; documents made of such
+  tokens are compared with one another by the rarity of their tokens;
 * orders 2 and 3: two further independent hash orders, which a candidate must pass as well
   before its sets are intersected.
 
@@ -354,7 +354,7 @@ class JaccardJoin:
         shared = durable_freed(
             self._main_parts(heads.mapInArrow(_head_rows(bit_filter(twice, TOKEN_BITS)), HEAD_ROWS))
         )
-        heavy = bit_filter(shared.where(F.col("others") > HEAVY).select("token"), TOKEN_BITS)
+        heavy = bit_filter(shared.where(F.col("parts") > HEAVY).select("token"), TOKEN_BITS)
         crossing = bit_filter(shared.select("token"), TOKEN_BITS)
         # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
         # in the order holds no further shared token, so at most its side's rest beyond the
@@ -373,12 +373,12 @@ class JaccardJoin:
         return found.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
 
     def _main_parts(self, rows: DataFrame) -> DataFrame:
-        """(token, main, others) of the tokens in several parts: the part with the most of
-        their rows, and the number of rows in other parts."""
+        """(token, main, parts) of the tokens in several parts: the part with the most of
+        their rows, and the number of parts."""
         return (
             rows.groupBy("token", "part").count()
-            .groupBy("token").agg(F.max(F.struct("count", "part")).alias("m"), F.sum("count").alias("rows"), F.count("*").alias("parts"))
-            .where("parts > 1").select("token", F.col("m.part").alias("main"), (F.col("rows") - F.col("m.count")).alias("others"))
+            .groupBy("token").agg(F.max(F.struct("count", "part")).alias("m"), F.count("*").alias("parts"))
+            .where("parts > 1").select("token", F.col("m.part").alias("main"), "parts")
         )
 
     def _met_once(self, rows: DataFrame, mains: DataFrame) -> DataFrame:
