@@ -11,8 +11,11 @@ place of the same document, has it; the sentences that repeats cover are removed
 With ``passage`` = n every run of more than n words that is repeated is found too, wherever
 sentences end: all its words are removed, and of a text that repeats itself the first n + 1
 words of a passage stay.  Of every ``n + 2 - PRINT`` consecutive runs of ``PRINT`` words the one
-of the smallest hash is a print, so any n + 1 words hold one, the same in every copy; all
-runs of n + 1 words around prints that occur twice are then joined like runs of sentences.
+of the smallest hash is a print, so any n + 1 words have one, the same in every copy.  The
+neighbouring runs of n + 1 words with one print are a chunk; chunks whose print occurs twice
+are joined as a whole, like runs of sentences.  Only where a print has chunks that differ,
+the single runs of each chunk's first document are joined as well: any other document with
+that chunk loses all of it, and a run's first document is the first of its chunk.
 
 A null or empty text has no runs.  Rows with the same doc_id count as one document, so they
 don't repeat one another; a null doc_id takes no part.  Further columns are ignored by
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import durable
+from .common import durable_freed
 from .words import BASE, INVERSE, Words, _powers, mix, slices, words
 
 RUN = 2
@@ -109,17 +112,18 @@ def word_runs(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return at, mix((sums[at + k] - sums[at]) * _powers(INVERSE, n + 1)[at])
 
 
-def prints(w: Words, passage: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and hash of the prints: at least one in any ``passage + 1`` words."""
+def prints(w: Words, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and hash of the prints, and the number of the print of each run of
+    ``passage + 1`` words (in the order of ``word_runs``), which its words alone decide."""
     k = min(PRINT, passage + 1)
     at, h = word_runs(w, k)
     wide = passage + 2 - k
     if len(at) < wide:
-        return at[:0], h[:0]
+        return at[:0], h[:0], at[:0]
     inside = np.flatnonzero(w.row[at[wide - 1 :]] == w.row[at[: len(at) - wide + 1]])
     least = np.lib.stride_tricks.sliding_window_view(h, wide).argmin(axis=1)[inside]
-    chosen = np.unique(inside + least)
-    return at[chosen], h[chosen]
+    chosen, own = np.unique(inside + least, return_inverse=True)
+    return at[chosen], h[chosen], own
 
 
 def _prints(passage: int):
@@ -132,36 +136,66 @@ def _prints(passage: int):
     return go
 
 
-def _passages(passage: int, repeated: Broadcast):
-    """The runs of ``passage + 1`` words that hold a repeated print."""
+def _chunks(passage: int, repeated: Broadcast):
+    """Per repeated print the words of all runs of ``passage + 1`` words that have it: one row
+    (p, h, doc_id, first, last, again), ``h`` being the hash of those words."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test, k = tester(repeated), passage + 1
+        test = tester(repeated)
         for batch in batches:
             for lo, hi, data, bounds in slices(batch.column(1)):
                 w = words(data, bounds, lower=True)
-                at, h = prints(w, passage)
-                at = at[test(h.view(np.int64))]
-                near = np.zeros(len(w.hashes) + 1, dtype=np.int64)
-                np.add.at(near, np.maximum(at + min(PRINT, k) - k, 0), 1)
-                np.add.at(near, at + 1, -1)
-                first, h = word_runs(w, k)
-                good = np.cumsum(near)[first] > 0
-                first, h = first[good], h[good]
-                row = w.row[first]
-                # an earlier run of the row with the same hash that doesn't overlap
-                _, earliest, same = np.unique(mix(h + mix(row.astype(np.uint64))), return_index=True, return_inverse=True)
-                again = first - first[earliest][same] >= k
-                first = (first - w.first[row]).astype(np.int32)
-                ids = batch.column(0).slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), ids.take(pa.array(row)), pa.array(first), pa.array(first + np.int32(k)), pa.array(again)],
-                    names=["h", "doc_id", "first", "last", "again"],
-                )
+                p, first, last, h = chunks_of(w, passage)
+                good = test(p.view(np.int64))
+                yield _runs(batch.column(0).slice(lo, hi - lo), w, passage, first[good], last[good], h[good], p[good])
+
+    return go
+
+
+def _passages(passage: int, wanted: Broadcast):
+    """The runs of ``passage + 1`` words in the chunks whose hash and doc_id pass ``wanted``."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = tester(wanted)
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi, data, bounds in slices(batch.column(1)):
+                w = words(data, bounds, lower=True)
+                _, start, last, chunk = chunks_of(w, passage)
+                first, h = word_runs(w, passage + 1)
+                rows = _runs(batch.column(0).slice(lo, hi - lo), w, passage, first, first + passage + 1, h)
+                good = test(chunk.view(np.int64) ^ ids[lo:hi][w.row[start]])
+                yield rows.filter(pa.array(np.repeat(good, last - start - passage)))
 
     return go
 
 
+def chunks_of(w: Words, passage: int):
+    """Print, first word, end word and hash of the words of all consecutive runs of
+    ``passage + 1`` words with the same print, at the same place."""
+    _, p, own = prints(w, passage)
+    at, _ = word_runs(w, passage + 1)
+    lead = np.flatnonzero(np.diff(own, prepend=-1))
+    first, last = at[lead], at[np.append(lead[1:], len(at)) - 1] + passage + 1 if len(lead) else at
+    n = len(w.hashes)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(w.hashes * _powers(BASE, n), out=sums[1:])
+    h = (sums[last] - sums[first]) * _powers(INVERSE, n + 1)[first]
+    return p[own[lead]], first, last, mix(mix(h) + (last - first).astype(np.uint64))
+
+
+def _runs(ids: pa.Array, w: Words, passage: int, first: np.ndarray, last: np.ndarray, h: np.ndarray, p: np.ndarray | None = None) -> pa.RecordBatch:
+    row = w.row[first]
+    # an earlier run of the row with the same hash that doesn't overlap
+    _, earliest, same = np.unique(mix(h + mix(row.astype(np.uint64))), return_index=True, return_inverse=True)
+    again = first - first[earliest][same] >= passage + 1
+    columns = [pa.array(h.view(np.int64)), ids.take(pa.array(row)), *(pa.array((x - w.first[row]).astype(np.int32)) for x in (first, last)), pa.array(again)]
+    names = ["h", "doc_id", "first", "last", "again"]
+    if p is not None:
+        columns, names = [pa.array(p.view(np.int64)), *columns], ["p", *names]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, passage: int | None = None) -> DataFrame:
     """(doc_id, first, last): word ranges of the repeated runs; they may overlap.
 
@@ -171,11 +205,20 @@ def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS,
     """
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "h long, doc_id long, first int, last int, again boolean"
-    runs = source.mapInArrow(_occurrences(run, min_words), schema)
-    if passage is not None:
-        twice = source.mapInArrow(_prints(passage), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-        runs = runs.union(source.mapInArrow(_passages(passage, bit_filter(twice.select("h"), PRINT_BITS)), schema))
-    runs = durable(runs)
+    found = _later(durable_freed(source.mapInArrow(_occurrences(run, min_words), schema)))
+    if passage is None:
+        return found
+    twice = source.mapInArrow(_prints(passage), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    chunks = durable_freed(source.mapInArrow(_chunks(passage, bit_filter(twice.select("h"), PRINT_BITS)), f"p long, {schema}"))
+    distinct = durable_freed(chunks.groupBy("p", "h").agg(F.min("doc_id").alias("lo")))
+    several = distinct.groupBy("p").count().where("count > 1").select("p")
+    firsts = distinct.join(several, "p", "left_semi").select(F.col("h").bitwiseXOR(F.col("lo")))
+    runs = durable_freed(source.mapInArrow(_passages(passage, bit_filter(firsts, PRINT_BITS)), schema))
+    return found.union(_later(chunks.drop("p"))).union(_later(runs))
+
+
+def _later(runs: DataFrame) -> DataFrame:
+    """The runs that a smaller doc_id, or an earlier place of the document, has too."""
     shared = (
         runs.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("h", "lo")
     )
@@ -222,7 +265,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, passage: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, text) of the documents that lose words: their
     removed word ranges and what is left of the text.  All other documents stay as they are."""
-    found = durable(merged_spans(repeated_spans(docs, run, min_words, passage)))
+    found = durable_freed(merged_spans(repeated_spans(docs, run, min_words, passage)))
     wanted = bit_filter(found.select("doc_id"), ID_BITS)
 
     def affected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
