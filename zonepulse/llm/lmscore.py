@@ -27,16 +27,17 @@ count; a null doc_id is scored.  Further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import durable
+from .common import durable_once
 from .words import BASE, Words, mix, slices, words
 
 SHARE_BITS = 20
@@ -45,6 +46,7 @@ PAIR_BITS = 26
 LAMBDA = 0.7
 SMOOTH = 0.5
 GROUP_TOKENS = 1 << 19  # tokens counted at once in a task
+BATCH_ROWS = 1 << 16  # rows of a batch of counts
 MIN_COUNT = 2  # words below occur once, which _unknown_pairs() needs
 UNKNOWN, START, END = 1, 2, 3  # in the place of a word's hash
 
@@ -91,15 +93,19 @@ def _grouped(keys: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order[edges], np.diff(np.append(edges, len(keys))), np.add.reduceat(good[order].astype(np.int64), edges)
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+Texts = Iterator[pa.RecordBatch]  # (text, good): whether a text is of the target
+
+
+def _tokens(texts: Texts) -> Iterator[list[np.ndarray]]:
     """Hashes of the tokens of (text, good), of those before and after, and whether good: in
     groups of about ``GROUP_TOKENS``, whatever a batch holds."""
     held: list[tuple] = []
     size = 0
-    for batch in batches:
+    for batch in texts:
+        good = batch.column(1).to_numpy(zero_copy_only=False)
         for lo, hi, data, bounds in slices(batch.column(0)):
             w = words(data, bounds, lower=True)
-            held.append((*neighbours(w), batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[w.row]))
+            held.append((*neighbours(w), good[lo:hi][w.row]))
             size += len(held[-1][0])
             if size >= GROUP_TOKENS:
                 yield [np.concatenate(x) for x in zip(*held)]
@@ -108,34 +114,64 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(x) for x in zip(*held)]
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    """(key, b, t, before, after) of words, summed per group of tokens; neighbours of words with b = 1."""
+def _in_batches(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(columns[0]), BATCH_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + BATCH_ROWS]) for c in columns], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, before, after, good in _tokens(batches):
-            at, b, t = _grouped(h, good)
-            columns = [h[at], b, t, np.where(b == 1, before[at], 0), np.where(b == 1, after[at], 0)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "b", "t", "before", "after"])
 
-    return texts.mapInArrow(run, "key long, b long, t long, before long, after long")
+WORD_COUNTS = "key long, b long, t long, before long, after long"
+PAIR_COUNTS = "v long, w long, b long, t long"
+
+
+def _word_counts(texts: Texts) -> Iterator[pa.RecordBatch]:
+    """(key, b, t, before, after) of words, summed per group of tokens; neighbours of words with b = 1."""
+    for h, before, after, good in _tokens(texts):
+        at, b, t = _grouped(h, good)
+        columns = [h[at], b, t, np.where(b == 1, before[at], 0), np.where(b == 1, after[at], 0)]
+        yield from _in_batches(columns, ["key", "b", "t", "before", "after"])
 
 
-def _pair_counts(texts: DataFrame) -> DataFrame:
+def _pair_counts(texts: Texts) -> Iterator[pa.RecordBatch]:
     """(v, w, b, t) of bigrams, summed per group of tokens; in order of v, which shuffles smaller."""
+    for h, before, _, good in _tokens(texts):
+        at, b, t = _grouped(pair_keys(before, h), good)
+        order = np.argsort(before[at], kind="stable")
+        at = at[order]
+        yield from _in_batches([before[at], h[at], b[order], t[order]], ["v", "w", "b", "t"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, before, _, good in _tokens(batches):
-            at, b, t = _grouped(pair_keys(before, h), good)
-            order = np.argsort(before[at], kind="stable")
-            at = at[order]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (before[at], h[at], b[order], t[order])], names=["v", "w", "b", "t"])
 
-    return texts.mapInArrow(run, "v long, w long, b long, t long")
+@dataclass
+class Tagged:
+    """Documents and, of those that can be good by ``wanted``, (text, good): whether each text is
+    of a good, not toxic document.  Only these are shuffled."""
+
+    docs: DataFrame
+    wanted: Broadcast
+    candidates: DataFrame
+
+    def counts(self, count: Callable[[Texts], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+        """``count`` over all texts.  Each text is read, told apart and counted by one Python
+        process of a task, not by a chain of them."""
+        wanted = self.wanted
+
+        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            test = tester(wanted)
 
+            def texts() -> Texts:
+                for batch in batches:
+                    text = batch.column(1).filter(pa.array(~_may_be(batch.column(0), test)))
+                    yield pa.RecordBatch.from_arrays([text, pa.array(np.zeros(len(text), dtype=bool))], names=["text", "good"])
 
-def tagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, good): whether each text is of a good, not toxic document; only texts that can be
-    are shuffled."""
+            return count(texts())
+
+        return self.docs.mapInArrow(others, schema).union(self.candidates.mapInArrow(count, schema))
+
+
+def _may_be(ids: pa.Array, test: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    return test(ids.fill_null(0).to_numpy().astype(np.int64)) & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
+def tagged(docs: DataFrame, labels: DataFrame) -> Tagged:
     ids = (
         labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("label_id"))
         .agg(F.min(F.col("quality").cast("int")).alias("quality"), F.max(F.coalesce(F.col("toxic").cast("int"), F.lit(1))).alias("toxic"))
@@ -143,34 +179,19 @@ def tagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     wanted = bit_filter(ids, ID_BITS)
 
-    def only(possible: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            test = tester(wanted)
-            for batch in batches:
-                known = test(batch.column(0).fill_null(0).to_numpy().astype(np.int64)) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(known == possible))
-
-        return docs.mapInArrow(run, "doc_id long, text string")
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = tester(wanted)
+        for batch in batches:
+            yield batch.filter(pa.array(_may_be(batch.column(0), test)))
 
-    can = only(True).join(ids, F.col("doc_id") == F.col("label_id"), "left")
-    return only(False).select("text", F.lit(False).alias("good")).union(can.select("text", F.col("label_id").isNotNull()))
+    can = docs.mapInArrow(candidates, "doc_id long, text string").join(ids, F.col("doc_id") == F.col("label_id"), "left")
+    return Tagged(docs, wanted, can.select("text", F.col("label_id").isNotNull().alias("good")))
 
 
 def _sums(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``durable``, and Spark removes the shuffle files of the write as soon as it is done."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = conf.get(name, None)
-    conf.set(name, "true")
-    try:
-        return durable(df)
-    finally:
-        conf.set(name, old) if old is not None else conf.unset(name)
-
-
 def _unknown_pairs(counted: DataFrame, known: DataFrame) -> DataFrame:
     """(v, w, b, t) of the bigrams with the unknown word: each word that occurs once has one
     word before and one after it.  Summed by the neighbour before the join with the vocabulary."""
@@ -188,15 +209,15 @@ def fit(docs: DataFrame, labels: DataFrame, share_bits: int = SHARE_BITS) -> Mod
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = tagged(docs, labels)
-    counted = _written(
-        _word_counts(texts).groupBy("key")
+    counted = durable_once(
+        texts.counts(_word_counts, WORD_COUNTS).groupBy("key")
         .agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.max("before").alias("before"), F.max("after").alias("after"))
     )
     known = counted.where(F.col("b") >= MIN_COUNT)
     total = [x or 0 for x in counted.agg(F.sum("b"), F.sum("t")).first()]
     size, *inside = [x or 0 for x in known.agg(F.count("*"), F.sum("b"), F.sum("t")).first()]
-    listed = _written(
-        _sums(_pair_counts(texts), "v", "w").union(_unknown_pairs(counted, known)).where(F.col("b") >= MIN_COUNT)
+    listed = durable_once(
+        _sums(texts.counts(_pair_counts, PAIR_COUNTS), "v", "w").union(_unknown_pairs(counted, known)).where(F.col("b") >= MIN_COUNT)
     )
 
     # the start sign comes before as many tokens as there are documents with a word; its listed
@@ -211,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, share_bits: int = SHARE_BITS) -> Mod
             f"room_{m}": context - LAMBDA * F.col(f"kept_{m}"),
             f"g_{m}": -F.log(1 - LAMBDA * F.col(f"kept_{m}") / context),
         })
-    parts = _written(parts.drop("kept_b", "kept_t"))
+    parts = durable_once(parts.drop("kept_b", "kept_t"))
 
     rooms = parts.select(F.col("key").alias("v"), "room_b", "room_t")
     chances = parts.select(F.col("key").alias("w"), "word_b", "word_t")
@@ -219,13 +240,13 @@ def fit(docs: DataFrame, labels: DataFrame, share_bits: int = SHARE_BITS) -> Mod
     def correction(m: str) -> Column:
         return (-F.log1p(LAMBDA * F.col(m) / (F.col(f"room_{m}") * F.col(f"word_{m}")))).alias(f"d_{m}")
 
-    pairs = _written(listed.join(rooms, "v").join(chances, "w").select("v", "w", "b", correction("b"), correction("t")))
+    pairs = durable_once(listed.join(rooms, "v").join(chances, "w").select("v", "w", "b", correction("b"), correction("t")))
     after = pairs.where(F.col("w") == UNKNOWN).select(F.col("v").alias("key"), F.col("d_b").alias("lu_b"), F.col("d_t").alias("lu_t"))
     before = pairs.where((F.col("v") == UNKNOWN) & (F.col("w") != UNKNOWN)).select(F.col("w").alias("key"), F.col("d_b").alias("ru_b"), F.col("d_t").alias("ru_t"))
     own = [(F.col(f"g_{m}") - F.log(f"word_{m}")).alias(f"own_{m}") for m in "bt"]
     table = parts.join(after, "key", "left").join(before, "key", "left").fillna(0.0).select("key", "b", *own, *VALUES[2:])
 
-    return Model(_written(table), pairs.where(f"v <> {UNKNOWN} and w <> {UNKNOWN}"), tuple(total), max(MIN_COUNT, -(-total[0] // 2**share_bits)))
+    return Model(durable_once(table), pairs.where(f"v <> {UNKNOWN} and w <> {UNKNOWN}"), tuple(total), max(MIN_COUNT, -(-total[0] // 2**share_bits)))
 
 
 VALUES = ["own_b", "own_t", "g_b", "g_t", "lu_b", "lu_t", "ru_b", "ru_t"]
@@ -333,7 +354,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
     end = F.when(F.col("after") == END, 1).otherwise(0)
     by_word = looked.where("own_b is not null").select("id", (F.col("own_b") - end * F.col("g_b")).alias("b"), (F.col("own_t") - end * F.col("g_t")).alias("t"))
-    beside = _written(
+    beside = durable_once(
         looked.where("own_b is null").select("id", "before", "after")
         .mapInArrow(beside_unknown, "id long, key long, side int, b double, t double")
     )
@@ -343,8 +364,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for i, m in enumerate("bt")
     ]
     # sums per document, written one after the other: the shuffles of the first are gone before the next
-    by_pair = _written(_sums(by_pair, "id"))
-    added = by_pair.union(_written(_sums(by_word.union(beside.where("side = 0").select("id", "b", "t")).union(joined.select("id", *by_side)), "id")))
+    by_pair = durable_once(_sums(by_pair, "id"))
+    added = by_pair.union(durable_once(_sums(by_word.union(beside.where("side = 0").select("id", "b", "t")).union(joined.select("id", *by_side)), "id")))
 
     none = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast("long").alias(c) for c in ("n", "copies")]]
     every = source.mapInArrow(local, "id long, doc_id long, n long, copies long, b double, t double").union(added.select("id", *none, "b", "t"))
