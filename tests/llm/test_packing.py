@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from zonepulse.llm import packing
 
@@ -53,3 +53,39 @@ def test_pack(spark, monkeypatch):
     assert sorted((r.piece, r.start_word, r.n_words) for r in got if r.doc_id == 903) == [(i, 50 * i, min(50, 205 - 50 * i)) for i in range(5)]
     assert len({r.doc_id for r in got}) == len({r[0] for r in rows})
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_and_long_documents_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 64)
+    monkeypatch.setattr(packing, "COPIES", 100)
+    rows = [(5, "a b c", "s")] * 1000 + [(None, "d e", None)] * 1000 + [(6, "w " * 10_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = packing.pack(docs, capacity=10).collect()
+    assert len(got) == 3000 and sum(r.n_words for r in got) == 15_000
+    assert sorted(r.start_word for r in got if r.doc_id == 6) == list(range(0, 10_000, 10))
+    shards = defaultdict(list)
+    for r in got:
+        shards[r.bin_id >> packing.BIN_BITS].append(r)
+    assert len(shards) > 40 and max(map(len, shards.values())) < 150
+    bins = Counter((r.bin_id, r.cluster) for r in got)
+    assert max(bins.values()) == 1
+
+
+def test_clusters_of_the_caller(spark):
+    docs = spark.createDataFrame([(1, "a b", None), (2, "c d", None), (3, "e f", None), (4, "", None)], "doc_id long, text string, source string")
+    clusters = spark.createDataFrame([(1, 1), (2, 1), (2, 1), (None, 1)], "doc_id long, cluster long")
+    got = {r.doc_id: r for r in packing.pack(docs, 8, clusters).collect()}
+    assert len(got) == 4 and got[1].cluster == got[2].cluster == 1 and got[4].cluster is None
+    assert got[1].bin_id != got[2].bin_id
+
+
+def test_with_text(spark):
+    rows = [(1, " a  b\tc d\ne ", "s"), (1, "x y", "s"), (1, "x y", "t"), (None, "x y", "s"), (None, None, "s"), (2, "", None), (3, " \n", None), (4, "é ü", "s")]
+    docs = spark.createDataFrame([(*r, "other") for r in rows], "doc_id long, text string, source string, number string")
+    packed = packing.pack(docs, 2)
+    got = packing.with_text(packed, docs, 2)
+    assert got.columns == [*packed.columns, "text"]
+    want = [(1, 0, "a  b"), (1, 1, "c d"), (1, 2, "e"), (1, 0, "x y"), (1, 0, "x y"), (None, 0, "x y"), (None, 0, ""), (2, 0, ""), (3, 0, ""), (4, 0, "é ü")]
+    key = lambda x: (x[0] or 0, *x[1:])
+    assert sorted(((r.doc_id, r.piece, r.text) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert packing.with_text(packing.pack(docs.limit(0)), docs.limit(0)).count() == 0

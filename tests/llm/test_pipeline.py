@@ -53,7 +53,11 @@ def test_stages(spark, scratch):
     assert not any(x in decontaminate.normalised(t) for t in d.values() for x in items)
     assert set(e) == set(d) and not any(pii.base_spans(t) for t in e.values())
     assert all(e[i] == d[i] for i in e if not pii.base_spans(d[i]) and "<" not in e[i])
-    assert sum(r.n_words for r in packed.collect()) == sum(len(WORD.findall(t)) for t in e.values())
+    pieces = packed.collect()
+    assert sum(r.n_words for r in pieces) == sum(len(WORD.findall(t)) for t in e.values())
+    for i, t in e.items():
+        own = sorted((r.piece, r.text) for r in pieces if r.doc_id == i)
+        assert WORD.findall(" ".join(t for _, t in own)) == WORD.findall(t)
 
 
 def test_odd_and_empty_tables(spark, scratch):
@@ -70,6 +74,6 @@ def test_registered(spark):
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in queries.QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in queries.QUERIES} and "pipeline" in names
     assert set(queries.QUERIES) <= names and set(queries.ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
     assert corpus_pipeline.ORACLE_SQL is None and corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
