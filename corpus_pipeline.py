@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.llm import decontaminate, jaccard, packing, pii, quality
-from zonepulse.llm.common import shared_folder, table
+from zonepulse.llm.common import durable, shared_folder, table
 
 #: Near duplicates: five-word shingles, similarity of 4/5 or more.
 SHINGLE_WORDS, SIMILARITY = 5, (4, 5)
@@ -39,8 +39,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document, with the sequence it is packed into."""
-    return packing.pack(docs)
+    """One row per piece of a document, with its text and the sequence it is packed into."""
+    return packing.with_text(durable(packing.pack(docs)), docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
