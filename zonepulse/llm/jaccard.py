@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import components, durable_freed
+from .common import components, durable_freed, durable_once
 from .words import mix, shingle_sets, slices, words
 
 STARS = 6
@@ -258,7 +258,7 @@ class JaccardJoin:
         self.rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.known = self.rows.where("doc_id is not null")
         minima = ", ".join(f"m{i} long" for i in range(STARS))
-        self.sketches = durable_freed(
+        self.sketches = durable_once(
             self.known.mapInArrow(
                 _sketches(k, num, den), f"doc_id long, n long, p int, d1 long, d2 long, {minima}, head array<long>"
             )
@@ -307,7 +307,7 @@ class JaccardJoin:
             columns = list(zip(*linked)) or [[], []]
             return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
-        return durable_freed(
+        return durable_once(
             celled.groupBy("cell").cogroup(needed.join(sets, "id").groupBy("at")).applyInArrow(compare, "a long, b long")
         )
 
@@ -415,7 +415,7 @@ class JaccardJoin:
         table = np.zeros(1 << RARITY_BITS, dtype=np.int64)
         table[counted["place"].to_numpy()] = counted["n"].to_numpy()
         rarity = spark.sparkContext.broadcast(table)
-        prefixes = durable_freed(
+        prefixes = durable_once(
             self.known.mapInArrow(
                 _whole_prefixes(self.k, self.num, self.den, wanted, rarity, heavy), "token long, doc_id long, rank int, kind int"
             ).join(short, "doc_id")
