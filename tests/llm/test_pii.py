@@ -61,6 +61,32 @@ def test_operator(spark):
     assert pii.find_spans(docs.limit(0), pii.fit(docs.limit(0))).count() == 0
 
 
+def test_all_documents_are_learnt_from(spark):
+    import numpy as np
+
+    size = 24_000  # above the 20,000 documents that were once drawn
+    docs = spark.range(size).selectExpr(
+        "id as doc_id", "concat('host ', pmod(hash(id, 1), 400), '.0.0.', pmod(hash(id, 2), 300), ' end') as text"
+    )
+    keys = {r.doc_id: r.k for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, text), 1 << 30) as k").collect()}
+    y, x, held = [], [], []
+    for r in docs.collect():
+        base = set(pii.base_spans(r.text))
+        for c in pii.candidates(r.text):
+            y.append(c in base)
+            x.append([float(np.float32(v)) for v in pii.features(r.text, c)])
+            held.append(keys[r.doc_id] % 3 == 0)
+    y, x, held = np.array(y, float), np.array(x), np.array(held)
+    detector = pii.fit(docs)
+    n, k = (~held).sum(), y[~held].sum()
+    assert abs(detector.trees.bias - np.log((k + 1) / (n - k + 1))) < 1e-12
+    whole = boosting.train(x[~held], y[~held])
+    assert all((a == b).all() for a, b in zip(detector.trees.edges, whole.edges)) and len(detector.trees.trees) == 60
+    assert np.abs(detector.trees.margin(x) - whole.margin(x)).max() < 0.01
+    chosen = held & (detector.trees.margin(x) >= detector.thresholds[1])
+    assert pii.lower_bound(y[chosen].sum(), chosen.sum()) >= pii.PRECISION
+
+
 def test_trees_learn_and_are_deterministic():
     import numpy as np
 

@@ -8,8 +8,9 @@ so that the share of positives above them has a lower bound of ``PRECISION``; ca
 above the threshold that overlap no base span of their kind are added, the best-scored
 first.  Base spans always stay.
 
-The trees are fitted on the candidates of a bounded sample of documents: about
-``FIT_DOCUMENTS``, chosen by a hash of doc_id and text.  Everything else covers all rows.
+The trees and the thresholds come from the candidates of all documents; a hash of doc_id and
+text tells which third is held out.  Thresholds are multiples of ``1 / GRID``, so only counts
+per margin of that grid reach the driver.
 
 A null text counts as empty and has no spans; a null doc_id is kept; repeated rows each get
 their result; in ``redact`` further columns pass through.  Offsets are code points.
@@ -28,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .boosting import Boosted, train
+from .boosting import Boosted, train_on
+from .common import durable_once
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_DOCUMENTS = 20_000
 PRECISION = 0.9
+GRID = 1024
 
 # Equal to the plain patterns with leftmost matching, but without rescanning long runs:
 # an email's local part is found backwards from its @, and an ip starts where digits start.
@@ -156,13 +158,11 @@ def lower_bound(k: int, n: int, z: float = 1.96) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def fit(docs: DataFrame, bound: int = FIT_DOCUMENTS) -> Detector:
-    """Detector from the candidates of about ``bound`` documents; two thirds of them fit the
-    trees, one third calibrates the thresholds."""
-    total = docs.select("text").count()
+def fit(docs: DataFrame) -> Detector:
+    """Detector from the candidates of all documents; two thirds of them fit the trees, one
+    third calibrates the thresholds."""
     keys = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    limit = min(1 << 30, int((1 << 30) * bound / max(1, total)))
-    sample = docs.select(F.col("text").cast("string").alias("text"), keys.alias("k")).where(F.col("k") < limit)
+    source = docs.select(F.col("text").cast("string").alias("text"), keys.alias("k"))
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,25 +177,29 @@ def fit(docs: DataFrame, bound: int = FIT_DOCUMENTS) -> Detector:
                 names=["held", "label", "x"],
             )
 
-    got = sample.mapInArrow(rows_of, "held boolean, label boolean, x array<float>").toArrow()
-    if not got.num_rows:
-        return Detector(Boosted(), {})
-    held, y = got["held"].to_numpy(), got["label"].to_numpy().astype(np.float64)
-    x = np.array(got["x"].to_pylist(), dtype=np.float64)
-    order = np.lexsort([*x.T, y, held])  # the rows arrive in any order
-    held, y, x = held[order], y[order], x[order]
-    trees = train(x[~held], y[~held])
-    thresholds = {}
-    margins = trees.margin(x[held])
-    for kind in range(len(KINDS)):
-        own = x[held][:, 0] == kind
-        ranked = np.argsort(-margins[own], kind="stable")
-        right = y[held][own][ranked].cumsum()
-        value = margins[own][ranked]
-        last = np.append(value[1:] < value[:-1], True) if len(value) else np.zeros(0, bool)
-        good = [i for i in np.flatnonzero(last) if lower_bound(int(right[i]), i + 1) >= PRECISION]
-        if good:
-            thresholds[kind] = max(0.0, float(value[good[-1]]))
+    found = durable_once(
+        source.mapInArrow(rows_of, "held boolean, label boolean, x array<float>").groupBy("held", "label", "x").agg(F.count("*").alias("n"))
+    )
+    trees = train_on(found.where("not held").select("x", F.col("label").alias("y"), "n"))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().astype(np.float64).reshape(len(batch), -1)
+            cell = np.floor(trees.margin(x) * GRID).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, :1].ravel().astype(np.int32)), pa.array(cell), *batch.columns[1:]], names=["kind", "cell", "y", "n"])
+
+    held = (
+        found.where("held").select("x", F.col("label").alias("y"), "n").mapInArrow(cells, "kind int, cell long, y boolean, n long")
+        .groupBy("kind", "cell").agg(F.sum(F.when(F.col("y"), F.col("n")).otherwise(0)).alias("right"), F.sum("n").alias("n"))
+    )
+    thresholds: dict[int, float] = {}
+    seen = {kind: [0, 0] for kind in range(len(KINDS))}
+    for r in sorted(held.collect(), key=lambda r: -r["cell"]):
+        count = seen[r["kind"]]
+        count[0] += r["right"]
+        count[1] += r["n"]
+        if lower_bound(*count) >= PRECISION:
+            thresholds[r["kind"]] = max(0.0, r["cell"] / GRID)
     return Detector(trees, thresholds)
 
 
