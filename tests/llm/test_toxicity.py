@@ -72,3 +72,18 @@ def test_one_class_and_empty(spark):
     assert toxicity.fit(docs, labels) == 1.0 and toxicity.fit(docs, labels.limit(0)) == 0.0
     assert {r.predicted for r in toxicity.score(docs, 0.0).collect()} == {0}
     assert toxicity.score(docs.limit(0), 1.0).count() == 0
+
+
+def test_all_labelled_rows_are_learnt_from(spark):
+    size = 24_000  # 8,000 learnable rows a class; 4,000 were once drawn
+    docs = spark.range(size).selectExpr("id as doc_id", "concat('w', id, if(id % 2 = 1, ' nasty', ' kind'), ' words') as text")
+    labels = spark.range(size).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    model = toxicity.fit(docs, labels)
+    learnt = labels.where(~toxicity.held_out(labels.doc_id)).where("pmod(xxhash64(doc_id), 1 << 30) % 4 <> 0").collect()
+    texts = "".join(f"w{r.doc_id} " for r in learnt).encode()
+    hashes, _ = toxicity.word_hashes(np.frombuffer(texts, np.uint8), np.array([0, len(texts)]))
+    assert len(hashes) == len(learnt) > 2 * toxicity.SHARD_ROWS
+    assert (model.embedding[(hashes % np.uint64(BUCKETS)).astype(np.int64)] != 0).any(1).all()
+    rows = toxicity.score(docs, model).where("held_out").collect()
+    assert len(rows) > 7000 and np.mean([r.predicted == r.doc_id % 2 for r in rows]) > 0.99
+    assert (toxicity.fit(docs.repartition(5), labels).embedding == model.embedding).all()
