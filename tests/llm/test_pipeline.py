@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import corpus_pipeline
 from zonepulse.llm import decontaminate, pii, queries
+from zonepulse.llm.common import BATCH_BYTES, BATCH_ROWS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -77,3 +79,28 @@ def test_registered(spark):
     assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in queries.QUERIES} and "pipeline" in names
     assert set(queries.QUERIES) <= names and set(queries.ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
     assert corpus_pipeline.ORACLE_SQL is None and corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_personal_data_is_learnt_from_all_documents(spark, monkeypatch):
+    size = 21_000  # above the 20,000 documents that were once drawn
+    docs = spark.range(size).selectExpr("id as doc_id", "concat('host ', pmod(hash(id, 1), 400), '.0.0.', pmod(hash(id, 2), 300), ' end') as text")
+    seen = []
+    monkeypatch.setattr(pii, "redact", lambda docs, detector: seen.append(detector))
+    corpus_pipeline.personal_data(spark, docs, "")
+    fitted = [r.text for r in docs.where("pmod(xxhash64(doc_id, text), 1 << 30) % 3 <> 0").collect()]
+    n, k = sum(len(pii.candidates(t)) for t in fitted), sum(len(pii.base_spans(t)) for t in fitted)
+    assert abs(seen[0].trees.bias - math.log((k + 1) / (n - k + 1))) < 1e-12
+
+
+def test_stages_run_in_small_batches(spark, monkeypatch):
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    seen = []
+
+    def stage(spark, docs, sf_dir):
+        seen.append([int(spark.conf.get(n)) for n in names])
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage)])
+    before = [spark.conf.get(n) for n in names]
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert seen == [[BATCH_BYTES, BATCH_ROWS]] and [spark.conf.get(n) for n in names] == before
