@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import durable_freed
+from .common import BATCH_BYTES, BATCH_ROWS, durable_freed, settings
 from .words import BASE, INVERSE, Words, _powers, mix, slices, words
 
 RUN = 2
@@ -43,6 +43,7 @@ ID_BITS = 23
 PASSAGE = 50
 PRINT = 16
 PRINT_BITS = 26
+SLICE = 1 << 18  # bytes of text whose runs are listed at once
 
 END = np.zeros(256, dtype=bool)
 END[[ord(c) for c in ".!?"]] = True
@@ -86,7 +87,7 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, w: Words, run: int, min_words:
 def _occurrences(run: int, min_words: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(1), SLICE):
                 w = words(data, bounds, lower=True)
                 row, first, last, h = runs_of(data, bounds, w, run, min_words)
                 # an earlier run of the row with the same hash
@@ -129,7 +130,7 @@ def prints(w: Words, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _prints(passage: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, bounds in slices(batch.column(1)):
+            for _, _, data, bounds in slices(batch.column(1), SLICE):
                 h, n = np.unique(prints(words(data, bounds, lower=True), passage)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
@@ -143,7 +144,7 @@ def _chunks(passage: int, repeated: Broadcast):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = tester(repeated)
         for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(1), SLICE):
                 w = words(data, bounds, lower=True)
                 p, first, last, h = chunks_of(w, passage)
                 good = test(p.view(np.int64))
@@ -159,7 +160,7 @@ def _passages(passage: int, wanted: Broadcast):
         test = tester(wanted)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(1), SLICE):
                 w = words(data, bounds, lower=True)
                 _, start, last, chunk = chunks_of(w, passage)
                 first, h = word_runs(w, passage + 1)
@@ -265,7 +266,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, passage: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, text) of the documents that lose words: their
     removed word ranges and what is left of the text.  All other documents stay as they are."""
-    found = durable_freed(merged_spans(repeated_spans(docs, run, min_words, passage)))
+    small = {
+        "spark__sql__execution__arrow__maxBytesPerBatch": str(BATCH_BYTES),
+        "spark__sql__parquet__columnarReaderBatchSize": str(BATCH_ROWS),
+    }
+    with settings(docs.sparkSession, **small):  # whole texts go through Python several times
+        found = durable_freed(merged_spans(repeated_spans(docs, run, min_words, passage)))
     wanted = bit_filter(found.select("doc_id"), ID_BITS)
 
     def affected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
