@@ -103,14 +103,17 @@ def test_unaligned_passages_of_51_words_are_found(spark):
     assert removed(passage=spans.PASSAGE) == {i: want[i] | base[i] for i in docs}
 
 
-def test_runs_are_listed_by_small_slices():
+def test_runs_are_listed_by_small_slices(monkeypatch):
     import numpy as np
     import pyarrow as pa
 
     rng = np.random.Generator(np.random.PCG64(3))
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 150)) + "." for _ in range(800)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(800), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
-    for go in (spans._occurrences(1, 16), spans._prints(50)):
-        out = list(go(iter([batch])))
-        assert len(out) >= sum(map(len, texts)) / spans.SLICE > 3
-    assert sum(x.num_rows for x in spans._occurrences(1, 16)(iter([batch]))) == 800
+    go = spans._occurrences(1, 16)
+    out = list(go(iter([batch])))
+    assert len(out) >= sum(map(len, texts)) / spans.SLICE > 3
+    assert len(list(spans._prints(50)(iter([batch])))) == len(out)
+    monkeypatch.setattr(spans, "SLICE", 1 << 30)
+    whole = list(go(iter([batch])))
+    assert len(whole) == 1 and pa.Table.from_batches(out).to_pylist() == whole[0].to_pylist()
