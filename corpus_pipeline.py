@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.llm import decontaminate, jaccard, packing, pii, quality
-from zonepulse.llm.common import BATCH_BYTES, BATCH_ROWS, durable, settings, shared_folder, table
+from zonepulse.llm.common import durable, shared_folder, small_batches, table
 
 #: Near duplicates: five-word shingles, similarity of 4/5 or more.
 SHINGLE_WORDS, SIMILARITY = 5, (4, 5)
@@ -60,12 +60,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     go through all stages in small Arrow and Parquet batches."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    small = {
-        "spark__sql__execution__arrow__maxBytesPerBatch": str(BATCH_BYTES),
-        "spark__sql__parquet__columnarReaderBatchSize": str(BATCH_ROWS),
-    }
     for name, stage in STAGES:
-        with settings(spark, **small):
+        with small_batches(spark):
             stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs

@@ -9,7 +9,7 @@ from itertools import combinations
 import duckdb
 import pytest
 
-from zonepulse.llm import jaccard, queries
+from zonepulse.llm import common, jaccard, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,6 +86,32 @@ def test_family_beside_a_lone_set(spark):
     assert sorted((r.doc_id1, r.doc_id2) for r in join._met_once(rows, mains).collect()) == [(i, 50) for i in range(50)]
 
 
+def test_tokens_that_meet_nothing_are_not_joined(spark, monkeypatch):
+    """Of the prefixes of versions of one text only shared tokens get the documents' parts."""
+    monkeypatch.setattr(jaccard, "HEAVY", 8)
+    seen = []
+    for name in ("durable_once", "durable_freed"):
+        monkeypatch.setattr(jaccard, name, lambda df, f=getattr(jaccard, name): seen.append(f(df)) or seen[-1])
+    join = jaccard.JaccardJoin(spark.createDataFrame(corpus(2), "doc_id long, text string"), 5, 4, 5)
+    heads = join.heads(join.groups(), spark.createDataFrame([], "id long, root long"))
+    assert join.prefix_candidates(heads).count() > 0
+    (at,) = [i for i, df in enumerate(seen) if "kind" in df.columns]
+    prefixes = seen[at].where("kind = 0").groupBy("token").count()
+    joined = next(df for df in seen[at:] if {"token", "rank", "part"} <= set(df.columns))
+    assert sorted(r.token for r in joined.select("token").distinct().collect()) == sorted(r.token for r in prefixes.where("count > 1").collect())
+    assert joined.count() < 0.7 * seen[at].where("kind = 0").count()
+
+
+def test_small_tables_of_the_components_are_one_file(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "durable", lambda *args, f=common.durable: seen.append(f(*args)) or seen[-1])
+    links = spark.createDataFrame([(i, i + 1) for i in range(400) if i % 100] + [(7, 7)], "a long, b long")
+    with common.settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        roots = common.components(links).collect()
+    assert len({r.root for r in roots}) == 4 and all((r.id - 1) // 100 == (r.root - 1) // 100 for r in roots)
+    assert len(seen) > 4 and all(len(df.inputFiles()) == 1 for df in seen[1:])
+
+
 def test_keep_first_and_empty(spark):
     docs = spark.createDataFrame([(3, "a b c d e f g"), (1, "a b c d e f g"), (2, "z"), (None, "z"), (4, None)], "doc_id long, text string")
     kept = jaccard.keep_first(docs)

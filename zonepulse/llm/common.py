@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BATCH_BYTES = 1 << 22  # of an Arrow batch of wide rows
 BATCH_ROWS = 64  # rows of a Parquet file that are decoded at once
+FILE_ROWS = 1 << 16  # a table of fewer narrow rows is one file
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +30,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back: later steps don't
-    recompute it, and a lost executor loses nothing of it."""
+    recompute it, and a lost executor loses nothing of it.  Where it is known to have at most
+    so many narrow ``rows``, they are not dealt over more files than they fill."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -52,19 +56,24 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def durable_freed(df: DataFrame) -> DataFrame:
+def durable_freed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``durable``; Spark removes the shuffle files of the write as soon as it is done."""
     with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-        return durable(df)
+        return durable(df, rows)
 
 
-def durable_once(df: DataFrame) -> DataFrame:
-    """``durable_freed``, and Arrow and Parquet batches of wide rows stay small."""
-    with settings(
-        df.sparkSession,
+def small_batches(spark: SparkSession):
+    """Arrow and Parquet batches of wide rows stay small in the jobs started inside."""
+    return settings(
+        spark,
         spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES),
         spark__sql__parquet__columnarReaderBatchSize=str(BATCH_ROWS),
-    ):
+    )
+
+
+def durable_once(df: DataFrame) -> DataFrame:
+    """``durable_freed``, and Arrow and Parquet batches of wide rows stay small."""
+    with small_batches(df.sparkSession):
         return durable_freed(df)
 
 
@@ -85,9 +94,10 @@ def components(links: DataFrame) -> DataFrame:
         .distinct()
     )
     vertices = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id")))
-    out = durable(vertices.distinct().select("id", F.col("id").alias("root")))
-    turn = 0
-    while not links.isEmpty():
+    n = links.count()
+    most, turn = 2 * n, 0
+    out = durable(vertices.distinct().select("id", F.col("id").alias("root")), most)
+    while n:
         turn += 1
         order = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("o"), F.col(c).alias("v"))  # noqa: B023, E731
         ends = links.select("a", "b").union(links.select(F.col("b"), F.col("a")))
@@ -97,17 +107,21 @@ def components(links: DataFrame) -> DataFrame:
             .select(
                 F.col("a").alias("old"),
                 F.least(F.col("m"), order("a")).getField("v").alias("new"),
-            )
+            ),
+            2 * n,
         )
         left = moved.select(F.col("old").alias("a"), F.col("new").alias("a2"))
         right = moved.select(F.col("old").alias("b"), F.col("new").alias("b2"))
         links = durable(
             links.join(left, "a").join(right, "b").where("a2 <> b2")
             .select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
-            .distinct()
+            .distinct(),
+            n,
         )
         out = durable(
             out.join(moved, F.col("root") == F.col("old"), "left")
-            .select("id", F.coalesce("new", "root").alias("root"))
+            .select("id", F.coalesce("new", "root").alias("root")),
+            most,
         )
+        n = links.count()
     return out

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import components, durable_freed, durable_once
+from .common import components, durable_freed, durable_once, small_batches
 from .words import mix, shingle_sets, slices, words
 
 STARS = 6
@@ -267,7 +267,7 @@ class JaccardJoin:
     def _sizes_fit(self, a: str, b: str):
         return F.expr(f"{self.den} * least({a}, {b}) >= {self.num} * greatest({a}, {b})")
 
-    def cells(self, pairs: DataFrame) -> DataFrame:
+    def cells(self, pairs: DataFrame, rows: int) -> DataFrame:
         """Pairs with the cell they are compared in.  Documents with the same smallest
         partner are dealt to blocks of about ``BLOCK``; a cell is two blocks.  A set is sent
         once to each cell it is needed in instead of once for each pair, which matters where
@@ -277,7 +277,8 @@ class JaccardJoin:
         blocks = near.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         block = durable_freed(
             near.join(blocks, "family")
-            .select("id", F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("block"))
+            .select("id", F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("block")),
+            2 * rows,
         )
         side = lambda x: block.select(F.col("id").alias(x), F.col("block").alias(f"block_{x}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").select(F.xxhash64("block_a", "block_b").alias("cell"), "a", "b")
@@ -286,11 +287,12 @@ class JaccardJoin:
         """Those of ``pairs`` (a, b) that pass the prefix filters of orders 2 and 3 and whose
         sets are similar enough."""
         pairs = durable_freed(pairs)
+        rows = pairs.count()
         wanted = bit_filter(pairs.select("a").union(pairs.select("b")).distinct(), ID_BITS)
         sets = self.known.mapInArrow(
             _whole_sets(self.k, self.num, self.den, wanted), "id long, s array<long>, o2 array<long>, o3 array<long>"
         )
-        celled = durable_freed(self.cells(pairs))
+        celled = durable_freed(self.cells(pairs, rows), rows)
         needed = celled.select(F.col("cell").alias("at"), F.col("a").alias("id")).union(celled.select("cell", "b")).distinct()
         num, den = self.num, self.den
 
@@ -331,7 +333,7 @@ class JaccardJoin:
             .select("doc_id", "n", "p", "head", F.coalesce("root", "doc_id").alias("part"))
         )
         others = sketches.select("doc_id", "n", "p", "head").mapInArrow(_passing(special, False), HEADS)
-        return durable_freed(once).union(others.withColumn("part", F.col("doc_id")))
+        return durable_once(once).union(others.withColumn("part", F.col("doc_id")))
 
     def star_candidates(self, groups: DataFrame) -> DataFrame:
         """Each group with the smallest group of the same first token, if they agree under
@@ -351,7 +353,7 @@ class JaccardJoin:
     def prefix_candidates(self, heads: DataFrame) -> DataFrame:
         """All pairs of sets of different parts whose prefixes under order 1 meet."""
         twice = heads.select(F.explode("head").alias("token")).groupBy("token").count().where("count > 1").select("token")
-        shared = durable_freed(
+        shared = durable_once(
             self._main_parts(heads.mapInArrow(_head_rows(bit_filter(twice, TOKEN_BITS)), HEAD_ROWS))
         )
         heavy = bit_filter(shared.where(F.col("parts") > HEAVY).select("token"), TOKEN_BITS)
@@ -359,7 +361,7 @@ class JaccardJoin:
         # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
         # in the order holds no further shared token, so at most its side's rest beyond the
         # prefix, or the other side's beyond the last shared token, can follow.
-        light = durable_freed(heads.mapInArrow(_head_rows(crossing, heavy), HEAD_ROWS))
+        light = durable_once(heads.mapInArrow(_head_rows(crossing, heavy), HEAD_ROWS))
         most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
         usual = (
             self._met_once(light, shared)
@@ -368,7 +370,7 @@ class JaccardJoin:
             .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
             .select("doc_id1", "doc_id2")
         )
-        short = durable_freed(heads.mapInArrow(_short_documents(heavy), "doc_id long, n long, part long").distinct())
+        short = durable_once(heads.mapInArrow(_short_documents(heavy), "doc_id long, n long, part long").distinct())
         found = usual.union(self._short_candidates(short, heavy, heads))
         return found.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
 
@@ -408,30 +410,42 @@ class JaccardJoin:
         table of fixed size; any order of the tokens is right), so a prefix holds what a
         version doesn't share with the others, and only as many tokens as the two sizes ask
         for.  With all other documents the order is order 1, of which only the light tokens
-        can meet the other side's head."""
+        can meet the other side's head.  Tokens that no other row holds are left out before
+        the rest gets the sizes and parts of the documents."""
         spark = short.sparkSession
         wanted = bit_filter(short.select("doc_id"), ID_BITS)
-        counted = self.known.mapInArrow(_rarity_counts(self.k, wanted), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        counts = self.known.mapInArrow(_rarity_counts(self.k, wanted), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+        with small_batches(spark):
+            counted = counts.toArrow()
         table = np.zeros(1 << RARITY_BITS, dtype=np.int64)
         table[counted["place"].to_numpy()] = counted["n"].to_numpy()
         rarity = spark.sparkContext.broadcast(table)
         prefixes = durable_once(
             self.known.mapInArrow(
                 _whole_prefixes(self.k, self.num, self.den, wanted, rarity, heavy), "token long, doc_id long, rank int, kind int"
-            ).join(short, "doc_id")
+            )
         )
         needed = f"(({self.num} * (n1 + n2) + {self.num + self.den - 1}) div {self.num + self.den})"
         rare = prefixes.where("kind = 0").drop("kind")
+        twice = rare.groupBy("token").count().where("count > 1").select("token")
+        rare = self._with_parts(rare, twice, short)
         among = self._met_once(rare, self._main_parts(rare)).where(
             F.expr(f"rank1 <= n1 - {needed} and rank2 <= n2 - {needed}")
         )
-        light = prefixes.where("kind = 1").drop("kind", "rank")
-        others = (
+        light = prefixes.where("kind = 1").select("token", "doc_id")
+        others = durable_once(
             heads.mapInArrow(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
             .join(short.select("doc_id", "n"), ["doc_id", "n"], "left_anti").select("token", "doc_id", "n", "part")
         )
+        light = self._with_parts(light, others.select("token"), short)
         return among.select("doc_id1", "doc_id2").union(self._met(light, others).select("doc_id1", "doc_id2"))
 
+    def _with_parts(self, rows: DataFrame, tokens: DataFrame, short: DataFrame) -> DataFrame:
+        """``rows`` (token, doc_id, ...) whose token may be one of ``tokens``, with the size and
+        part of their document."""
+        met = rows.mapInArrow(_passing(bit_filter(tokens, TOKEN_BITS), True), rows.schema)
+        return durable_freed(met.join(short, "doc_id"))
+
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), one row per input row."""
         groups = durable_freed(self.groups())
