@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 BATCH_BYTES = 1 << 22  # of an Arrow batch of wide rows
 BATCH_ROWS = 64  # rows of a Parquet file that are decoded at once
-FILE_ROWS = 1 << 16  # a table of fewer narrow rows is one file
+FILE_ROWS = 1 << 13  # narrow rows that a file of a table of known size holds at least
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

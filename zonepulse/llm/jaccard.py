@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
 from .common import components, durable_freed, durable_once, small_batches
-from .words import mix, shingle_sets, slices, words
+from .words import SMALL_SLICE, mix, shingle_sets, slices, words
 
 STARS = 6
 HEAVY = 64
@@ -61,7 +61,7 @@ def _lists(parts: list[np.ndarray], dtype) -> pa.ListArray:
 def _sketches(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(1), SMALL_SLICE):
                 sets = shingle_sets(words(data, bounds, lower=True), k)
                 size = np.array([len(s) for s in sets], dtype=np.int64)
                 prefix = [prefix_length(len(s), num, den) for s in sets]
@@ -94,7 +94,7 @@ def _rarity_counts(k: int, wanted):
         test, total = tester(wanted), np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for batch in batches:
             batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
-            for _, _, data, bounds in slices(batch.column(1)):
+            for _, _, data, bounds in slices(batch.column(1), SMALL_SLICE):
                 sets = shingle_sets(words(data, bounds, lower=True), k)
                 total += np.bincount(_rarity_place(np.concatenate(sets)), minlength=len(total))
         place = np.flatnonzero(total)
@@ -115,7 +115,7 @@ def _whole_prefixes(k: int, num: int, den: int, wanted, rarity, heavy):
         test, is_heavy, count = tester(wanted), tester(heavy), rarity.value
         for batch in batches:
             batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(1), SMALL_SLICE):
                 parts: list[tuple[np.ndarray, int, int]] = []
                 for r, s in enumerate(shingle_sets(words(data, bounds, lower=True), k)):
                     p = prefix_length(len(s), num, den)
@@ -144,7 +144,7 @@ def _whole_sets(k: int, num: int, den: int, wanted):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             batch = batch.filter(pa.array(test(ids)))
-            for lo, hi, data, bounds in slices(batch.column(1)):
+            for lo, hi, data, bounds in slices(batch.column(1), SMALL_SLICE):
                 sets = [np.sort(s.view(np.int64)).view(np.uint64) for s in shingle_sets(words(data, bounds, lower=True), k)]
                 orders = []
                 for seed in (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)):

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
-from .words import IS_SPACE, SpanHash, mix, row_sums, slices, spans_of, windows, words
+from .common import durable_once
+from .words import IS_SPACE, SMALL_SLICE, SpanHash, mix, row_sums, slices, spans_of, windows, words
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -105,7 +105,7 @@ def counts_of(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
 
 def measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, data, bounds in slices(batch.column(1)):
+        for lo, hi, data, bounds in slices(batch.column(1), SMALL_SLICE):
             counts = counts_of(data, bounds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), *(pa.array(counts[c]) for c in COUNTS)], names=["doc_id", *COUNTS]
@@ -225,7 +225,7 @@ def keep_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(batch.schema.get_field_index("text"))):
+            for lo, hi, data, bounds in slices(batch.column(batch.schema.get_field_index("text")), SMALL_SLICE):
                 c = counts_of(data, bounds)
                 kept = (c["n_words"] >= MIN_WORDS) & (100 * c["n_repeat_words"] <= MAX_REPEAT_PERCENT * c["n_words"])
                 stratum = np.searchsorted(BANDS, c["n_words"], side="right")
@@ -239,11 +239,11 @@ def keep_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 def filter_documents(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
     """``docs`` without the documents that the base rules or the certified cutoffs reject."""
-    return keep_rows(docs, fit(durable(measurements(docs)), labels, risk, delta))
+    return keep_rows(docs, fit(durable_once(measurements(docs)), labels, risk, delta))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
     """One row per document: counts, ``base_failed``, ``kept``.  The measurements are narrow
     and written once; the fit and the verdict read them."""
-    measured = durable(measurements(docs))
+    measured = durable_once(measurements(docs))
     return verdict(measured, fit(measured, labels, risk, delta))

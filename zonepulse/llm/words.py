@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+SMALL_SLICE = 1 << 18  # where a worker's memory must stay low
 
 _RNG = np.random.Generator(np.random.PCG64(20240611))
 BYTE_VALUES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
