@@ -107,3 +107,24 @@ def test_plan_holds_the_histogram(seed):
     classes = np.array(sorted(histogram))
     _, times = cutting.column_generation(classes, np.array([float(histogram[c]) for c in classes.tolist()]), 128)
     assert sequences <= 1.01 * times.sum() + 2
+
+
+def test_known_chunks_are_looked_up_once():
+    """A new word in a text costs no second lookup of the others, and words take no normalizer."""
+
+    class Counted(dict):
+        again = 0
+
+        def __getitem__(self, key):
+            Counted.again += 1
+            return super().__getitem__(key)
+
+    with open(VOCABULARY, encoding="utf-8") as f:
+        encode = cutting.Encoder(f.read(), "H")
+    known = " ".join(t for t in texts() if t)
+    list(encode([known]))
+    encode.chunks, Counted.again = Counted(encode.chunks), 0
+    (ids,) = encode([f"{known} Neverseen ÀÉÎõŁ;"])
+    assert np.frombuffer(ids, "<u2").tolist() == Tokenizer.from_file(VOCABULARY).encode(f"{known} Neverseen ÀÉÎõŁ;", add_special_tokens=False).ids
+    assert Counted.again < 10
+    assert encode.of_words.encode("É", add_special_tokens=False).ids != encode.tokenizer.encode("É", add_special_tokens=False).ids

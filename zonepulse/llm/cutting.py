@@ -30,6 +30,8 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import compress, count, pairwise, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +45,12 @@ UNIT = 32
 END_ID = 2
 BLOCK = 1024  # sequences that share their gaps
 BUCKET = 1 << 13  # documents ranked in one group, whatever their number
-PART_CHARS = 1 << 18  # of text read at once
+PART_CHARS = 1 << 18  # of a very long text read at once
+GROUP_CHARS = 1 << 14  # of shorter texts looked up together: their chunks stay in the processor's cache
 CACHE = 1_000_000  # chunks of text whose ids a worker process remembers
 #: Latin letters (those whose lower case is one letter) and marks after them.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)").fullmatch
-WORDS_AT_ONCE = 10000
+PLAIN = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)|(.*))$", re.MULTILINE).findall
+WORDS_AT_ONCE = 1000
 GAP = 1e-3  # the linear program is solved to this share of its optimum
 
 
@@ -58,13 +61,16 @@ class Encoder:
     between spaces and line ends, one after another; chunks are encoded once and remembered.
     A chunk that is ``PLAIN`` is its lower-cased word and the marks after it.
     Words are encoded many at a time: each ends with the only id in it that stands for a word's end.
+    Lower-cased letters of ``PLAIN`` are what the vocabulary's normalizer would make of them, so it is left out there.
     """
 
     def __init__(self, vocabulary: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer, self.kind = Tokenizer.from_str(vocabulary), kind
+        self.of_words = Tokenizer.from_str(vocabulary)
+        self.of_words.normalizer = normalizers.Sequence([])
         words = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(words.values()) + 1, dtype=bool)
         self.closes[[i for word, i in words.items() if word.endswith("</w>")]] = True
@@ -84,42 +90,44 @@ class Encoder:
         if len(self.words) > CACHE:
             self.words = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, tokenizer, texts: list[str]) -> list[bytes]:
+        return [array(self.kind, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        plain, odd = [], []
-        for chunk in new:
-            m = PLAIN(chunk)
-            if m:
-                plain.append((chunk, m[1].lower(), m[2]))
+    def _learn(self, new: list[str]) -> None:
+        plain, odd = [], set()
+        for chunk, (word, marks, other) in zip(new, PLAIN("\n".join(new))):
+            if word:
+                plain.append((chunk, word.lower(), marks))
+                odd.add(marks)
             else:
-                odd.append(chunk)
-        odd += {tail for _, _, tail in plain}
+                odd.add(other)
         odd = [x for x in odd if x not in self.chunks]
-        self.chunks.update(zip(odd, self._encode(odd)))
+        self.chunks.update(zip(odd, self._encode(self.tokenizer, odd)))
         words = list({w for _, w, _ in plain if w not in self.words})
         for lo in range(0, len(words), WORDS_AT_ONCE):
             some = words[lo : lo + WORDS_AT_ONCE]
-            ids = self._encode([" ".join(some)])[0]
+            ids = self._encode(self.of_words, [" ".join(some)])[0]
             ends = ((np.flatnonzero(self.closes[np.frombuffer(ids, dtype=self.kind)]) + 1) * array(self.kind).itemsize).tolist()
             if len(ends) != len(some):
                 raise ValueError("the vocabulary doesn't mark the end of each word once")
             self.words.update((w, ids[i:j]) for w, i, j in zip(some, [0, *ends], ends))
         known, tails = self.words, self.chunks
-        self.chunks.update([(chunk, known[word] + tails[tail]) for chunk, word, tail in plain])
+        self.chunks.update([(chunk, known[word] + tails[marks] if marks else known[word]) for chunk, word, marks in plain])
 
     def _run(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE:
             self._forget()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(self.chunks.get, chunks)) for chunks in split]
-        lacking = [i for i, parts in enumerate(found) if None in parts]
+        chunks, ends = [], [0]
+        for text in texts:
+            chunks += text.replace("\n", " ").split(" ")
+            ends.append(len(chunks))
+        found = list(map(self.chunks.get, chunks))
+        lacking = list(compress(count(), map(is_, found, repeat(None))))
         if lacking:
-            self._learn({x for i in lacking for x, y in zip(split[i], found[i]) if y is None})
+            self._learn(list({chunks[i] for i in lacking}))
             for i in lacking:
-                found[i] = map(self.chunks.__getitem__, split[i])
-        return [b"".join(parts) for parts in found]
+                found[i] = self.chunks[chunks[i]]
+        return [b"".join(found[lo:hi]) for lo, hi in pairwise(ends)]
 
     def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in order; texts are looked up together, long ones in parts."""
@@ -137,7 +145,7 @@ class Encoder:
                 continue
             held.append(text)
             size += len(text)
-            if size > PART_CHARS:
+            if size > GROUP_CHARS:
                 yield from self._run(held)
                 held, size = [], 0
         yield from self._run(held)
