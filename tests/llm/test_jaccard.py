@@ -126,3 +126,20 @@ def test_oracle(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
     want = sorted(con.execute(queries.ORACLE_SQL["op6_ngram_jaccard"]).fetchall())
     assert sorted(tuple(r) for r in queries.op6_ngram_jaccard(spark, sf).collect()) == want
+
+
+def test_few_files_and_one_process_a_task(spark, monkeypatch):
+    """With many shuffle partitions, tables of a row per document or less are few files, and no
+    step of the join runs a chain of Python processes in its tasks."""
+    seen = []
+    for name in ("durable_once", "durable_freed"):
+        monkeypatch.setattr(jaccard, name, lambda df, *rows, f=getattr(jaccard, name): seen.append((df, f(df, *rows))) or seen[-1][1])
+    docs = spark.createDataFrame(corpus(3), "doc_id long, text string")
+    with common.settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="40"):
+        jaccard.JaccardJoin(docs, 5, 4, 5).run()
+    many = [df.columns for df in (written for _, written in seen) if len(df.inputFiles()) > 2]
+    assert not [c for c in many if c in (["n", "d1", "d2", "rep", "copies", *(f"m{i}" for i in range(6))], ["doc_id", "n_shingles", "rep"], ["doc_id", "n", "part"])]
+    assert not [c for c in many if "head" in c and "d1" not in c]
+    for plan, _ in seen:
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert not any("MapInArrow" in a and "MapInArrow" in b for a, b in zip(text.split("\n"), text.split("\n")[1:]))

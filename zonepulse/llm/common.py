@@ -30,13 +30,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def files(rows: int) -> int:
+    """Files that so many narrow rows fill."""
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have at most about so many narrow ``rows``, in no more tasks, and so files,
+    than they fill."""
+    return df.coalesce(files(rows))
+
+
 def durable(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back: later steps don't
     recompute it, and a lost executor loses nothing of it.  Where it is known to have at most
     so many narrow ``rows``, they are not dealt over more files than they fill."""
     spark = df.sparkSession
     if rows is not None:
-        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
+        df = few(df, rows)
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -77,9 +88,9 @@ def durable_once(df: DataFrame) -> DataFrame:
         return durable_freed(df)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """Connected components of ``links`` (a, b long): (id, root), root being one vertex of
-    the component, for every vertex that occurs.
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
+    """Connected components of ``links`` (a, b long), at most ``rows``, if that is known: (id,
+    root), root being one vertex of the component, for every vertex that occurs.
 
     Contraction: in each round every vertex moves to the neighbour (or itself) that comes
     first in a pseudo-random order of the round, and the links between what is left go on.
@@ -91,7 +102,8 @@ def components(links: DataFrame) -> DataFrame:
     links = durable(
         links.where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        .distinct(),
+        rows,
     )
     vertices = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id")))
     n = links.count()

@@ -25,15 +25,17 @@ null doc_id is returned with a null component.  Further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
-from .common import components, durable_freed, durable_once, small_batches
+from .common import components, durable_freed, durable_once, few, files, small_batches
 from .words import SMALL_SLICE, mix, shingle_sets, slices, words
 
 STARS = 6
@@ -250,6 +252,34 @@ def _similar(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], num: int, den
     return den * both >= num * (len(x[0]) + len(y[0]) - both)
 
 
+@dataclass
+class Heads:
+    """(doc_id, n, p, head, part), one row per distinct set under its smallest doc_id: ``once``,
+    and those of ``sketches`` (doc_id, n, p, head) that don't pass ``special``, parts of their own."""
+
+    once: DataFrame
+    sketches: DataFrame
+    special: Broadcast
+
+    def all(self) -> DataFrame:
+        others = self.sketches.mapInArrow(_passing(self.special, False), HEADS)
+        return self.once.union(others.withColumn("part", F.col("doc_id")))
+
+    def collect(self) -> list[Row]:
+        return self.all().collect()
+
+    def mapped(self, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+        """``run`` over all rows.  They are told apart and worked through by one Python process
+        of a task, not by a chain of them."""
+        other = _passing(self.special, False)
+
+        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return run(other(batches))
+
+        parts = self.sketches.withColumn("part", F.col("doc_id"))
+        return self.once.mapInArrow(run, schema).union(parts.mapInArrow(others, schema))
+
+
 class JaccardJoin:
     """Similarity join of ``docs`` (doc_id, text) at ``num / den`` on ``k``-word shingles."""
 
@@ -263,6 +293,7 @@ class JaccardJoin:
                 _sketches(k, num, den), f"doc_id long, n long, p int, d1 long, d2 long, {minima}, head array<long>"
             )
         )
+        self.size = self.sketches.count()  # tables of a row per document or less fill few files
 
     def _sizes_fit(self, a: str, b: str):
         return F.expr(f"{self.den} * least({a}, {b}) >= {self.num} * greatest({a}, {b})")
@@ -309,9 +340,8 @@ class JaccardJoin:
             columns = list(zip(*linked)) or [[], []]
             return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
-        return durable_once(
-            celled.groupBy("cell").cogroup(needed.join(sets, "id").groupBy("at")).applyInArrow(compare, "a long, b long")
-        )
+        linked = celled.groupBy("cell").cogroup(needed.join(sets, "id").groupBy("at")).applyInArrow(compare, "a long, b long")
+        return durable_once(linked.repartition(files(rows)))  # cells are compared in many tasks, the pairs are few files
 
     def groups(self) -> DataFrame:
         """One row per distinct set: its smallest doc_id ``rep`` and first tokens."""
@@ -320,10 +350,10 @@ class JaccardJoin:
             .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *(F.min(f"m{i}").alias(f"m{i}") for i in range(STARS)))
         )
 
-    def heads(self, groups: DataFrame, roots: DataFrame) -> DataFrame:
-        """(doc_id, n, p, head, part), one row per distinct set under its smallest doc_id.
-        ``roots`` (id, root) are the known components, which tie the copies of a set.  Only
-        sets with copies and documents with a component of their own are shuffled."""
+    def heads(self, groups: DataFrame, roots: DataFrame) -> Heads:
+        """The heads of all distinct sets.  ``roots`` (id, root) are the known components, which
+        tie the copies of a set.  Only sets with copies and documents with a component of their
+        own are shuffled."""
         special = bit_filter(groups.where("copies > 1").select("rep").union(roots.select("id")), ID_BITS)
         sketches = self.sketches.where("n > 0")
         once = (
@@ -332,8 +362,7 @@ class JaccardJoin:
             .join(roots, F.col("doc_id") == F.col("id"), "left")
             .select("doc_id", "n", "p", "head", F.coalesce("root", "doc_id").alias("part"))
         )
-        others = sketches.select("doc_id", "n", "p", "head").mapInArrow(_passing(special, False), HEADS)
-        return durable_once(once).union(others.withColumn("part", F.col("doc_id")))
+        return Heads(durable_once(few(once, self.size)), sketches.select("doc_id", "n", "p", "head"), special)
 
     def star_candidates(self, groups: DataFrame) -> DataFrame:
         """Each group with the smallest group of the same first token, if they agree under
@@ -350,18 +379,18 @@ class JaccardJoin:
             .groupBy(F.col("centre").alias("a"), F.col("rep").alias("b")).count().where("count >= 2").select("a", "b")
         )
 
-    def prefix_candidates(self, heads: DataFrame) -> DataFrame:
+    def prefix_candidates(self, heads: Heads) -> DataFrame:
         """All pairs of sets of different parts whose prefixes under order 1 meet."""
-        twice = heads.select(F.explode("head").alias("token")).groupBy("token").count().where("count > 1").select("token")
+        twice = heads.all().select(F.explode("head").alias("token")).groupBy("token").count().where("count > 1").select("token")
         shared = durable_once(
-            self._main_parts(heads.mapInArrow(_head_rows(bit_filter(twice, TOKEN_BITS)), HEAD_ROWS))
+            self._main_parts(heads.mapped(_head_rows(bit_filter(twice, TOKEN_BITS)), HEAD_ROWS))
         )
         heavy = bit_filter(shared.where(F.col("parts") > HEAVY).select("token"), TOKEN_BITS)
         crossing = bit_filter(shared.select("token"), TOKEN_BITS)
         # s tokens are shared up to the ranks i, j of the last one.  The prefix that ends first
         # in the order holds no further shared token, so at most its side's rest beyond the
         # prefix, or the other side's beyond the last shared token, can follow.
-        light = durable_once(heads.mapInArrow(_head_rows(crossing, heavy), HEAD_ROWS))
+        light = durable_once(heads.mapped(_head_rows(crossing, heavy), HEAD_ROWS))
         most = "s + greatest(least(n1 - p1, n2 - j - 1), least(n2 - p2, n1 - i - 1))"
         usual = (
             self._met_once(light, shared)
@@ -370,7 +399,8 @@ class JaccardJoin:
             .where(F.expr(f"{self.den + self.num} * ({most}) >= {self.num} * (n1 + n2)"))
             .select("doc_id1", "doc_id2")
         )
-        short = durable_once(heads.mapInArrow(_short_documents(heavy), "doc_id long, n long, part long").distinct())
+        short = heads.mapped(_short_documents(heavy), "doc_id long, n long, part long").distinct()
+        short = durable_once(few(short, self.size))
         found = usual.union(self._short_candidates(short, heavy, heads))
         return found.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
 
@@ -403,7 +433,7 @@ class JaccardJoin:
             "part1 <> part2 and doc_id1 <> doc_id2"
         ).where(self._sizes_fit("n1", "n2"))
 
-    def _short_candidates(self, short: DataFrame, heavy, heads: DataFrame) -> DataFrame:
+    def _short_candidates(self, short: DataFrame, heavy, heads: Heads) -> DataFrame:
         """Candidates of the documents whose heads hold too few light tokens for a prefix:
         versions of one text that differ too much to be tied by stars, mostly.  Their whole
         sets are ranked.  Among themselves the order is by rarity (counts of tokens in a
@@ -425,47 +455,51 @@ class JaccardJoin:
                 _whole_prefixes(self.k, self.num, self.den, wanted, rarity, heavy), "token long, doc_id long, rank int, kind int"
             )
         )
+        rows = prefixes.count()
         needed = f"(({self.num} * (n1 + n2) + {self.num + self.den - 1}) div {self.num + self.den})"
         rare = prefixes.where("kind = 0").drop("kind")
         twice = rare.groupBy("token").count().where("count > 1").select("token")
-        rare = self._with_parts(rare, twice, short)
+        rare = self._with_parts(rare, twice, short, rows)
         among = self._met_once(rare, self._main_parts(rare)).where(
             F.expr(f"rank1 <= n1 - {needed} and rank2 <= n2 - {needed}")
         )
         light = prefixes.where("kind = 1").select("token", "doc_id")
         others = durable_once(
-            heads.mapInArrow(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
+            heads.mapped(_head_rows(bit_filter(light.select("token"), TOKEN_BITS)), HEAD_ROWS)
             .join(short.select("doc_id", "n"), ["doc_id", "n"], "left_anti").select("token", "doc_id", "n", "part")
         )
-        light = self._with_parts(light, others.select("token"), short)
+        light = self._with_parts(light, others.select("token"), short, rows)
         return among.select("doc_id1", "doc_id2").union(self._met(light, others).select("doc_id1", "doc_id2"))
 
-    def _with_parts(self, rows: DataFrame, tokens: DataFrame, short: DataFrame) -> DataFrame:
-        """``rows`` (token, doc_id, ...) whose token may be one of ``tokens``, with the size and
-        part of their document."""
+    def _with_parts(self, rows: DataFrame, tokens: DataFrame, short: DataFrame, most: int) -> DataFrame:
+        """``rows`` (token, doc_id, ...), at most ``most``, whose token may be one of ``tokens``,
+        with the size and part of their document."""
         met = rows.mapInArrow(_passing(bit_filter(tokens, TOKEN_BITS), True), rows.schema)
-        return durable_freed(met.join(short, "doc_id"))
+        return durable_freed(few(met.join(short, "doc_id"), most))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), one row per input row."""
-        groups = durable_freed(self.groups())
-        tied = self.verified(self.star_candidates(groups))
-        members = durable_freed(
+        groups = durable_freed(few(self.groups(), self.size))
+        tied = self.verified(few(self.star_candidates(groups), STARS * self.size))
+        members = few(
             self.sketches.select("doc_id", "n", "d1", "d2")
             .join(groups.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")),
+            self.size,
         )
+        members = durable_freed(members)
         # a vertex may have several sets if its doc_id is repeated: those are links too
         same_id = members.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         links = tied.union(same_id)
-        roots = components(links)
+        roots = components(links, tied.count() + self.size)
         parts = members.select("doc_id").distinct().join(roots, F.col("doc_id") == F.col("id"), "left")
         parts = parts.select(F.col("doc_id").alias("id"), F.coalesce("root", "doc_id").alias("part"))
         crossing = self.verified(self.prefix_candidates(self.heads(groups, roots)))
         joined = components(
             crossing.join(parts.select(F.col("id").alias("a"), F.col("part").alias("pa")), "a")
             .join(parts.select(F.col("id").alias("b"), F.col("part").alias("pb")), "b")
-            .select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+            .select(F.col("pa").alias("a"), F.col("pb").alias("b")),
+            crossing.count(),
         )
         whole = parts.join(joined.select(F.col("id").alias("part"), F.col("root")), "part", "left").select(
             F.col("id").alias("doc_id"), F.coalesce("root", "part").alias("root")
