@@ -111,3 +111,51 @@ def test_tokens_come_in_bounded_groups(monkeypatch):
     whole = np.concatenate([g[0] for g in groups])
     monkeypatch.setattr(lmscore, "GROUP_TOKENS", 1 << 30)
     assert (whole == next(lmscore._tokens(iter([batch, batch])))[0]).all()
+
+
+def test_difference_is_the_score_of_the_fitted_documents(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "GROUP_TOKENS", 40)
+    rnd = random.Random(9)
+    rows = [(i, " ".join(f"w{int(rnd.paretovariate(0.7)) % 90}" for _ in range(rnd.randint(0, 30)))) for i in range(60)]
+    rows += [rows[3], rows[3], (70, None), (71, " \t"), (None, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 4)] + [(3, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    good = {*range(0, 60, 4), 3}
+    keyed = [(n if i is None or n > 59 else i, t) for n, (i, t) in enumerate(rows)]
+    want = plain(keyed, good | {60, 61}, 2)
+    order = lambda rows: sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id, r.n_tokens))
+    whole = order(lmscore.score(docs, lmscore.fit(docs, labels)).collect())
+    for bits in (3, 20):
+        got = order(lmscore.difference(docs, labels, bits).collect())
+        assert len(got) == len(rows)
+        for r, s in zip(got, whole):
+            assert (r.doc_id, r.n_tokens) == (s.doc_id, s.n_tokens)
+            n, target, background = want[64 if r.doc_id is None else {70: 62, 71: 63}.get(r.doc_id, r.doc_id)]
+            assert r.n_tokens == n and (r.score is None) == (n == 0)
+            if n:
+                assert max(abs(r.loss_target - target), abs(r.loss_background - background)) < 1e-9
+                assert max(abs(s.loss_target - target), abs(s.loss_background - background)) < 1e-9
+
+
+def test_scores_texts_that_were_not_fitted(spark):
+    docs = spark.createDataFrame([(1, "a b a b c"), (2, "a b d d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    model = lmscore.fit(docs, labels)
+    new = spark.createDataFrame([(1, "a b a b c"), (5, "zz a b"), (6, "new words")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lmscore.score(new, model).collect()}
+    assert abs(got[1].score - {r.doc_id: r for r in lmscore.difference(docs, labels).collect()}[1].score) < 1e-12
+    assert got[5].n_tokens == 3 and got[6].n_tokens == 2
+    unknown = (9 - 8 + 0.5) / (9 + 0.5 * 4)  # c of 9 tokens; a, b and d are known words
+    # the first word stands after the start sign, all of whose bigrams (two "a") are listed
+    assert abs(got[6].loss_background + (math.log(0.3 * unknown) + math.log(unknown)) / 2) < 1e-9
+
+
+def test_a_frequent_word_is_asked_for_once_a_block(spark):
+    # one row of arrays a block and part is shuffled, not one a token
+    text = pa.array([" ".join(["the", "of"] * 500)] * 50)
+    batch = pa.RecordBatch.from_arrays([text, pa.array([True] * 50), pa.array(range(50))], names=["text", "good", "id"])
+    (block,) = (r for b in lmscore._blocks(iter([batch])) for r in b.to_pylist())
+    assert (block["n"], block["n_words"], block["n_texts"], block["target"]) == (50_000, 4, 50, 50_000)
+    own = lmscore.Block.of(block)
+    asked = lmscore._asked(block["block"], own.words, 3, b=np.bincount(own.tokens, minlength=4))
+    assert sum(asked["n"].to_pylist()) == 4 and asked.nbytes < 1000

@@ -11,12 +11,15 @@ that occur twice at least, whatever the size of the corpus; words that occur onc
 unknown word.  Bigrams are listed by the same rule.  Words are lower-cased (A-Z); a document
 starts after a start sign.
 
-The model is two durable tables, of words and of listed bigrams, that grow with the corpus.
-The loss of a bigram that isn't listed is a sum of a term of each word, and a listed one adds
-a correction; so a document's loss is a sum over joins of its words and bigrams with the two
-tables.  Words and bigrams that make at least one in ``2 ** SHARE_BITS`` of all tokens (at
-most so many) are looked up in a broadcast copy instead of the join: it is the same entry, and
-no join key is more frequent than that.
+Tokens are kept in blocks: the distinct words of some 2 ** 19 tokens, and each token's place among
+them.  A block asks for each of its words and bigrams once, in packed arrays dealt by hash over
+parts of about ``2 ** part_bits`` tokens, and a part's task counts or looks them up and answers
+every block in the order asked.  So a frequent word is one key of a block and no hot spot, and
+what is shuffled is a few bytes for each distinct bigram of a block.  Once a block knows which
+of its words occur once, it counts and asks for bigrams with the unknown word in their place.
+
+The model is two durable tables of such parts, of words and of listed bigrams with their counts,
+that grow with the corpus.
 
 A document's ``score`` is its loss per token under the target model minus that under the
 background model: lower is more like the target.  Null and empty texts, and all documents if
@@ -27,55 +30,67 @@ count; a null doc_id is scored.  Further columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
 from .common import durable_once
-from .words import BASE, Words, mix, slices, words
+from .words import BASE, mix, slices, words
 
-SHARE_BITS = 20
+PART_BITS = 20
 ID_BITS = 23
-PAIR_BITS = 26
 LAMBDA = 0.7
 SMOOTH = 0.5
-GROUP_TOKENS = 1 << 19  # tokens counted at once in a task
-BATCH_ROWS = 1 << 16  # rows of a batch of counts
-MIN_COUNT = 2  # words below occur once, which _unknown_pairs() needs
-UNKNOWN, START, END = 1, 2, 3  # in the place of a word's hash
+GROUP_TOKENS = 1 << 19  # tokens of a block
+MIN_COUNT = 2
+UNKNOWN, START = 1, 2  # in the place of a word's hash; the first two words of every block
 
 
 @dataclass
 class Model:
-    """``words``: per known word (and UNKNOWN, START) its own and its context's part of the loss
-    (own_b, own_t, g_b, g_t) and the corrections of the bigrams with the unknown word after it
-    (lu_b, lu_t) and before it (ru_b, ru_t).  ``pairs``: corrections (d_b, d_t) of the other
-    listed bigrams.  b: background model, t: target model."""
+    """``words``: counts of known words (b, t) and of the listed bigrams that start with them
+    (kept_b, kept_t), the latter of UNKNOWN and START too.  ``pairs``: counts (b, t) of the listed
+    bigrams by ``pair_keys``.  Both are rows of packed arrays, one a part at most; b: background
+    model, t: target model."""
 
     words: DataFrame
     pairs: DataFrame
     total: tuple[int, int]
-    hot: int  # words and bigrams of so many tokens are broadcast
+    inside: tuple[int, int]  # tokens that are known words
+    size: int  # known words
+    bits: int  # there are 2 ** bits parts
+
 
+def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return mix(mix(before) * np.uint64(BASE) + after)
 
-def neighbours(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each word, of the word before (or START) and of the word after (or END)."""
-    h = w.hashes.view(np.int64)
-    before, after = np.roll(h, 1), np.roll(h, -1)
-    filled = np.diff(w.first) > 0
-    before[w.first[:-1][filled]] = START
-    after[w.first[1:][filled] - 1] = END
-    return h, before, after
 
+def packed(values: np.ndarray) -> bytes:
+    """Compressed plane by plane: first the lowest bytes of all values, at last the highest."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    return mix(mix(before.view(np.uint64)) * np.uint64(BASE) + after.view(np.uint64)).view(np.int64)
+
+def unpacked(data: bytes, n: int, dtype: type = np.int64) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=n * size, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(dtype).reshape(n)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """``packed`` for sorted keys: their steps are smaller numbers."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, n, np.uint64), dtype=np.uint64)
 
 
 def places(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,27 +101,35 @@ def places(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == keys
 
 
-def _grouped(keys: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of one token of each key, and the key's tokens in all documents and in the target."""
-    order = np.argsort(keys, kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
-    return order[edges], np.diff(np.append(edges, len(keys))), np.add.reduceat(good[order].astype(np.int64), edges)
+def parts_of(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """Parts of sorted keys (by their highest ``bits``) and where they lie."""
+    edges = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    edges = np.append(edges, len(keys))
+    for part in np.flatnonzero(np.diff(edges)):
+        yield int(part), slice(edges[part], edges[part + 1])
+
 
+def _sums(places: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+    return np.bincount(places, values, n).astype(np.int64)
 
-Texts = Iterator[pa.RecordBatch]  # (text, good): whether a text is of the target
+
+Texts = Iterator[pa.RecordBatch]  # (text, good, id): whether a text is of the target
 
 
 def _tokens(texts: Texts) -> Iterator[list[np.ndarray]]:
-    """Hashes of the tokens of (text, good), of those before and after, and whether good: in
-    groups of about ``GROUP_TOKENS``, whatever a batch holds."""
+    """Hashes of the tokens of (text, further columns), whether each is the first of its text, and
+    its text's values of these columns: in groups of about ``GROUP_TOKENS``, whatever a batch
+    holds.  No text is cut."""
     held: list[tuple] = []
     size = 0
     for batch in texts:
-        good = batch.column(1).to_numpy(zero_copy_only=False)
+        values = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
         for lo, hi, data, bounds in slices(batch.column(0)):
             w = words(data, bounds, lower=True)
-            held.append((*neighbours(w), good[lo:hi][w.row]))
-            size += len(held[-1][0])
+            first = np.zeros(len(w.hashes), dtype=bool)
+            first[w.first[:-1][np.diff(w.first) > 0]] = True
+            held.append((w.hashes, first, *(v[lo:hi][w.row] for v in values)))
+            size += len(w.hashes)
             if size >= GROUP_TOKENS:
                 yield [np.concatenate(x) for x in zip(*held)]
                 held, size = [], 0
@@ -114,36 +137,74 @@ def _tokens(texts: Texts) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(x) for x in zip(*held)]
 
 
-def _in_batches(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, len(columns[0]), BATCH_ROWS):
-        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + BATCH_ROWS]) for c in columns], names=names)
+def _rows(rows: list[dict], schema: str) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [(name, types[kind]) for name, kind in (column.split() for column in schema.split(", "))]
+    return pa.Table.from_pylist(rows, schema=pa.schema(fields))
 
 
-WORD_COUNTS = "key long, b long, t long, before long, after long"
-PAIR_COUNTS = "v long, w long, b long, t long"
+BLOCK = "block long, n int, n_words int, n_texts int, target long, words binary, tokens binary, first binary, good binary, id binary"
+ASKED = "part int, block long, n int, keys binary, b binary, t binary, kept_b binary, kept_t binary"
+COUNTED = "block long, pairs int, part int, n int, keys binary, b binary, t binary, kept_b binary, kept_t binary, sum_b long, sum_t long"
+COUNTS = ["b", "t", "kept_b", "kept_t"]
 
 
-def _word_counts(texts: Texts) -> Iterator[pa.RecordBatch]:
-    """(key, b, t, before, after) of words, summed per group of tokens; neighbours of words with b = 1."""
-    for h, before, after, good in _tokens(texts):
-        at, b, t = _grouped(h, good)
-        columns = [h[at], b, t, np.where(b == 1, before[at], 0), np.where(b == 1, after[at], 0)]
-        yield from _in_batches(columns, ["key", "b", "t", "before", "after"])
+def _blocks(texts: Texts) -> Iterator[pa.RecordBatch]:
+    """Blocks of (text, good, id): their words (sorted, UNKNOWN and START first), the places of their
+    tokens among them, and the texts' first tokens.  Texts without words are left out."""
+    for h, first, good, ids in _tokens(texts):
+        own, at = np.unique(np.concatenate([np.array([UNKNOWN, START], dtype=np.uint64), h]), return_inverse=True)
+        first = np.flatnonzero(first)
+        row = {
+            "block": uuid.uuid4().int >> 65, "n": len(h), "n_words": len(own), "n_texts": len(first), "target": int(good.sum()),
+            "words": packed_keys(own), "tokens": packed(at[2:].astype(np.int32)),
+            "first": packed(first), "good": packed(good[first].view(np.uint8)), "id": packed(ids[first]),
+        }
+        yield from _rows([row], BLOCK).to_batches()
 
 
-def _pair_counts(texts: Texts) -> Iterator[pa.RecordBatch]:
-    """(v, w, b, t) of bigrams, summed per group of tokens; in order of v, which shuffles smaller."""
-    for h, before, _, good in _tokens(texts):
-        at, b, t = _grouped(pair_keys(before, h), good)
-        order = np.argsort(before[at], kind="stable")
-        at = at[order]
-        yield from _in_batches([before[at], h[at], b[order], t[order]], ["v", "w", "b", "t"])
+@dataclass
+class Block:
+    """A block read back."""
+
+    words: np.ndarray
+    tokens: np.ndarray
+    first: np.ndarray
+    good: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict) -> Block:
+        return cls(
+            unpacked_keys(row["words"], row["n_words"]), unpacked(row["tokens"], row["n"], np.int32).astype(np.int64),
+            unpacked(row["first"], row["n_texts"]), unpacked(row["good"], row["n_texts"], np.uint8), unpacked(row["id"], row["n_texts"]),
+        )
+
+    def lengths(self) -> np.ndarray:
+        return np.diff(np.append(self.first, len(self.tokens)))
+
+    def in_target(self) -> np.ndarray:
+        """Of each token, whether its text is good."""
+        return np.repeat(self.good, self.lengths())
+
+    def codes(self, known: np.ndarray) -> np.ndarray:
+        """A number for each token's bigram, in order of the word before; words that aren't known
+        are UNKNOWN."""
+        after = np.where(known[self.tokens], self.tokens, 0)
+        before = np.roll(after, 1)
+        before[self.first] = 1
+        return before * len(self.words) + after
+
+    def split(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of both words of bigrams, and the bigrams' keys."""
+        before, after = np.divmod(codes, len(self.words))
+        return before, after, pair_keys(self.words[before], self.words[after])
 
 
 @dataclass
 class Tagged:
-    """Documents and, of those that can be good by ``wanted``, (text, good): whether each text is
-    of a good, not toxic document.  Only these are shuffled."""
+    """Documents (doc_id, text, id) and, of those that can be good by ``wanted``, (text, good, id):
+    whether each text is of a good, not toxic document.  Only these are shuffled."""
 
     docs: DataFrame
     wanted: Broadcast
@@ -159,8 +220,8 @@ class Tagged:
 
             def texts() -> Texts:
                 for batch in batches:
-                    text = batch.column(1).filter(pa.array(~_may_be(batch.column(0), test)))
-                    yield pa.RecordBatch.from_arrays([text, pa.array(np.zeros(len(text), dtype=bool))], names=["text", "good"])
+                    text, ids = (batch.column(i).filter(pa.array(~_may_be(batch.column(0), test))) for i in (1, 2))
+                    yield pa.RecordBatch.from_arrays([text, pa.array(np.zeros(len(text), dtype=bool)), ids], names=["text", "good", "id"])
 
             return count(texts())
 
@@ -184,198 +245,240 @@ def tagged(docs: DataFrame, labels: DataFrame) -> Tagged:
         for batch in batches:
             yield batch.filter(pa.array(_may_be(batch.column(0), test)))
 
-    can = docs.mapInArrow(candidates, "doc_id long, text string").join(ids, F.col("doc_id") == F.col("label_id"), "left")
-    return Tagged(docs, wanted, can.select("text", F.col("label_id").isNotNull().alias("good")))
+    can = docs.mapInArrow(candidates, "doc_id long, text string, id long").join(ids, F.col("doc_id") == F.col("label_id"), "left")
+    return Tagged(docs, wanted, can.select("text", F.col("label_id").isNotNull().alias("good"), "id"))
 
 
-def _sums(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+def _merged(rows: list[dict], names: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Keys of a part's rows, each once; the place of each row's keys among them; the sums of columns."""
+    keys, at = np.unique(np.concatenate([unpacked_keys(r["keys"], r["n"]) for r in rows]), return_inverse=True)
+    none = [np.zeros(r["n"] if any(r[c] is None for c in names) else 0, dtype=np.int64) for r in rows]
+    values = ([unpacked(r[c], r["n"]) if r[c] is not None else z for r, z in zip(rows, none)] for c in names)
+    return keys, at, [_sums(at, len(keys), np.concatenate(v)) for v in values]
 
 
-def _unknown_pairs(counted: DataFrame, known: DataFrame) -> DataFrame:
-    """(v, w, b, t) of the bigrams with the unknown word: each word that occurs once has one
-    word before and one after it.  Summed by the neighbour before the join with the vocabulary."""
-    once = counted.where(F.col("b") < MIN_COUNT)
-    ids = known.select("key", F.lit(True).alias("known"))
-    unknown = F.lit(UNKNOWN).cast("long")
-    before = _sums(once.select(F.col("before").alias("key"), "b", "t"), "key").join(ids, "key", "left")
-    after = _sums(once.where(F.col("after") != END).select(F.col("after").alias("key"), "b", "t"), "key").join(ids, "key")
-    before = before.select(F.when(F.col("known") | (F.col("key") == START), F.col("key")).otherwise(unknown).alias("v"), unknown.alias("w"), "b", "t")
-    return _sums(before.union(after.select(unknown.alias("v"), F.col("key").alias("w"), "b", "t")), "v", "w")
+def _answered(rows: list[dict], at: np.ndarray, pairs: int, columns: dict[str, np.ndarray]) -> list[dict]:
+    """For each block that asked, the values of its keys in their order."""
+    edges = np.cumsum([0, *(r["n"] for r in rows)])
+    return [
+        {"block": r["block"], "pairs": pairs, "part": r["part"], "n": r["n"], **{c: packed(v[at[lo:hi]]) for c, v in columns.items()}}
+        for r, lo, hi in zip(rows, edges, edges[1:])
+        if r["block"] is not None
+    ]
 
 
-def fit(docs: DataFrame, labels: DataFrame, share_bits: int = SHARE_BITS) -> Model:
-    """The two models as tables."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = tagged(docs, labels)
-    counted = durable_once(
-        texts.counts(_word_counts, WORD_COUNTS).groupBy("key")
-        .agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.max("before").alias("before"), F.max("after").alias("after"))
-    )
-    known = counted.where(F.col("b") >= MIN_COUNT)
-    total = [x or 0 for x in counted.agg(F.sum("b"), F.sum("t")).first()]
-    size, *inside = [x or 0 for x in known.agg(F.count("*"), F.sum("b"), F.sum("t")).first()]
-    listed = durable_once(
-        _sums(texts.counts(_pair_counts, PAIR_COUNTS), "v", "w").union(_unknown_pairs(counted, known)).where(F.col("b") >= MIN_COUNT)
-    )
+def _count(rows: pa.Table, pairs: int) -> pa.Table:
+    """Of one part: the counts (0 of those below MIN_COUNT) for each block, and as an entry of the
+    model (block null)."""
+    asked = rows.to_pylist()
+    keys, at, (b, t) = _merged(asked, ["b", "t"])
+    listed = b >= MIN_COUNT
+    out = _answered(asked, at, pairs, {"b": b * listed, "t": t * listed})
+    if listed.any():
+        b, t = b[listed], t[listed]
+        entry = {"keys": packed_keys(keys[listed]), "b": packed(b), "t": packed(t), "sum_b": int(b.sum()), "sum_t": int(t.sum())}
+        out.append({"pairs": pairs, "part": asked[0]["part"], "n": len(b), **entry})
+    return _rows(out, COUNTED)
 
-    # the start sign comes before as many tokens as there are documents with a word; its listed
-    # pairs are all that is known of it, and it is always followed by one of them or a rare word
-    signs = spark.createDataFrame([(UNKNOWN, total[0] - inside[0], total[1] - inside[1]), (START, 0, 0)], "key long, b long, t long")
-    kept = listed.groupBy(F.col("v").alias("key")).agg(F.sum("b").alias("kept_b"), F.sum("t").alias("kept_t"))
-    parts = known.select("key", "b", "t").union(signs).join(kept, "key", "left").fillna(0)
-    for m, n in zip("bt", total):
-        context = F.greatest(F.col(m), F.col(f"kept_{m}"), F.lit(1))
-        parts = parts.withColumns({
-            f"word_{m}": (F.col(m) + SMOOTH) / (n + SMOOTH * (size + 1)),
-            f"room_{m}": context - LAMBDA * F.col(f"kept_{m}"),
-            f"g_{m}": -F.log(1 - LAMBDA * F.col(f"kept_{m}") / context),
-        })
-    parts = durable_once(parts.drop("kept_b", "kept_t"))
 
-    rooms = parts.select(F.col("key").alias("v"), "room_b", "room_t")
-    chances = parts.select(F.col("key").alias("w"), "word_b", "word_t")
+def _add_kept(rows: pa.Table) -> pa.Table:
+    """Of one part of the words: their counts with the sums of the bigrams kept, for each block, and
+    as an entry of the model (block null)."""
+    found = rows.to_pylist()
+    keys, at, sums = _merged(found, COUNTS)
+    sums = dict(zip(COUNTS, sums))
+    out = _answered(found, at, 0, sums)
+    some = (sums["b"] > 0) | (sums["kept_b"] > 0)
+    if some.any():
+        out.append({"pairs": 0, "part": found[0]["part"], "n": int(some.sum()), "keys": packed_keys(keys[some]), **{c: packed(v[some]) for c, v in sums.items()}})
+    return _rows(out, COUNTED)
 
-    def correction(m: str) -> Column:
-        return (-F.log1p(LAMBDA * F.col(m) / (F.col(f"room_{m}") * F.col(f"word_{m}")))).alias(f"d_{m}")
 
-    pairs = durable_once(listed.join(rooms, "v").join(chances, "w").select("v", "w", "b", correction("b"), correction("t")))
-    after = pairs.where(F.col("w") == UNKNOWN).select(F.col("v").alias("key"), F.col("d_b").alias("lu_b"), F.col("d_t").alias("lu_t"))
-    before = pairs.where((F.col("v") == UNKNOWN) & (F.col("w") != UNKNOWN)).select(F.col("w").alias("key"), F.col("d_b").alias("ru_b"), F.col("d_t").alias("ru_t"))
-    own = [(F.col(f"g_{m}") - F.log(f"word_{m}")).alias(f"own_{m}") for m in "bt"]
-    table = parts.join(after, "key", "left").join(before, "key", "left").fillna(0.0).select("key", "b", *own, *VALUES[2:])
+def _beside(left: DataFrame, right: DataFrame, function: Callable[[pa.Table, pa.Table], pa.Table], schema: str, key: str = "block") -> DataFrame:
+    """``function`` of the rows of each key of ``left`` and those of ``right`` (maybe none)."""
 
-    return Model(durable_once(table), pairs.where(f"v <> {UNKNOWN} and w <> {UNKNOWN}"), tuple(total), max(MIN_COUNT, -(-total[0] // 2**share_bits)))
+    def both(a: pa.Table, b: pa.Table) -> pa.Table:
+        return function(a, b) if a.num_rows else _rows([], schema)
 
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(both, schema)
 
-VALUES = ["own_b", "own_t", "g_b", "g_t", "lu_b", "lu_t", "ru_b", "ru_t"]
 
+def _joined(answers: list[dict], column: str) -> np.ndarray:
+    """A block's answers of all parts, in order of the keys."""
+    return np.concatenate([unpacked(r[column], r["n"]) for r in sorted(answers, key=lambda r: r["part"])])
 
-def _columns(table: pa.Table, names: list[str]) -> np.ndarray:
-    return np.stack([table[c].to_numpy() for c in names], axis=1).reshape(-1, len(names))
 
+def _split(answers: pa.Table) -> tuple[list[dict], list[dict]]:
+    """Answers on words and on bigrams."""
+    found = answers.to_pylist()
+    return [r for r in found if not r["pairs"]], [r for r in found if r["pairs"]]
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, loss_target, loss_background, score) of every document."""
-    context = docs.sparkSession.sparkContext
-    signs = {r.key: r for r in model.words.where(F.col("key").isin(UNKNOWN, START)).collect()}
-    unknown, start = (np.array([signs[k][c] for c in VALUES]) for k in (UNKNOWN, START))
-    hot = model.words.where((F.col("b") >= model.hot) & ~F.col("key").isin(UNKNOWN, START)).toArrow().sort_by("key")
-    often = model.pairs.where(F.col("b") >= model.hot).toArrow()
-    keys = pair_keys(often["v"].to_numpy(), often["w"].to_numpy())
-    order = np.argsort(keys)
-    shared = context.broadcast((hot["key"].to_numpy(), _columns(hot, VALUES), keys[order], _columns(often, ["d_b", "d_t"])[order]))
-
-    def pairs_by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v, w = (batch.column(i).to_numpy() for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_keys(v, w)), batch.column(2), batch.column(3)], names=["key", "d_b", "d_t"])
 
-    rarer = model.pairs.where(F.col("b") < model.hot).select("v", "w", "d_b", "d_t").mapInArrow(pairs_by_key, "key long, d_b double, d_t double")
-    maybe = bit_filter(rarer.select("key"), PAIR_BITS)
+def _asked(block: int, keys: np.ndarray, bits: int, **columns: np.ndarray) -> pa.Table:
+    out = [
+        {"part": part, "block": block, "n": of.stop - of.start, "keys": packed_keys(keys[of]), **{c: packed(v[of]) for c, v in columns.items()}}
+        for part, of in parts_of(keys, bits)
+    ]
+    return _rows(out, ASKED)
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, values, often, corrections = shared.value
-        for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(2)):
-                w = words(data, bounds, lower=True)
-                h, before, after = neighbours(w)
-                n = np.diff(w.first)
-                each = np.zeros((len(h), 2))
-                at, found = places(h, hot)
-                if found.any():
-                    each[found] += values[at[found], :2]
-                    last = found & (after == END)
-                    each[last] -= values[at[last], 2:4]
-                at, found = places(pair_keys(before, h), often)
-                if found.any():
-                    each[found] += corrections[at[found]]
-                sums = [np.bincount(w.row, each[:, m], hi - lo) + (n > 0) * start[2 + m] for m in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(i).slice(lo, hi - lo) for i in (0, 1)] + [pa.array(x) for x in (n, np.ones(hi - lo, np.int64), *sums)],
-                    names=["id", "doc_id", "n", "copies", "b", "t"],
-                )
-
-    def rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, test = shared.value[2], tester(maybe)
-        for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(2)):
-                w = words(data, bounds, lower=True)
-                h, before, _ = neighbours(w)
-                keys = pair_keys(before, h)
-                go = np.flatnonzero(test(keys))
-                go = go[~places(keys[go], often)[1]]
-                ids = batch.column(0).to_numpy()[lo:hi]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[w.row[go]]), pa.array(keys[go])], names=["id", "key"])
-
-    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+@dataclass
+class Corpus:
+    """Blocks of texts, and what they were answered: ``answers`` (pairs = 0) on their words and
+    (pairs = 1) on their bigrams."""
+
+    blocks: DataFrame
+    answers: DataFrame
+
+
+def _answers(table: DataFrame) -> DataFrame:
+    return table.where("block is not null").select("block", "pairs", "part", "n", *COUNTS)
+
+
+def _entries(table: DataFrame) -> DataFrame:
+    return table.where("block is null").select("part", "n", "keys", *COUNTS)
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("id"))
+
+
+def _fit(docs: DataFrame, labels: DataFrame, part_bits: int) -> tuple[Model, Corpus]:
+    """The model, and the fitted texts with their answers."""
+    blocks = durable_once(tagged(_documents(docs), labels).counts(_blocks, BLOCK))
+    total = [x or 0 for x in blocks.agg(F.sum("n"), F.sum("target")).first()]
+    bits = max(1, (total[0] >> part_bits).bit_length())
+
+    def words_asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, bounds in slices(batch.column(2)):
-                w = words(data, bounds, lower=True)
-                h, before, after = neighbours(w)
-                go = np.flatnonzero(~places(h, shared.value[0])[1])
-                ids = batch.column(0).to_numpy()[lo:hi]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (ids[w.row[go]], h[go], before[go], after[go])], names=["id", "key", "before", "after"]
-                )
-
-    def beside_unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What is known of an unknown word's loss here; a neighbour that isn't goes on to the join."""
-        hot, values = shared.value[:2]
+            for row in batch.to_pylist():
+                own = Block.of(row)
+                b = np.bincount(own.tokens, minlength=len(own.words))
+                t = _sums(own.tokens, len(own.words), own.in_target())
+                yield from _asked(row["block"], own.words, bits, b=b, t=t).to_batches()
+
+    def pairs_asked(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = blocks.to_pylist()[0]
+        own = Block.of(row)
+        codes, at, b = np.unique(own.codes(_joined(answers.to_pylist(), "b") > 0), return_inverse=True, return_counts=True)
+        t = _sums(at, len(codes), own.in_target())
+        keys = own.split(codes)[2]
+        order = np.argsort(keys)
+        return _asked(row["block"], keys[order], bits, b=b[order], t=t[order])
+
+    def kept_asked(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        """Of a block's words, how many of its tokens are listed bigrams that start with each."""
+        row = blocks.to_pylist()[0]
+        own = Block.of(row)
+        of_words, of_pairs = _split(answers)
+        codes, at, b = np.unique(own.codes(_joined(of_words, "b") > 0), return_inverse=True, return_counts=True)
+        t = _sums(at, len(codes), own.in_target())
+        before, _, keys = own.split(codes)
+        listed = np.empty(len(codes), dtype=bool)
+        listed[np.argsort(keys)] = _joined(of_pairs, "b") > 0
+        kept_b, kept_t = (_sums(before[listed], len(own.words), x[listed]) for x in (b, t))
+        return _asked(row["block"], own.words, bits, kept_b=kept_b, kept_t=kept_t)
+
+    words = durable_once(blocks.mapInArrow(words_asked, ASKED).groupBy("part").applyInArrow(lambda rows: _count(rows, 0), COUNTED))
+    size, *inside = [x or 0 for x in words.where("block is null").agg(F.sum("n"), F.sum("sum_b"), F.sum("sum_t")).first()]
+    asked = _beside(blocks, _answers(words), pairs_asked, ASKED)
+    pairs = durable_once(asked.groupBy("part").applyInArrow(lambda rows: _count(rows, 1), COUNTED))
+    kept = _beside(blocks, _answers(words).union(_answers(pairs)), kept_asked, ASKED)
+    own = _entries(words).withColumn("block", F.lit(None).cast("long"))
+    table = durable_once(kept.unionByName(own).groupBy("part").applyInArrow(_add_kept, COUNTED))
+    model = Model(_entries(table), _entries(pairs), tuple(total), tuple(inside), size, bits)
+    return model, Corpus(blocks, _answers(table).union(_answers(pairs)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, part_bits: int = PART_BITS) -> Model:
+    """The two models as tables."""
+    return _fit(docs, labels, part_bits)[0]
+
+
+def _ask(docs: DataFrame, model: Model) -> Corpus:
+    """Texts and what ``model`` answers them."""
+    bits = model.bits
+
+    def words_asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, before, after = (batch.column(i).to_numpy() for i in range(3))
-            each = np.tile(unknown[:2], (len(ids), 1))
-            each[before == START] += start[4:6]
-            each[after == END] -= unknown[2:4]
-            left_at, left = places(before, hot)
-            right_at, right = places(after, hot)
-            if len(hot):
-                each[left] += values[left_at[left], 4:6]
-                each[right] += values[right_at[right], 6:8]
-            left, right = ~left & (before != START), ~right & (after != END)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([ids, ids[left], ids[right]])),
-                    pa.array(np.concatenate([np.zeros(len(ids), np.int64), before[left], after[right]])),
-                    pa.array(np.repeat(np.array([0, 1, 2], np.int32), [len(ids), left.sum(), right.sum()])),
-                    *[pa.array(np.concatenate([each[:, m], np.zeros(left.sum() + right.sum())])) for m in (0, 1)],
-                ],
-                names=["id", "key", "side", "b", "t"],
-            )
-
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    source = source.select(F.xxhash64("doc_id", "text").alias("id"), "doc_id", "text")
-    table = model.words.where(~F.col("key").isin(UNKNOWN, START))
-
-    by_pair = source.mapInArrow(rare_pairs, "id long, key long").join(rarer, "key").select("id", F.col("d_b").alias("b"), F.col("d_t").alias("t"))
-    looked = source.mapInArrow(rare_words, "id long, key long, before long, after long").join(
-        table.select("key", "own_b", "own_t", "g_b", "g_t"), "key", "left"
-    )
-    end = F.when(F.col("after") == END, 1).otherwise(0)
-    by_word = looked.where("own_b is not null").select("id", (F.col("own_b") - end * F.col("g_b")).alias("b"), (F.col("own_t") - end * F.col("g_t")).alias("t"))
-    beside = durable_once(
-        looked.where("own_b is null").select("id", "before", "after")
-        .mapInArrow(beside_unknown, "id long, key long, side int, b double, t double")
+            for row in batch.to_pylist():
+                yield from _asked(row["block"], Block.of(row).words, bits).to_batches()
+
+    def pairs_asked(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = blocks.to_pylist()[0]
+        own = Block.of(row)
+        codes = np.unique(own.codes(_joined(answers.to_pylist(), "b") > 0))
+        return _asked(row["block"], np.sort(own.split(codes)[2]), bits)
+
+    def answers(table: DataFrame, questions: DataFrame, pairs: int) -> DataFrame:
+        names = COUNTS[: 2 if pairs else 4]
+
+        def answer(asked: pa.Table, entries: pa.Table) -> pa.Table:
+            keys, counts = np.zeros(0, np.uint64), {c: np.zeros(1, np.int64) for c in names}
+            for r in entries.to_pylist():
+                keys, counts = unpacked_keys(r["keys"], r["n"]), {c: unpacked(r[c], r["n"]) for c in names}
+            out = []
+            for r in asked.to_pylist():
+                at, found = places(unpacked_keys(r["keys"], r["n"]), keys)
+                out += _answered([r], np.arange(r["n"]), pairs, {c: counts[c][at] * found for c in names})
+            return _rows(out, COUNTED)
+
+        return _answers(durable_once(_beside(questions, table, answer, COUNTED, "part")))
+
+    source = _documents(docs).select("text", F.lit(False).alias("good"), "id")
+    blocks = durable_once(source.mapInArrow(_blocks, BLOCK))
+    of_words = answers(model.words, blocks.mapInArrow(words_asked, ASKED), 0)
+    of_pairs = answers(model.pairs, _beside(blocks, of_words, pairs_asked, ASKED), 1)
+    return Corpus(blocks, of_words.union(of_pairs))
+
+
+def _losses(docs: DataFrame, corpus: Corpus, model: Model) -> DataFrame:
+    total, size = model.total, model.size
+    rare = [n - i for n, i in zip(total, model.inside)]
+
+    def losses(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        own = Block.of(blocks.to_pylist()[0])
+        of_words, of_pairs = _split(answers)
+        codes, at = np.unique(own.codes(_joined(of_words, "b") > 0), return_inverse=True)
+        before, after, keys = own.split(codes)
+        order = np.argsort(keys)
+        sums = []
+        for m, (name, n) in enumerate(zip("bt", total)):
+            count, kept = _joined(of_words, name), _joined(of_words, f"kept_{name}")
+            count[0] = rare[m]
+            pair = np.empty(len(codes))
+            pair[order] = _joined(of_pairs, name)
+            word = (count + SMOOTH) / (n + SMOOTH * (size + 1))
+            context = np.maximum(np.maximum(count, kept), 1)
+            room = context - LAMBDA * kept
+            each = -np.log(room / context)[before] - np.log(word)[after] - np.log1p(LAMBDA * pair / (room[before] * word[after]))
+            sums.append(np.add.reduceat(each[at], own.first))
+        return pa.table([pa.array(own.ids), pa.array(own.lengths()), *map(pa.array, sums)], names=["id", "n", "b", "t"])
+
+    added = durable_once(_beside(corpus.blocks, corpus.answers, losses, "id long, n long, b double, t double"))
+    zero = [F.lit(0).cast(kind).alias(c) for c, kind in (("n", "long"), ("b", "double"), ("t", "double"))]
+    every = _documents(docs).select("id", "doc_id", F.lit(1).cast("long").alias("copies"), *zero).union(
+        added.select("id", F.lit(None).cast("long"), F.lit(0).cast("long"), "n", "b", "t")
     )
-    joined = beside.where("side > 0").select("id", "key", "side").join(table.select("key", *VALUES[4:]), "key", "left")
-    by_side = [
-        F.when(F.col("side") == 1, F.coalesce(f"lu_{m}", F.lit(float(unknown[4 + i])))).otherwise(F.coalesce(f"ru_{m}", F.lit(0.0))).alias(m)
-        for i, m in enumerate("bt")
-    ]
-    # sums per document, written one after the other: the shuffles of the first are gone before the next
-    by_pair = durable_once(_sums(by_pair, "id"))
-    added = by_pair.union(durable_once(_sums(by_word.union(beside.where("side = 0").select("id", "b", "t")).union(joined.select("id", *by_side)), "id")))
-
-    none = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast("long").alias(c) for c in ("n", "copies")]]
-    every = source.mapInArrow(local, "id long, doc_id long, n long, copies long, b double, t double").union(added.select("id", *none, "b", "t"))
     # rows of one id are copies of each other, and have the same loss
     summed = every.groupBy("id").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n").alias("n_tokens"), F.sum("copies").alias("copies"), F.sum("b").alias("b"), F.sum("t").alias("t")
-    )
-    scored = F.col("n_tokens") > 0 if model.total[1] else F.lit(False)
-    loss = {m: F.when(scored, F.col(m) / F.col("copies") / F.col("n_tokens")) for m in "bt"}
+        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("copies").alias("copies"), F.sum("b").alias("b"), F.sum("t").alias("t")
+    ).withColumn("n_tokens", F.expr("n div copies"))
+    scored = F.col("n_tokens") > 0 if total[1] else F.lit(False)
+    loss = {m: F.when(scored, F.col(m) / F.col("n")) for m in "bt"}
     return (
         summed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
         .select("doc_id", "n_tokens", loss["t"].alias("loss_target"), loss["b"].alias("loss_background"), (loss["t"] - loss["b"]).alias("score"))
     )
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, n_tokens, loss_target, loss_background, score) of every document."""
+    return _losses(docs, _ask(docs, model), model)
+
+
+def difference(docs: DataFrame, labels: DataFrame, part_bits: int = PART_BITS) -> DataFrame:
+    """``score`` of the fitted documents themselves, whose blocks have their answers from the counting."""
+    model, corpus = _fit(docs, labels, part_bits)
+    return _losses(docs, corpus, model)

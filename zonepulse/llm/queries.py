@@ -10,7 +10,7 @@ from .common import table
 
 def op7_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lmscore.score(docs, lmscore.fit(docs, table(spark, sf_dir, "labels")))
+    return lmscore.difference(docs, table(spark, sf_dir, "labels"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
