@@ -137,13 +137,15 @@ def test_difference_is_the_score_of_the_fitted_documents(spark, monkeypatch):
                 assert max(abs(s.loss_target - target), abs(s.loss_background - background)) < 1e-9
 
 
-def test_scores_texts_that_were_not_fitted(spark):
+def test_scores_texts_that_were_not_fitted(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b a b c"), (2, "a b d d")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     model = lmscore.fit(docs, labels)
     new = spark.createDataFrame([(1, "a b a b c"), (5, "zz a b"), (6, "new words")], "doc_id long, text string")
     got = {r.doc_id: r for r in lmscore.score(new, model).collect()}
     assert abs(got[1].score - {r.doc_id: r for r in lmscore.difference(docs, labels).collect()}[1].score) < 1e-12
+    monkeypatch.setattr(lmscore, "PART_BITS", 0)  # more texts than were fitted: parts have copies
+    assert {r.doc_id: r for r in lmscore.score(new, model).collect()} == got
     assert got[5].n_tokens == 3 and got[6].n_tokens == 2
     unknown = (9 - 8 + 0.5) / (9 + 0.5 * 4)  # c of 9 tokens; a, b and d are known words
     # the first word stands after the start sign, all of whose bigrams (two "a") are listed

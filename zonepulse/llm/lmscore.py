@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 
 from .bits import bit_filter, tester
 from .common import durable_once
-from .words import BASE, mix, slices, words
+from .words import BASE, SMALL_SLICE, mix, words
+from .words import slices as slices_of
 
 PART_BITS = 20
 ID_BITS = 23
@@ -68,6 +69,10 @@ class Model:
     bits: int  # there are 2 ** bits parts
 
 
+def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    return slices_of(column, SMALL_SLICE)
+
+
 def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return mix(mix(before) * np.uint64(BASE) + after)
 
@@ -109,8 +114,9 @@ def parts_of(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(part), slice(edges[part], edges[part + 1])
 
 
-def _sums(places: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
-    return np.bincount(places, values, n).astype(np.int64)
+def _sums(at: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+    """Whole numbers summed by place."""
+    return np.bincount(at, values, n).astype(np.int64)
 
 
 Texts = Iterator[pa.RecordBatch]  # (text, good, id): whether a text is of the target
@@ -131,8 +137,9 @@ def _tokens(texts: Texts) -> Iterator[list[np.ndarray]]:
             held.append((w.hashes, first, *(v[lo:hi][w.row] for v in values)))
             size += len(w.hashes)
             if size >= GROUP_TOKENS:
-                yield [np.concatenate(x) for x in zip(*held)]
+                group = [np.concatenate(x) for x in zip(*held)]
                 held, size = [], 0
+                yield group
     if size:
         yield [np.concatenate(x) for x in zip(*held)]
 
@@ -294,13 +301,14 @@ def _add_kept(rows: pa.Table) -> pa.Table:
     return _rows(out, COUNTED)
 
 
-def _beside(left: DataFrame, right: DataFrame, function: Callable[[pa.Table, pa.Table], pa.Table], schema: str, key: str = "block") -> DataFrame:
-    """``function`` of the rows of each key of ``left`` and those of ``right`` (maybe none)."""
+def _beside(left: DataFrame, right: DataFrame, function: Callable[[pa.Table, pa.Table], pa.Table], schema: str, *keys: str) -> DataFrame:
+    """``function`` of the rows of each block (or other keys) of ``left`` and those of ``right`` (maybe none)."""
+    keys = keys or ("block",)
 
     def both(a: pa.Table, b: pa.Table) -> pa.Table:
         return function(a, b) if a.num_rows else _rows([], schema)
 
-    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(both, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(both, schema)
 
 
 def _joined(answers: list[dict], column: str) -> np.ndarray:
@@ -318,7 +326,7 @@ def _asked(block: int, keys: np.ndarray, bits: int, **columns: np.ndarray) -> pa
     out = [
         {"part": part, "block": block, "n": of.stop - of.start, "keys": packed_keys(keys[of]), **{c: packed(v[of]) for c, v in columns.items()}}
         for part, of in parts_of(keys, bits)
-    ]
+    ]
     return _rows(out, ASKED)
 
 
@@ -331,8 +339,8 @@ class Corpus:
     answers: DataFrame
 
 
-def _answers(table: DataFrame) -> DataFrame:
-    return table.where("block is not null").select("block", "pairs", "part", "n", *COUNTS)
+def _answers(table: DataFrame, *names: str) -> DataFrame:
+    return table.where("block is not null").select("block", "pairs", "part", "n", *(names or COUNTS))
 
 
 def _entries(table: DataFrame) -> DataFrame:
@@ -382,9 +390,9 @@ def _fit(docs: DataFrame, labels: DataFrame, part_bits: int) -> tuple[Model, Cor
 
     words = durable_once(blocks.mapInArrow(words_asked, ASKED).groupBy("part").applyInArrow(lambda rows: _count(rows, 0), COUNTED))
     size, *inside = [x or 0 for x in words.where("block is null").agg(F.sum("n"), F.sum("sum_b"), F.sum("sum_t")).first()]
-    asked = _beside(blocks, _answers(words), pairs_asked, ASKED)
+    asked = _beside(blocks, _answers(words, "b"), pairs_asked, ASKED)
     pairs = durable_once(asked.groupBy("part").applyInArrow(lambda rows: _count(rows, 1), COUNTED))
-    kept = _beside(blocks, _answers(words).union(_answers(pairs)), kept_asked, ASKED)
+    kept = _beside(blocks, _answers(words, "b").union(_answers(pairs, "b")), kept_asked, ASKED)
     own = _entries(words).withColumn("block", F.lit(None).cast("long"))
     table = durable_once(kept.unionByName(own).groupBy("part").applyInArrow(_add_kept, COUNTED))
     model = Model(_entries(table), _entries(pairs), tuple(total), tuple(inside), size, bits)
@@ -424,12 +432,16 @@ def _ask(docs: DataFrame, model: Model) -> Corpus:
                 out += _answered([r], np.arange(r["n"]), pairs, {c: counts[c][at] * found for c in names})
             return _rows(out, COUNTED)
 
-        return _answers(durable_once(_beside(questions, table, answer, COUNTED, "part")))
+        # parts are sized by the fitted texts: of more texts each deal of blocks gets its own copy of a part
+        questions = questions.withColumn("deal", F.pmod("block", F.lit(deals).cast("long")))
+        table = table.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
+        return _answers(durable_once(_beside(questions, table, answer, COUNTED, "part", "deal")))
 
     source = _documents(docs).select("text", F.lit(False).alias("good"), "id")
     blocks = durable_once(source.mapInArrow(_blocks, BLOCK))
+    deals = max(1, (blocks.agg(F.sum("n")).first()[0] or 0) >> (bits + PART_BITS))
     of_words = answers(model.words, blocks.mapInArrow(words_asked, ASKED), 0)
-    of_pairs = answers(model.pairs, _beside(blocks, of_words, pairs_asked, ASKED), 1)
+    of_pairs = answers(model.pairs, _beside(blocks, _answers(of_words, "b"), pairs_asked, ASKED), 1)
     return Corpus(blocks, of_words.union(of_pairs))
 
 
